@@ -56,7 +56,7 @@ records AS (
     'ev.' || event_type AS topic,
     CAST(user_id % 4 AS INTEGER) AS partition,
     event_id AS "offset",
-    epoch_ms(ts) AS ts_ms,
+    epoch_us(ts) // 1000 AS ts_ms,
     CASE WHEN event_id % 7 = 0 THEN NULL
          WHEN event_id % 11 = 0 THEN 'dup'
          ELSE 't' || (user_id % 3) END AS tenant,
