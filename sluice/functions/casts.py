@@ -14,8 +14,9 @@ from sluice.functions import temporal as T
 DECIMAL_SCALE = 18
 
 
-def _checked(text: Column, value: Column, kind: str) -> Column:
-    reason = F.concat(F.lit("'"), text, F.lit(f"' is not a valid {kind}"))
+def _checked(text: Column, value: Column, kind: Column | str) -> Column:
+    kind = kind if isinstance(kind, Column) else F.lit(kind)
+    reason = F.concat(F.lit("'"), text, F.lit("' is not a valid "), kind)
     return T.let(
         value, lambda v: F.struct(v.alias("value"), F.when(text.isNotNull() & v.isNull(), reason).alias("error"))
     )
@@ -64,52 +65,41 @@ def cast_decimal(text: Column, scale: int = DECIMAL_SCALE) -> Column:
     return _checked(text, value, "DECIMAL")
 
 
-def _by_format(text, fmt, epoch, default, named, pattern) -> Column:
-    """Choose the reading; for a format known beforehand only that one is built.
+def _no_format(fmt: Column | str | None) -> Column:
+    return T.is_blank(fmt) if isinstance(fmt, Column) else F.lit(fmt is None or not fmt.strip())
 
-    ``named`` takes the parts of a named format, the others take nothing.
-    """
-    if isinstance(fmt, Column):
-        return (
-            F.when(T.is_epoch(text, fmt), epoch())
-            .when(T.is_blank(fmt), default())
-            .when(fmt == T.RFC, named(T.rfc_parts(text)))
-            .when(T.is_named(fmt), named(T.iso_parts(text, fmt)))
-            .otherwise(pattern(fmt))
-        )
-    if fmt is None or not fmt.strip():
-        return F.when(text.rlike(T.EPOCH_TEXT), epoch()).otherwise(default())
-    if fmt == T.RFC:
-        return named(T.rfc_parts(text))
-    if fmt in T.NAMED_SHAPES:
-        return named(T.iso_parts(text, F.lit(fmt)))
-    return pattern(F.lit(fmt))
+
+def date_of(epoch: Column, parts: Column, no_format: Column) -> Column:
+    """The date; without a format the text may have no time of day."""
+    surplus = no_format & parts["day_ms"].isNotNull()
+    return F.coalesce(epoch.cast("date"), F.when(~surplus, parts["date"]))
+
+
+def time_of(epoch: Column, parts: Column, no_format: Column) -> Column:
+    """Milliseconds of day; without a format the text may have no date."""
+    surplus = no_format & parts["date"].isNotNull()
+    return F.coalesce(T.millis_of_day(epoch), F.when(~surplus, parts["day_ms"] % T.DAY_MS))
+
+
+def timestamp_of(epoch: Column, parts: Column, honour: bool = True) -> Column:
+    """The instant, from wall time and offset, or from wall time in the session zone."""
+    local = T.at(parts["date"], parts["day_ms"]).cast("timestamp")
+    if honour:
+        utc_ms = F.unix_date(parts["date"]).cast("bigint") * T.DAY_MS + parts["day_ms"]
+        local = F.coalesce(F.timestamp_millis(utc_ms - parts["offset_s"] * 1000), local)
+    return F.coalesce(epoch, local)
 
 
 def cast_date(text: Column, fmt: Column | str | None = None) -> Column:
     """Date from epoch milliseconds, ``yyyy-MM-dd``, a named format or a pattern."""
-    value = _by_format(
-        text,
-        fmt,
-        lambda: T.epoch_timestamp(text).cast("date"),
-        lambda: F.when(text.rlike(r"^[^: ]*$"), T.default_parts(text)["date"]),
-        lambda parts: parts["date"],
-        lambda p: F.when(T.has_letters(p, "yuD"), T.pattern_wall(text, p).cast("date")),
-    )
-    return _checked(text, value, "DATE")
+    epoch = T.epoch_part(text, fmt)
+    return _checked(text, T.let(T.read_parts(text, fmt), lambda p: date_of(epoch, p, _no_format(fmt))), "DATE")
 
 
 def cast_time(text: Column, fmt: Column | str | None = None) -> Column:
     """Milliseconds of day from epoch milliseconds, ``HH:mm:ss.SSS``, a named format or a pattern."""
-    value = _by_format(
-        text,
-        fmt,
-        lambda: T.millis_of_day(T.epoch_timestamp(text)),
-        lambda: F.when(~text.rlike("[- ]"), T.default_parts(text)["day_ms"] % T.DAY_MS),
-        lambda parts: parts["day_ms"],
-        lambda p: F.when(T.has_letters(p, "HhKk"), T.millis_of_day(T.pattern_wall(text, p).cast("timestamp"))),
-    )
-    return _checked(text, value, "TIME")
+    epoch = T.epoch_part(text, fmt)
+    return _checked(text, T.let(T.read_parts(text, fmt), lambda p: time_of(epoch, p, _no_format(fmt))), "TIME")
 
 
 def cast_timestamp(text: Column, fmt: Column | str | None = None, offsets: str = "honour") -> Column:
@@ -120,28 +110,24 @@ def cast_timestamp(text: Column, fmt: Column | str | None = None, offsets: str =
     """
     if offsets not in ("honour", "drop"):
         raise ValueError("offsets must be honour or drop")
-    honour = offsets == "honour"
-
-    def default() -> Column:
-        at = T.let(T.default_parts(text), lambda p: T.at(p["date"], p["day_ms"]).cast("timestamp"))
-        return F.when(text.contains(" "), at)
+    epoch = T.epoch_part(text, fmt)
+    value = T.let(T.read_parts(text, fmt), lambda p: timestamp_of(epoch, p, offsets == "honour"))
+    return _checked(text, value, "TIMESTAMP")
 
-    def named(parts: Column) -> Column:
-        def body(p: Column) -> Column:
-            local = T.at(p["date"], p["day_ms"]).cast("timestamp")
-            if not honour:
-                return local
-            instant = F.unix_date(p["date"]).cast("bigint") * T.DAY_MS + p["day_ms"] - p["offset_s"] * 1000
-            return F.coalesce(F.timestamp_millis(instant), local)
 
-        return T.let(parts, body)
+def cast_temporal_text(text: Column, fmt: Column, code: Column) -> Column:
+    """Any of the three by its type code, as text that Spark reads back; the text is read once."""
+    epoch, blank = T.epoch_part(text, fmt), T.is_blank(fmt)
 
-    def pattern(p: Column) -> Column:
-        read = T.pattern_instant(text, p) if honour else T.pattern_wall(text, p).cast("timestamp")
-        return F.when(T.has_letters(p, "yuD") & T.has_letters(p, "HhKk"), F.date_trunc("MILLISECOND", read))
+    def choose(p: Column) -> Column:
+        return (
+            F.when(code == 91, date_of(epoch, p, blank).cast("string"))
+            .when(code == 92, time_of(epoch, p, blank).cast("string"))
+            .otherwise(timestamp_of(epoch, p).cast("string"))
+        )
 
-    value = _by_format(text, fmt, lambda: T.epoch_timestamp(text), default, named, pattern)
-    return _checked(text, value, "TIMESTAMP")
+    kind = F.when(code == 91, "DATE").when(code == 92, "TIME").otherwise("TIMESTAMP")
+    return _checked(text, T.let(T.read_parts(text, fmt), choose), kind)
 
 
 def cast_binary(text: Column, fmt: Column | str | None = None) -> Column:

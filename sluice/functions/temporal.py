@@ -131,10 +131,10 @@ def _week_date(text: Column) -> Column:
 
 def iso_parts(text: Column, fmt: Column) -> Column:
     """Parts of a text in one of the ISO named formats; all NULL if the shape is another."""
-    shapes = F.create_map(
-        *[x for name, kinds in NAMED_SHAPES.items() for x in (F.lit(name), F.array(*map(F.lit, kinds)))]
+    shapes = F.expr(
+        "map(" + ", ".join(f"'{n}', array({', '.join(repr(k) for k in ks)})" for n, ks in NAMED_SHAPES.items()) + ")"
     )
-    layouts = F.create_map(*map(F.lit, ["c", "yyyy-MM-dd", "b", "yyyyMMdd", "o", "yyyy-DDD"]))
+    layouts = F.expr("map('c', 'yyyy-MM-dd', 'b', 'yyyyMMdd', 'o', 'yyyy-DDD')")
 
     def body(g: Column) -> Column:
         date, time, offset, region = (g[i] for i in range(4))
@@ -177,7 +177,7 @@ def rfc_parts(text: Column) -> Column:
 
     def body(g: Column) -> Column:
         weekday, day, month, year, time, offset = (g[i] for i in range(6))
-        number = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(month)).cast("string")
+        number = F.array_position(F.split(F.lit(" ".join(MONTHS)), " "), F.lower(month)).cast("string")
         date = F.try_to_date(F.concat_ws("-", year, F.lpad(number, 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd")
         right_day = (weekday == "") | (F.lower(F.date_format(date, "EEE")) == F.lower(weekday))
         return F.when(time != "", _parts(F.when(right_day, date), _day_ms(time), _offset_seconds(offset)))
@@ -192,7 +192,7 @@ def default_parts(text: Column) -> Column:
     its month is the last day, 24:00:00.000 is the end of the day.
     """
     shape = (
-        r"^(?:(\d{4})-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01]))? ?"
+        r"^(?:(\d{4})-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01]))?(?:(?<=\d) (?=\d))?"
         r"((?:(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d\.\d{3}|24:00:00\.000))?$"
     )
 
@@ -214,18 +214,51 @@ def is_pattern(fmt: Column) -> Column:
     return fmt.rlike(_PATTERN)
 
 
-def is_named(fmt: Column) -> Column:
-    return fmt.isin(list(NAMED_SHAPES))
+def pattern_parts(text: Column, fmt: Column) -> Column:
+    """Parts of a text read with a pattern; what the pattern has no letters for is NULL.
 
+    ``offset_s`` is what leads from the wall time to the instant that Spark
+    reads, be it from an offset in the text or from the session zone.
+    """
+
+    def body(instant: Column) -> Column:
+        # Reached only for texts that are known to parse.
+        wall = F.when(instant.isNotNull(), F.to_timestamp_ntz(text, fmt))
+        shift = F.timestamp_diff("SECOND", F.expr("timestamp_ntz '1970-01-01'"), wall) - F.unix_seconds(instant)
+        return _parts(
+            F.when(has_letters(fmt, "yuD"), wall.cast("date")),
+            F.when(has_letters(fmt, "HhKk"), millis_of_day(wall)),
+            shift,
+        )
 
-def pattern_instant(text: Column, fmt: Column) -> Column:
-    """A text read with a pattern; an offset in the text is honoured."""
-    return F.when(is_pattern(fmt), F.try_to_timestamp(text, fmt))
+    return let(F.when(is_pattern(fmt), F.try_to_timestamp(text, fmt)), body)
 
 
-def pattern_wall(text: Column, fmt: Column) -> Column:
-    """A text read with a pattern; an offset in the text is dropped."""
-    return F.when(pattern_instant(text, fmt).isNotNull(), F.to_timestamp_ntz(text, fmt))
+def read_parts(text: Column, fmt: Column | str | None) -> Column:
+    """Parts of a text in its format; for a format known beforehand only that reading is built."""
+    if isinstance(fmt, Column):
+        return (
+            F.when(is_blank(fmt), default_parts(text))
+            .when(fmt == RFC, rfc_parts(text))
+            .when(fmt.isin(list(NAMED_SHAPES)), iso_parts(text, fmt))
+            .otherwise(pattern_parts(text, fmt))
+        )
+    if fmt is None or not fmt.strip():
+        return default_parts(text)
+    if fmt == RFC:
+        return rfc_parts(text)
+    if fmt in NAMED_SHAPES:
+        return iso_parts(text, F.lit(fmt))
+    return pattern_parts(text, F.lit(fmt))
+
+
+def epoch_part(text: Column, fmt: Column | str | None) -> Column:
+    """TIMESTAMP of an epoch-millisecond text; NULL when it is none or a format is given."""
+    if isinstance(fmt, Column):
+        return F.when(is_epoch(text, fmt), epoch_timestamp(text))
+    if fmt is None or not fmt.strip():
+        return F.when(text.rlike(EPOCH_TEXT), epoch_timestamp(text))
+    return F.lit(None).cast("timestamp")
 
 
 def at(date: Column, day_ms: Column) -> Column:

@@ -33,6 +33,7 @@ from sluice.session import written
 
 Body = Callable[[DataFrame, dict[str, DataFrame]], DataFrame] | str
 DEFAULT_PIECE_BYTES = 64 * 1024 * 1024
+DEFAULT_TASK_BYTES = 256 * 1024 * 1024
 # More ids than this are joined by shuffling instead of broadcasting.
 BROADCAST_IDS = 100_000
 # Piece numbers: step, then range partition, then place in it.
@@ -181,6 +182,7 @@ def run_calls(
     tables: dict[str, DataFrame],
     properties: dict[str, str] | None = None,
     piece_bytes: int = DEFAULT_PIECE_BYTES,
+    task_bytes: int = DEFAULT_TASK_BYTES,
     epoch_timestamps: bool = False,
 ) -> DataFrame:
     """``request_id, attributes, route, error, duration_ms, piece, content`` for every request.
@@ -221,7 +223,7 @@ def run_calls(
         accepted_whole = accepted
     done = _whole_documents(accepted_whole, procedure, whole_rows, counts)
     if large is not None:
-        done = done.unionByName(_split_documents(accepted, procedure, rows, counts, large, piece_bytes))
+        done = done.unionByName(_split_documents(accepted, procedure, rows, counts, large, piece_bytes, task_bytes))
     no_error = F.lit(None).cast("string").alias("error")
     return (
         done.select("request_id", "attributes", "piece", "content", no_error)
@@ -311,18 +313,19 @@ def _whole_documents(accepted, procedure, rows, counts) -> DataFrame:
     )
 
 
-def _split_documents(accepted, procedure, rows, counts, large, piece_bytes) -> DataFrame:
+def _split_documents(accepted, procedure, rows, counts, large, piece_bytes, task_bytes) -> DataFrame:
     """Documents of large requests as ordered pieces.
 
     Rows are range partitioned by request and sort key, which spreads one
-    request over as many tasks as its size needs and keeps the order.
+    request over as many tasks as its size needs and keeps the order. A task
+    gets about ``task_bytes`` and streams them into pieces.
     """
     pieces, sizes = None, {}
     for i, r in rows.items():
         mine = written(r.join(large, "request_id", "left_semi"), f"large{i}")
         total = mine.agg(F.sum("bytes")).first()[0] or 0
         sizes[i] = step_counts(mine).withColumn("result", F.lit(None).cast("string"))
-        tasks = 1 + total // piece_bytes
+        tasks = 1 + total // task_bytes
         ordered = (
             mine.select("request_id", "place", "row")
             .repartitionByRange(tasks, "request_id", "place", "row")

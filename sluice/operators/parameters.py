@@ -55,8 +55,8 @@ def direction(text: Column) -> Column:
 
 def type_name(code: Column) -> Column:
     """Name of a type code; NULL for an unknown one. The table is part of the expression."""
-    table = F.create_map(*[F.lit(x) for pair in TYPE_CODES.items() for x in pair])
-    return F.try_element_at(table, code)
+    pairs = ", ".join(f"{c}, '{name}'" for c, name in TYPE_CODES.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), code)
 
 
 def is_input(direction: Column) -> Column:
@@ -165,22 +165,21 @@ def statement_error(text: Column) -> Column:
     return F.when(is_blank(text), F.lit("statement is blank"))
 
 
-def bind_value(parameter: Column, spark_type: str) -> Column:
-    """STRUCT<value, error>: strict conversion by the declared type code, then to the argument's type.
+BINARY_CODES = (-2, -3, -4)
 
-    The text must be valid for the code that the request declares; what it
-    stands for must then fit the type of the procedure's argument.
+
+def check_value(parameter: Column) -> Column:
+    """STRUCT<value, error>: the text after strict conversion by the declared type code.
+
+    The value is again text, in the one form that every type of Spark reads
+    back; bytes are base64.
     """
     text, fmt, code = parameter["value"], parameter["format"], parameter["jdbc_type"]
-    binary = code.isin(-2, -3, -4)
-    if spark_type == "binary":
-        plain = F.struct(text.cast("binary").alias("value"), F.lit(None).cast("string").alias("error"))
-        return F.when(binary, C.cast_binary(text, fmt)).otherwise(plain)
 
-    def as_text(cast: Column) -> Column:
-        return let(cast, lambda c: F.struct(c["value"].cast("string").alias("value"), c["error"].alias("error")))
+    def as_text(cast: Column, render=lambda v: v.cast("string")) -> Column:
+        return let(cast, lambda c: F.struct(render(c["value"]).alias("value"), c["error"].alias("error")))
 
-    checked = (
+    return (
         F.when(code == -7, as_text(C.cast_bit(text)))
         .when(code == 16, as_text(C.cast_boolean(text)))
         .when(code == -6, as_text(C.cast_integer(text, "tinyint")))
@@ -190,39 +189,32 @@ def bind_value(parameter: Column, spark_type: str) -> Column:
         .when(code == 7, as_text(C.cast_floating(text, "float")))
         .when(code.isin(6, 8), as_text(C.cast_floating(text, "double")))
         .when(code.isin(2, 3), as_text(C.cast_decimal(text)))
-        .when(code == 91, as_text(C.cast_date(text, fmt)))
-        .when(code == 92, as_text(C.cast_time(text, fmt)))
-        .when(code == 93, as_text(C.cast_timestamp(text, fmt)))
-        .when(
-            binary,
-            let(
-                C.cast_binary(text, fmt),
-                lambda c: F.struct(F.base64(c["value"]).alias("value"), c["error"].alias("error")),
-            ),
-        )
+        .when(code.isin(91, 92, 93), C.cast_temporal_text(text, fmt, code))
+        .when(code.isin(*BINARY_CODES), as_text(C.cast_binary(text, fmt), F.base64))
         .otherwise(C.cast_text(text))
     )
 
-    def convert(c: Column) -> Column:
-        value = c["value"].try_cast(spark_type)
-        misfit = F.concat(F.lit("'"), c["value"], F.lit(f"' cannot be used as {spark_type}"))
-        return F.struct(
-            value.alias("value"),
-            F.coalesce(c["error"], F.when(c["value"].isNotNull() & value.isNull(), misfit)).alias("error"),
-        )
-
-    return let(checked, convert)
-
 
 def _bind_one(argument: Argument) -> Column:
-    """STRUCT<value, error> of one argument, from the request's parameters."""
-    mine = F.filter(F.col("parameters"), lambda p: (p["index"] == argument.index) & is_input(p["direction"]))
+    """STRUCT<value, error> of one argument, from the checked inputs."""
     missing = F.lit("is not given" if argument.required else None).cast("string")
-    absent = F.struct(F.lit(None).cast(argument.spark_type).alias("value"), missing.alias("error"))
-    return let(
-        F.try_element_at(mine, F.lit(1)),
-        lambda p: F.when(p.isNotNull(), bind_value(p, argument.spark_type)).otherwise(absent),
-    )
+
+    def bind(p: Column) -> Column:
+        text = p["checked"]["value"]
+        if argument.spark_type == "binary":
+            value = F.when(p["jdbc_type"].isin(*BINARY_CODES), F.unbase64(text)).otherwise(text.cast("binary"))
+        else:
+            value = text.try_cast(argument.spark_type)
+        misfit = F.concat(F.lit("'"), text, F.lit(f"' cannot be used as {argument.spark_type}"))
+        error = (
+            F.when(p.isNull(), missing)
+            .when(p["checked"]["error"].isNotNull(), p["checked"]["error"])
+            .when(text.isNotNull() & value.isNull(), misfit)
+        )
+        return F.struct(value.alias("value"), error.alias("error"))
+
+    mine = F.filter(F.col("_inputs"), lambda p: p["index"] == argument.index)
+    return let(F.try_element_at(mine, F.lit(1)), bind)
 
 
 def bind_arguments(requests: DataFrame, arguments: list[Argument], outputs: set[int] = frozenset()) -> DataFrame:
@@ -249,7 +241,12 @@ def bind_arguments(requests: DataFrame, arguments: list[Argument], outputs: set[
         return F.concat(where, reason)
 
     reasons = F.filter(F.transform(F.col("parameters"), problem), lambda r: r.isNotNull())
-    staged = requests.withColumn("_refused", F.try_element_at(reasons, F.lit(1)))
+    # Checked once for all parameters, so the plan does not grow with the number of arguments.
+    inputs = F.transform(
+        F.filter("parameters", lambda p: is_input(p["direction"])),
+        lambda p: F.struct(p["index"], p["jdbc_type"], check_value(p).alias("checked")),
+    )
+    staged = requests.withColumns({"_refused": F.try_element_at(reasons, F.lit(1)), "_inputs": inputs})
     checks = [F.col("_refused")]
     bound = {}
     for a in arguments:
@@ -258,4 +255,4 @@ def bind_arguments(requests: DataFrame, arguments: list[Argument], outputs: set[
     staged = staged.withColumns(bound)
     return staged.withColumns(
         {a.name: F.col(f"_bound_{a.index}")["value"] for a in arguments} | {"error": F.coalesce(*checks)}
-    ).drop("_refused", *bound)
+    ).drop("_refused", "_inputs", *bound)

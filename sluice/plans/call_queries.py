@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.calls import Count, Procedure, Rows, result_arrays, result_rows, run_by_statement, run_calls
-from sluice.operators.calls import bind_requests, run_statement
+from sluice.operators.calls import (
+    Count,
+    Procedure,
+    Rows,
+    bind_requests,
+    result_arrays,
+    result_rows,
+    run_by_statement,
+    run_calls,
+    run_statement,
+)
 from sluice.operators.parameters import (
     STATEMENT,
     Argument,
@@ -16,6 +25,7 @@ from sluice.operators.parameters import (
     with_parameters,
 )
 from sluice.plans.tables import table
+from sluice.session import written
 
 PREFIX = "procedure.args"
 PROPERTIES = {
@@ -105,7 +115,7 @@ def _tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def _accepted(spark: SparkSession, sf: str) -> DataFrame:
-    bound = bind_requests(requests(spark, sf, True), REPORT, PROPERTIES)
+    bound = written(bind_requests(requests(spark, sf, True), REPORT, PROPERTIES), "calls")
     return bound.where("error IS NULL").select("request_id", "p1", "p2", "p4", "p5")
 
 
