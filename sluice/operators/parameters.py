@@ -203,6 +203,11 @@ def _bind_one(argument: Argument) -> Column:
         text = p["checked"]["value"]
         if argument.spark_type == "binary":
             value = F.when(p["jdbc_type"].isin(*BINARY_CODES), F.unbase64(text)).otherwise(text.cast("binary"))
+        elif argument.spark_type in C.INTEGER_TYPES:
+            # Text of a decimal or floating type is taken when it is a whole number.
+            exact = text.try_cast(f"decimal(38,{C.DECIMAL_SCALE})")
+            whole = F.when(exact == F.floor(exact), exact.try_cast(argument.spark_type))
+            value = F.coalesce(text.try_cast(argument.spark_type), whole)
         else:
             value = text.try_cast(argument.spark_type)
         misfit = F.concat(F.lit("'"), text, F.lit(f"' cannot be used as {argument.spark_type}"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +26,11 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     )
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="sluice-")
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new folder name below the folder that all executors share.
 
@@ -36,8 +42,7 @@ def work_folder(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="sluice-")
-        spark.conf.set(CHECKPOINT_SETTING, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
