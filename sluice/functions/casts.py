@@ -56,15 +56,22 @@ def cast_floating(text: Column, spark_type: str = "double") -> Column:
 
 def cast_decimal(text: Column, scale: int = DECIMAL_SCALE) -> Column:
     """Exact decimal number; one that DECIMAL(38, scale) would round is an error."""
-    number = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]{1,9})?$"
-    fraction = F.length(F.regexp_extract(text, r"\.([0-9]*)", 1))
-    zeros = F.length(F.regexp_extract(F.regexp_replace(F.regexp_extract(text, r"^([^eE]*)", 1), r"\.", ""), "(0*)$", 1))
-    power = F.coalesce(F.regexp_extract(text, r"[eE]([+-]?[0-9]{1,9})$", 1).try_cast("int"), F.lit(0))
-    exact = (fraction - power - zeros <= scale) | text.rlike(r"^[+-]?[0.]+(?:[eE].*)?$")
-    value = F.when(text.rlike(number) & exact, text.try_cast(f"decimal(38,{scale})"))
+    plain = text.rlike(rf"^[+-]?(?:[0-9]+(?:\.[0-9]{{0,{scale}}}0*)?|\.[0-9]{{1,{scale}}}0*)$")
+    value = F.when(plain | _exact_power(text, scale), text.try_cast(f"decimal(38,{scale})"))
     return _checked(text, value, "DECIMAL")
 
 
+def _exact_power(text: Column, scale: int) -> Column:
+    """A number with an exponent that needs no more than ``scale`` decimals."""
+    mantissa = F.regexp_extract(text, r"^([^eE]*)", 1)
+    decimals = F.length(F.regexp_extract(mantissa, r"\.([0-9]*)$", 1))
+    zeros = F.length(F.regexp_extract(F.replace(mantissa, F.lit(".")), r"(0*)$", 1))
+    power = F.regexp_extract(text, r"[eE]([+-]?[0-9]{1,9})$", 1).try_cast("int")
+    return text.rlike(r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]{1,9}$") & (
+        (decimals - power - zeros <= scale) | mantissa.rlike(r"^[+-]?[0.]+$")
+    )
+
+
 def _no_format(fmt: Column | str | None) -> Column:
     return T.is_blank(fmt) if isinstance(fmt, Column) else F.lit(fmt is None or not fmt.strip())
 

@@ -60,9 +60,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+# Stands between groups; a text that has it matches nothing.
+_MARK = "\u0001"
+
+
 def _groups(text: Column, regex: str, count: int) -> Column:
-    """ARRAY of the groups 1..count, empty text where a group is absent."""
-    return F.array(*[F.regexp_extract(text, regex, i) for i in range(1, count + 1)])
+    """ARRAY of the groups 1..count from one match, empty text where a group is absent; NULL if no match."""
+    marked = F.regexp_replace(text, regex, _MARK.join(f"${i}" for i in range(1, count + 1)))
+    found = F.when(~text.contains(_MARK), F.split(marked, _MARK, -1))
+    return let(found, lambda g: F.when(F.size(g) == count, g))
 
 
 def _parts(date: Column, day_ms: Column, offset_s: Column | None = None) -> Column:
@@ -100,12 +106,12 @@ def millis_of_day(ts: Column) -> Column:
 
 def _day_ms(text: Column) -> Column:
     """Milliseconds of a checked ``HH:mm[:ss[.fraction]]``."""
-    fraction = F.rpad(F.substring(F.regexp_extract(text, r"\.(\d+)$", 1), 1, 3), 3, "0")
-    seconds = F.regexp_extract(text, r"^\d{2}:\d{2}:(\d{2})", 1)
+    seconds = F.rpad(F.substring(text, 7, 2), 2, "0")
+    fraction = F.rpad(F.substring(text, 10, 3), 3, "0")
     return (
         F.substring(text, 1, 2).try_cast("bigint") * 3_600_000
         + F.substring(text, 4, 2).try_cast("bigint") * 60_000
-        + F.when(seconds == "", F.lit(0)).otherwise(seconds.try_cast("bigint") * 1000)
+        + seconds.try_cast("bigint") * 1000
         + fraction.try_cast("bigint")
     )
 
@@ -124,18 +130,22 @@ def _offset_seconds(text: Column) -> Column:
 def _week_date(text: Column) -> Column:
     year = F.substring(text, 1, 4)
     week = F.substring(text, 7, 2).try_cast("int")
-    monday = F.date_trunc("WEEK", F.try_to_date(F.concat(year, F.lit("-01-04")), "yyyy-MM-dd")).cast("date")
+    monday = F.trunc(F.concat(year, F.lit("-01-04")).try_cast("date"), "WEEK")
     day = F.date_add(monday, (week - 1) * 7 + F.substring(text, 10, 1).try_cast("int") - 1)
     return F.when((F.weekofyear(day) == week) & (week >= 1), day)
 
 
+def _ordinal_date(text: Column) -> Column:
+    first = F.concat(F.substring(text, 1, 4), F.lit("-01-01")).try_cast("date")
+    day = F.date_add(first, F.substring(text, 6, 3).try_cast("int") - 1)
+    return F.when(F.year(day) == F.year(first), day)
+
+
 def iso_parts(text: Column, fmt: Column) -> Column:
     """Parts of a text in one of the ISO named formats; all NULL if the shape is another."""
     shapes = F.expr(
         "map(" + ", ".join(f"'{n}', array({', '.join(repr(k) for k in ks)})" for n, ks in NAMED_SHAPES.items()) + ")"
     )
-    layouts = F.expr("map('c', 'yyyy-MM-dd', 'b', 'yyyyMMdd', 'o', 'yyyy-DDD')")
-
     def body(g: Column) -> Column:
         date, time, offset, region = (g[i] for i in range(4))
         kind = (
@@ -156,12 +166,14 @@ def iso_parts(text: Column, fmt: Column) -> Column:
             shape = F.concat(
                 kind, F.when(time == "", "").otherwise("T"), offset_kind, F.when(region == "", "").otherwise("R")
             )
-            ok = text.rlike(_ISO) & F.array_contains(F.try_element_at(shapes, fmt), shape)
-            plain = F.call_function("try_to_date", date, F.try_element_at(layouts, kind))
+            dashed = F.concat_ws("-", F.substring(date, 1, 4), F.substring(date, 5, 2), F.substring(date, 7, 2))
             return F.when(
-                ok,
+                F.array_contains(F.try_element_at(shapes, fmt), shape),
                 _parts(
-                    F.when(kind == "w", _week_date(date)).otherwise(plain),
+                    F.when(kind == "c", date.try_cast("date"))
+                    .when(kind == "b", dashed.try_cast("date"))
+                    .when(kind == "o", _ordinal_date(date))
+                    .when(kind == "w", _week_date(date)),
                     F.when(time != "", _day_ms(time)),
                     F.when(offset != "", _offset_seconds(offset)),
                 ),
@@ -178,7 +190,7 @@ def rfc_parts(text: Column) -> Column:
     def body(g: Column) -> Column:
         weekday, day, month, year, time, offset = (g[i] for i in range(6))
         number = F.array_position(F.split(F.lit(" ".join(MONTHS)), " "), F.lower(month)).cast("string")
-        date = F.try_to_date(F.concat_ws("-", year, F.lpad(number, 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd")
+        date = F.concat_ws("-", year, F.lpad(number, 2, "0"), F.lpad(day, 2, "0")).try_cast("date")
         right_day = (weekday == "") | (F.lower(F.date_format(date, "EEE")) == F.lower(weekday))
         return F.when(time != "", _parts(F.when(right_day, date), _day_ms(time), _offset_seconds(offset)))
 
@@ -198,7 +210,7 @@ def default_parts(text: Column) -> Column:
 
     def body(g: Column) -> Column:
         year, month, day, time = (g[i] for i in range(4))
-        first = F.when(year != "0000", F.try_to_date(F.concat(year, F.lit("-"), month, F.lit("-01")), "yyyy-MM-dd"))
+        first = F.when(year != "0000", F.concat(year, F.lit("-"), month, F.lit("-01")).try_cast("date"))
         date = F.least(F.date_add(first, day.try_cast("int") - 1), F.last_day(first))
         return _parts(date, F.when(time != "", _day_ms(time)))
 
