@@ -29,13 +29,11 @@ from sluice.operators.parameters import (
     statement_error,
     with_parameters,
 )
-from sluice.session import written
+from sluice.session import broadcast_if_small, written
 
 Body = Callable[[DataFrame, dict[str, DataFrame]], DataFrame] | str
 DEFAULT_PIECE_BYTES = 64 * 1024 * 1024
 DEFAULT_TASK_BYTES = 256 * 1024 * 1024
-# More ids than this are joined by shuffling instead of broadcasting.
-BROADCAST_IDS = 100_000
 # Piece numbers: step, then range partition, then place in it.
 _STEP_SHIFT, _PART_SHIFT = 1 << 48, 1 << 26
 
@@ -278,10 +276,7 @@ def _large_requests(rows: dict[int, DataFrame], piece_bytes: int) -> DataFrame |
         .select("request_id")
     )
     large = written(large, "large")
-    n = large.count()
-    if n == 0:
-        return None
-    return F.broadcast(large) if n <= BROADCAST_IDS else large
+    return None if large.isEmpty() else broadcast_if_small(large)
 
 
 def _frame(accepted, procedure, results: dict[int, DataFrame], counts: dict[int, DataFrame]) -> DataFrame:
@@ -344,9 +339,7 @@ def _split_documents(accepted, procedure, rows, counts, large, piece_bytes, task
     # The numbers depend on how ranges were cut, so they are fixed before they are used twice.
     pieces = written(pieces, "pieces")
     ends = pieces.groupBy("request_id", "step").agg(F.min("piece").alias("first"), F.max("piece").alias("last"))
-    ends = written(ends, "ends")
-    if ends.count() <= BROADCAST_IDS:
-        ends = F.broadcast(ends)
+    ends = broadcast_if_small(written(ends, "ends"))
     body = pieces.join(ends, ["request_id", "step"]).select(
         "request_id",
         "piece",

@@ -110,15 +110,21 @@ def _merge(entries: Column) -> Column:
     def parameter(index: Column) -> Column:
         def build(group: Column) -> Column:
             newest = F.element_at(group, -1)
+
+            def field(name: str) -> Column:
+                """The only entry's field, or the last one that is there."""
+                return F.when(F.size(group) == 1, newest[name]).otherwise(last(group, name))
+
+            first_error = F.try_element_at(F.filter(group["error"], lambda e: e.isNotNull()), F.lit(1))
             return F.struct(
                 index.alias("index"),
                 newest["direction"].alias("direction"),
                 newest["jdbc_type"].alias("jdbc_type"),
                 type_name(newest["jdbc_type"]).alias("type_name"),
-                last(group, "value").alias("value"),
-                last(group, "format").alias("format"),
-                last(group, "name").alias("name"),
-                F.try_element_at(F.filter(group["error"], lambda e: e.isNotNull()), F.lit(1)).alias("error"),
+                field("value").alias("value"),
+                field("format").alias("format"),
+                field("name").alias("name"),
+                F.when(F.size(group) == 1, newest["error"]).otherwise(first_error).alias("error"),
             )
 
         return let(F.filter(entries, lambda e: e["index"].eqNullSafe(index)), build)
@@ -144,8 +150,9 @@ def _or_empty(attributes: Column) -> Column:
 
 def parameter_rows(requests: DataFrame) -> DataFrame:
     """One row per parameter of each request."""
-    rows = requests.select("request_id", F.explode("parameters").alias("p"))
-    return rows.select(
+    # The outer form keeps the optimizer from working out the array again to filter out empty ones.
+    rows = requests.select("request_id", F.explode_outer("parameters").alias("p"))
+    return rows.where(F.col("p").isNotNull()).select(
         "request_id",
         "p.*",
         is_input(F.col("p.direction")).alias("is_bound"),

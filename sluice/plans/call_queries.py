@@ -24,7 +24,7 @@ from sluice.operators.parameters import (
     statement_error,
     with_parameters,
 )
-from sluice.plans.tables import table
+from sluice.plans.tables import spread, table
 from sluice.session import written
 
 PREFIX = "procedure.args"
@@ -74,7 +74,7 @@ def requests(spark: SparkSession, sf: str, with_key: bool = False) -> DataFrame:
             when(always, f"{PREFIX}.in.5.value", key_text),
         ]
     present = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    return table(spark, sf, "customer").select(
+    return spread(table(spark, sf, "customer")).select(
         key.alias("request_id"), F.map_from_entries(present).alias("attributes")
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import casts as C
 from sluice.functions.temporal import wall_time
-from sluice.plans.tables import epoch_millis, table
+from sluice.plans.tables import epoch_millis, spread, table
 
 FLAGS = ["1", "t", "T", "true", "TRUE", "0", "yes", ""]
 ZONE = "America/New_York"
@@ -26,7 +26,7 @@ def _pick(number: Column, values: list) -> Column:
 def cast_flags(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("c_custkey")
     text = F.when(key % 97 != 0, _pick(key, FLAGS))
-    return table(spark, sf, "customer").select(
+    return spread(table(spark, sf, "customer")).select(
         key, C.cast_bit(text)["value"].alias("as_bit"), C.cast_boolean(text)["value"].alias("as_boolean")
     )
 
@@ -46,7 +46,7 @@ def cast_numbers(spark: SparkSession, sf: str) -> DataFrame:
         [price.cast("string"), F.concat(price.cast("string"), F.lit("x")), F.concat(cents, F.lit("e-2")),
          F.concat(F.lit(" "), cents), F.concat(price.cast("string"), F.lit("00001"))],
     )
-    staged = table(spark, sf, "orders").select(key, whole.alias("w"), number.alias("n"))
+    staged = spread(table(spark, sf, "orders")).select(key, whole.alias("w"), number.alias("n"))
     return staged.select(
         key,
         *[C.cast_integer(F.col("w"), t)["value"].cast("bigint").alias(f"as_{t}") for t in C.INTEGER_TYPES],
@@ -70,7 +70,7 @@ def cast_temporal(spark: SparkSession, sf: str) -> DataFrame:
         [F.concat(date, F.lit(" "), time), epoch_millis(ts).cast("string"), date, time,
          F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.date_format(ts, "yyyy/MM/dd"), None],
     )
-    staged = table(spark, sf, "events").select(event, text.alias("t"))
+    staged = spread(table(spark, sf, "events")).select(event, text.alias("t"))
     t = F.col("t")
     as_ts = C.cast_timestamp(t)
     return staged.select(
@@ -112,7 +112,7 @@ def cast_named_formats(spark: SparkSession, sf: str) -> DataFrame:
         F.lpad(F.weekofyear(ts).cast("string"), 2, "0"), F.lit("-"), (F.weekday(ts) + 1).cast("string"),
     )
     texts = [week if made is None else F.concat(F.date_format(ts, made), F.lit(rest)) for _, made, rest in NAMED_TEXTS]
-    staged = table(spark, sf, "events").select(
+    staged = spread(table(spark, sf, "events")).select(
         event, _pick(event, texts).alias("t"), _pick(event, [name for name, _, _ in NAMED_TEXTS]).alias("f")
     )
     t, f = F.col("t"), F.col("f")
@@ -130,7 +130,7 @@ def cast_binary(spark: SparkSession, sf: str) -> DataFrame:
     written_as = _pick(doc, [text, text, F.hex(text.cast("binary")), F.base64(text.cast("binary")),
                              F.concat(F.hex(text.cast("binary")), F.lit("A")), text])
     notation = _pick(doc, [None, "ascii", "hex", "base64", "hex", "utf8"])
-    staged = table(spark, sf, "documents").select(doc, written_as.alias("t"), notation.alias("f"))
+    staged = spread(table(spark, sf, "documents")).select(doc, written_as.alias("t"), notation.alias("f"))
     out = C.cast_binary(F.col("t"), F.col("f"))
     return staged.withColumn("b", out).select(
         doc, F.md5(F.col("b.value")).alias("digest"), F.octet_length("b.value").cast("bigint").alias("n_bytes"),
@@ -140,14 +140,14 @@ def cast_binary(spark: SparkSession, sf: str) -> DataFrame:
 
 def cast_text(spark: SparkSession, sf: str) -> DataFrame:
     value = C.cast_text(F.col("text"))["value"]
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         "doc_id", F.md5(value.cast("binary")).alias("digest"), F.length(value).cast("bigint").alias("n_chars")
     )
 
 
 def epoch_zone(spark: SparkSession, sf: str) -> DataFrame:
     wall = wall_time(epoch_millis(F.col("ts")), ZONE)
-    return table(spark, sf, "events").select("event_id", F.date_format(wall, "yyyy-MM-dd HH:mm:ss.SSS").alias("wall"))
+    return spread(table(spark, sf, "events")).select("event_id", F.date_format(wall, "yyyy-MM-dd HH:mm:ss.SSS").alias("wall"))
 
 
 QUERIES = {

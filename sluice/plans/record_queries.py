@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from sluice.functions.durations import duration_millis, whole_seconds
 from sluice.functions.headers import header_text
 from sluice.functions.json_text import canonical_json
-from sluice.operators.bundling import bundle_records, number_bundles, shape_batches
-from sluice.operators.records import Shaping, direct_records, shape_records, with_route
-from sluice.plans.tables import RECORDS_SQL, epoch_millis, records, table
+from sluice.operators.bundling import bundle_records, number_bundles
+from sluice.operators.records import Shaping, direct_records, shape_records, with_header_key, with_route
+from sluice.plans.tables import RECORDS_SQL, epoch_millis, records, spread, table
 from sluice.sources.records import (
     batch_counts,
     from_positions,
@@ -20,8 +20,8 @@ from sluice.sources.records import (
     with_topic_pattern,
     with_topics,
 )
+from sluice.session import work_folder, written
 from sluice.streaming.ingest import ingest, land_records
-from sluice.session import work_folder
 
 POLL, COUNT, SIZE = 2000, 20, 600
 TENANT = Shaping(predicate="offset % 6 <> 0", header_regex="tenant")
@@ -53,7 +53,7 @@ def record_topic_listing(spark: SparkSession, sf: str) -> DataFrame:
 
 def _committed(spark: SparkSession, sf: str) -> DataFrame:
     seen = next_offsets(records(spark, sf)).where("partition <> 3")
-    return seen.withColumn("next_offset", F.expr("next_offset div 2"))
+    return written(seen.withColumn("next_offset", F.expr("next_offset div 2")), "committed")
 
 
 def record_from_offset(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,7 +70,9 @@ def record_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def record_envelope(spark: SparkSession, sf: str) -> DataFrame:
-    return shape_records(records(spark, sf)).select("topic", "partition", "offset", "content", "malformed")
+    return shape_records(spread(records(spark, sf))).select(
+        "topic", "partition", "offset", "content", "malformed"
+    )
 
 
 def _json_forms(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,7 +100,7 @@ def record_json_forms(spark: SparkSession, sf: str) -> DataFrame:
 def record_headers(spark: SparkSession, sf: str) -> DataFrame:
     out = None
     for label, regex in (("tenant", "tenant"), ("all", ".*"), ("none", None)):
-        one = shape_records(records(spark, sf), Shaping(header_regex=regex)).select(
+        one = shape_records(spread(records(spark, sf)), Shaping(header_regex=regex)).select(
             F.lit(label).alias("selection"), "offset", header_text(F.col("headers")).alias("headers")
         )
         out = one if out is None else out.unionByName(one)
@@ -106,7 +108,7 @@ def record_headers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def record_direct(spark: SparkSession, sf: str) -> DataFrame:
-    out = direct_records(shape_records(records(spark, sf), TENANT), "PLAINTEXT", BROKERS)
+    out = direct_records(shape_records(spread(records(spark, sf)), TENANT), "PLAINTEXT", BROKERS)
     return out.select(
         "topic", "partition", "offset", epoch_millis(F.col("timestamp")).alias("ts_ms"), "matched", "route", "bundled",
         "record_count", "record_size", "mime_type", "origin", header_text(F.col("headers")).alias("headers"), "content",
@@ -115,13 +117,14 @@ def record_direct(spark: SparkSession, sf: str) -> DataFrame:
 
 def record_routes(spark: SparkSession, sf: str) -> DataFrame:
     return (
-        with_route(shape_records(records(spark, sf), TENANT)).groupBy("topic", "partition", "route")
+        with_route(shape_records(spread(records(spark, sf)), TENANT)).groupBy("topic", "partition", "route")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("offset").alias("offset_sum"))
     )
 
 
 def bundle_runs(spark: SparkSession, sf: str) -> DataFrame:
-    return number_bundles(shape_batches(records(spark, sf), TENANT, POLL), COUNT).select(
+    shaped = with_header_key(shape_records(with_batches(records(spark, sf), POLL), TENANT))
+    return number_bundles(shaped, COUNT).select(
         "topic", "partition", "batch_id", "header_key", "offset", "run_no", "bundle_no"
     )
 

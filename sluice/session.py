@@ -6,8 +6,11 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+# A table with more rows than this is joined by shuffling instead of broadcasting.
+BROADCAST_ROWS = 100_000
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
@@ -46,7 +49,7 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df, label: str):
+def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a result is needed more than once, so that it is computed once
@@ -56,3 +59,8 @@ def written(df, label: str):
     path = work_folder(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(stored: DataFrame) -> DataFrame:
+    """Mark a stored table for broadcasting if its counted rows are few; else leave the join to shuffle."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
