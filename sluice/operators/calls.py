@@ -10,6 +10,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from sluice.operators.parameters import (
     statement_error,
     with_parameters,
 )
-from sluice.session import broadcast_if_small, written
+from sluice.session import broadcast_if_small, side_by_side, written
 
 Body = Callable[[DataFrame, dict[str, DataFrame]], DataFrame] | str
 DEFAULT_PIECE_BYTES = 64 * 1024 * 1024
@@ -199,13 +200,17 @@ def run_calls(
     names = [a.name for a in procedure.arguments]
     accepted = bound.where(F.col("error").isNull())
     calls = accepted.select("request_id", *names)
-    rows: dict[int, DataFrame] = {}
-    counts: dict[int, DataFrame] = {}
-    for i, step in enumerate(procedure.steps, 1):
+
+    def run_step(i: int, step: Rows | Count) -> DataFrame:
         if isinstance(step, Rows):
-            rows[i] = written(result_rows(step, calls, tables, epoch_timestamps), f"step{i}")
-        else:
-            counts[i] = written(step_counts(_evaluate(step.body, calls, tables)), f"step{i}")
+            return written(result_rows(step, calls, tables, epoch_timestamps), f"step{i}")
+        return written(step_counts(_evaluate(step.body, calls, tables)), f"step{i}")
+
+    # Steps only read, so none has to wait for another.
+    steps = list(enumerate(procedure.steps, 1))
+    results = side_by_side(bound.sparkSession, [partial(run_step, i, step) for i, step in steps])
+    rows = {i: df for (i, step), df in zip(steps, results) if isinstance(step, Rows)}
+    counts = {i: df for (i, step), df in zip(steps, results) if isinstance(step, Count)}
     elapsed = int((time.monotonic() - started) * 1000)
 
     failed = bound.where(F.col("error").isNotNull()).select(

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+MAX_JOBS = 8
+
 # A table with more rows than this is joined by shuffling instead of broadcasting.
 BROADCAST_ROWS = 100_000
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -23,6 +30,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Large expressions are built faster when the place of each call is not recorded.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
@@ -61,6 +70,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(spark: SparkSession, jobs: list[Callable[[], T]]) -> list[T]:
+    """Run independent jobs at the same time, results in order; the first failure is raised."""
+    if not jobs:
+        return []
+    with ThreadPoolExecutor(max_workers=min(len(jobs), MAX_JOBS)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
 def broadcast_if_small(stored: DataFrame) -> DataFrame:
     """Mark a stored table for broadcasting if its counted rows are few; else leave the join to shuffle."""
     return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored

@@ -1,7 +1,7 @@
 import pytest
 
 from sluice.sources.jdbc import JdbcSettings, jdbc_options
-from sluice.sources.kafka import KafkaSettings, client_options, kafka_options
+from sluice.sources.kafka import KafkaSettings, client_options, kafka_options, trigger_options
 
 
 def test_named_topics():
@@ -28,6 +28,12 @@ def test_pattern_transactions_and_reset():
     assert kafka_options(KafkaSettings(topic="a", offset_reset="none"))["failOnDataLoss"] == "true"
 
 
+def test_stream_limits():
+    settings = KafkaSettings(topic="a", max_offsets_per_trigger=7, max_uncommitted_time="2 secs")
+    assert kafka_options(settings)["maxOffsetsPerTrigger"] == "7"
+    assert trigger_options(settings) == {"processingTime": "2000 milliseconds"}
+
+
 def test_client_options():
     got = client_options({"fetch.max.wait.ms": "5 secs", "retry.backoff.ms": "100", "enable.auto.commit": "False"})
     assert got == {"kafka.fetch.max.wait.ms": "5000", "kafka.retry.backoff.ms": "100"}
