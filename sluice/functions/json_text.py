@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -24,48 +24,61 @@ def _render(node) -> str:
     return json.dumps(node, ensure_ascii=False)
 
 
+def _refuse(constant: str):
+    raise ValueError(f"{constant} is not JSON")
+
+
 def _last_key_wins(text: str | None) -> str | None:
-    """Drop all but the last of equal keys; the first one's place is kept."""
+    """Drop all but the last of equal keys, keeping the first one's place; NULL for what is not JSON."""
     if text is None:
         return None
-    decoder = json.JSONDecoder(parse_float=_NumberText, parse_int=_NumberText)
+    decoder = json.JSONDecoder(parse_float=_NumberText, parse_int=_NumberText, parse_constant=_refuse)
     try:
-        return _render(decoder.raw_decode(text.lstrip())[0])
-    except ValueError:
+        return _render(decoder.raw_decode(text.lstrip(" \t\r\n"))[0])
+    except (ValueError, RecursionError):
         return None
 
 
-@F.pandas_udf(StringType())
-def _repair_duplicates(texts: pd.Series) -> pd.Series:
-    return texts.map(_last_key_wins, na_action="ignore") if texts.notna().any() else texts
+@F.arrow_udf(StringType())
+def _repair_duplicates(texts: pa.Array) -> pa.Array:
+    if texts.null_count == len(texts):
+        return texts
+    return pa.array(map(_last_key_wins, texts.to_pylist()), pa.string())
 
 
-def canonical_json(value: Column, duplicate_keys: str = "last") -> Column:
-    """Compact JSON text of any shape, key order kept; malformed text gives NULL.
+def strict_json(value: Column) -> Column:
+    """Compact JSON text of any shape, key order kept; malformed text and equal keys give NULL.
 
     ``get_json_object`` minifies, but it also takes single-quoted names and
-    keeps equal keys; ``try_parse_json`` is strict on both, so a text that only
-    the first one accepts is looked at again. ``duplicate_keys="last"`` sends
-    just those texts to Python; ``"reject"`` stays in the JVM and treats them as
-    malformed.
+    keeps equal keys; ``try_parse_json`` is strict on both.
     """
-    if duplicate_keys not in ("last", "reject"):
-        raise ValueError("duplicate_keys must be 'last' or 'reject'")
     text = value.cast("string")
     compact = F.get_json_object(text, "$")
-    strict = F.try_parse_json(text).isNotNull()
     # A top-level string comes back without its quotes.
     quoted = F.when(text.rlike(r'^\s*"'), json_scalar(compact)).otherwise(compact)
-    native = F.when(strict, quoted)
-    if duplicate_keys == "reject":
-        return native
-    # The text as it came decides whether it is JSON at all; its compact form has canonical numbers.
-    repaired = _repair_duplicates(F.when(~strict & compact.isNotNull() & ~text.rlike(_SINGLE_QUOTED), compact))
-    return F.coalesce(native, repaired)
+    return F.when(F.try_parse_json(text).isNotNull(), quoted)
+
+
+def repaired_json(value: Column, strict: Column) -> Column:
+    """``strict``, or for a text it refused: the same with the last of equal keys.
 
+    Only refused texts are looked at in Python; ``get_json_object`` then puts
+    numbers in their canonical form. ``strict`` should be a column of its own.
+    """
+    refused = F.when(strict.isNull(), F.make_valid_utf8(value.cast("string")))
+    return F.coalesce(strict, F.get_json_object(_repair_duplicates(refused), "$"))
+
+
+def canonical_json(value: Column, duplicate_keys: str = "last") -> Column:
+    """Compact JSON text of any shape, key order kept; malformed text gives NULL.
 
-# A single-quoted name or value outside double-quoted strings.
-_SINGLE_QUOTED = r"""^(?:[^"']|"(?:[^"\\]|\\.)*+")*+'"""
+    Of equal keys the last one wins, or the text is refused and nothing leaves
+    the JVM (``duplicate_keys="reject"``).
+    """
+    if duplicate_keys not in ("last", "reject"):
+        raise ValueError("duplicate_keys must be 'last' or 'reject'")
+    strict = strict_json(value)
+    return strict if duplicate_keys == "reject" else repaired_json(value, strict)
 
 
 def json_scalar(value: Column) -> Column:

@@ -113,6 +113,8 @@ def _evaluate(body: Body, calls: DataFrame, tables: dict[str, DataFrame]) -> Dat
 
 def row_json(df: DataFrame, columns: list[str], epoch_timestamps: bool = False) -> Column:
     """One row as a JSON object, NULLs written, fields in column order."""
+    if not columns:
+        raise ValueError("a result has no columns")
     if len(set(columns)) != len(columns):
         raise ValueError("a result has two columns of the same name")
     types = {f.name: f.dataType for f in df.schema}

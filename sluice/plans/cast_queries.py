@@ -198,5 +198,7 @@ SQL = {
           CASE doc_id % 6 WHEN 4 THEN 'not a valid hex text' WHEN 5 THEN 'unknown binary format utf8' END AS error
         FROM (SELECT doc_id, CASE WHEN doc_id % 6 IN (0, 1) THEN regexp_replace(text, '[^\\x00-\\x7F]', '?', 'g')
                                   WHEN doc_id % 6 IN (2, 3) THEN text END AS v FROM documents)""",
+    "epoch_zone": f"""SELECT event_id, strftime(timezone('{ZONE}', ts AT TIME ZONE 'UTC'), '%Y-%m-%d %H:%M:%S.%g') AS wall
+        FROM events""",
     "cast_text": """SELECT doc_id, md5(text) AS digest, length(text) AS n_chars FROM documents""",
 }
