@@ -33,7 +33,8 @@ from sluice.operators.parameters import (
 from sluice.session import broadcast_if_small, side_by_side, written
 
 Body = Callable[[DataFrame, dict[str, DataFrame]], DataFrame] | str
-DEFAULT_PIECE_BYTES = 64 * 1024 * 1024
+# Documents up to this size are put together in an aggregate, which may hold over a hundred of them at once.
+DEFAULT_PIECE_BYTES = 8 * 1024 * 1024
 DEFAULT_TASK_BYTES = 256 * 1024 * 1024
 # Piece numbers: step, then range partition, then place in it.
 _STEP_SHIFT, _PART_SHIFT = 1 << 48, 1 << 26

@@ -29,8 +29,9 @@ def test_pattern_transactions_and_reset():
 
 
 def test_stream_limits():
-    settings = KafkaSettings(topic="a", max_offsets_per_trigger=7, max_uncommitted_time="2 secs")
-    assert kafka_options(settings)["maxOffsetsPerTrigger"] == "7"
+    settings = KafkaSettings(topic="a", max_offsets_per_trigger=7, max_uncommitted_time="2 secs", min_partitions=50)
+    options = kafka_options(settings)
+    assert (options["maxOffsetsPerTrigger"], options["minPartitions"]) == ("7", "50")
     assert trigger_options(settings) == {"processingTime": "2000 milliseconds"}
 
 
