@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import cache
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -19,6 +17,8 @@ MAX_JOBS = 8
 # A table with more rows than this is joined by shuffling instead of broadcasting.
 BROADCAST_ROWS = 100_000
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+# Only where a local session names no folder of its own.
+LOCAL_FOLDER = "file:///tmp/checkpoints/sluice"
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "sluice") -> SparkSession:
@@ -34,27 +34,22 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config(CHECKPOINT_SETTING, LOCAL_FOLDER)
         .getOrCreate()
     )
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="sluice-")
-
-
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new folder name below the folder that all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
-    session, where driver and executors are one process, may fall back to a
-    folder of this machine.
+    The session names that folder in ``spark.checkpoint.dir``. Only a local
+    session, where driver and executors are one process, may leave it unset.
     """
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder shared by all executors")
-        root = _local_root()
+        root = LOCAL_FOLDER
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
