@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluice.llm import quality
+from sluice.llm import line_dedup, quality
 from sluice.llm.common import table
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the long lines that five or more documents share."""
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict of the threshold table for every document."""
     judged = quality.judge_quality(table(spark, sf_dir, "documents"))
@@ -16,10 +23,22 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op9_quality": op9_quality}
+QUERIES = {"op5_line_dedup": op5_line_dedup, "op9_quality": op9_quality}
 
 _STOPS = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
 SQL = {
+    "op5_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, pos, line, translate(trim(line, E' \t\n\x0B\f\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))
+), common AS (
+  SELECT k, max(doc_id) AS holder FROM lines WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE holder IS NOT NULL AND holder <> doc_id) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE holder IS NULL OR holder = doc_id), '')) AS kept_sha256
+FROM lines LEFT JOIN common USING (k) GROUP BY doc_id
+""",
     "op9_quality": rf"""
 WITH parts AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,

@@ -35,3 +35,12 @@ def lower_ascii(value: Column) -> Column:
 def rows_frame(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """A frame of few driver rows, also when there are none."""
     return spark.createDataFrame(rows, schema)
+
+
+def fixed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once, however often later expressions use it.
+
+    The optimizer merges plain projections and so would write ``value`` into
+    each of its uses; it keeps a generator, here of one row, as it is.
+    """
+    return df.select(*[c for c in df.columns if c != name], F.explode(F.array(value)).alias(name))

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import SPACE, UPPER, lower_ascii
+from sluice.llm.common import SPACE, UPPER, fixed, lower_ascii
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -62,15 +62,6 @@ def _without(text: Column, characters: str) -> Column:
     return F.char_length(F.translate(text, characters, ""))
 
 
-def _fixed(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add a column that is computed once, however often later expressions use it.
-
-    The optimizer merges plain projections and so would write ``value`` into
-    each of its uses; it keeps a generator, here of one row, as it is.
-    """
-    return df.select(*[c for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
-
-
 def _from(array: str, place: int) -> Column:
     """The rest of an array from a place (1 is the first) on."""
     return F.slice(array, F.lit(place), F.lit(2**30))
@@ -104,10 +95,10 @@ def quality_signals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.translate("text", SPACE, "").alias("packed"),
     )
     # Hashes of 1, 2, 4 and 8 words: each stage pairs the one before with itself, moved by that many words.
-    hashed = _fixed(with_words, "hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    hashed = fixed(with_words, "hashes", F.transform("words", lambda w: F.xxhash64(w)))
     for step in (1, 2, 4):
         pairs = F.zip_with("hashes", _from("hashes", step + 1), lambda a, b: F.xxhash64(a, b))
-        hashed = _fixed(hashed, "hashes", pairs)
+        hashed = fixed(hashed, "hashes", pairs)
     windows = F.slice("hashes", F.lit(1), F.greatest(F.size("words") - (WINDOW - 1), F.lit(0)))
     counted = hashed.select(
         "row",
@@ -123,10 +114,10 @@ def quality_signals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         windows.alias("windows"),
     )
     # Sorting is left to rows that have repeats.
-    counted = _fixed(counted, "windows", F.col("windows"))
+    counted = fixed(counted, "windows", F.col("windows"))
     placed = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    counted = _fixed(counted, "placed", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), placed))
-    repeats = _fixed(counted, "places", F.when(F.col("placed").isNotNull(), _places("placed")))
+    counted = fixed(counted, "placed", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), placed))
+    repeats = fixed(counted, "places", F.when(F.col("placed").isNotNull(), _places("placed")))
     covered = F.aggregate(
         F.zip_with("places", _from("places", 2), lambda a, b: F.least(b - a, F.lit(WINDOW))),
         F.lit(0).cast("long"),
