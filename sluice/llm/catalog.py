@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import line_dedup, quality
+from sluice.llm import line_dedup, quality, sharding
 from sluice.llm.common import table
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near equal bytes."""
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the long lines that five or more documents share."""
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -23,7 +29,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op5_line_dedup": op5_line_dedup, "op9_quality": op9_quality}
+QUERIES = {"op1_sharding": op1_sharding, "op5_line_dedup": op5_line_dedup, "op9_quality": op9_quality}
 
 _STOPS = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
 SQL = {
