@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import line_dedup, quality, sharding
+from sluice.llm import bpe, line_dedup, quality, sharding, token_files
 from sluice.llm.common import table
 
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary file lies on this machine; it is the same on every machine."""
+    return public_tokenizers.path(name)
+
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes."""
@@ -15,6 +20,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and their decoding, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode_documents(docs, vocabulary("word_bpe_49k.json"), digests=True)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the long lines that five or more documents share."""
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -29,7 +40,19 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op5_line_dedup": op5_line_dedup, "op9_quality": op9_quality}
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as ORC files and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_files.token_digests(token_files.tokens_in_files(docs, vocabulary("byte_bpe_50k.json")))
+
+
+QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op3_bpe": op3_bpe,
+    "op5_line_dedup": op5_line_dedup,
+    "op9_quality": op9_quality,
+    "op10_token_files": op10_token_files,
+}
 
 _STOPS = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
 SQL = {
