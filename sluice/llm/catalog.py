@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, line_dedup, quality, sharding, token_files
+from sluice.llm import bpe, line_dedup, quality, sharding, token_files, warc
 from sluice.llm.common import table
 
 def vocabulary(name: str) -> str:
@@ -20,6 +20,15 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from the archives."""
+    records = warc.archived_pages(table(spark, sf_dir, "pages"))
+    return records.select(
+        warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and their decoding, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,6 +57,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_warc": op2_warc,
     "op3_bpe": op3_bpe,
     "op5_line_dedup": op5_line_dedup,
     "op9_quality": op9_quality,

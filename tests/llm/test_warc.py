@@ -1,0 +1,80 @@
+import struct
+
+import pytest
+
+from sluice.llm import warc
+from sluice.llm.catalog import op2_warc
+
+
+def brute(rows):
+    first = {}
+    for page_id, _, html in rows:
+        data = (html or "").encode()
+        first[data] = min(first.get(data, page_id), page_id)
+    out = []
+    for page_id, _, html in rows:
+        data = (html or "").encode()
+        again = first[data] != page_id
+        out.append((page_id, len(data), warc.digest32(data), "revisit" if again else "response", first[data] if again else None))
+    return sorted(map(repr, out))
+
+
+def test_query_against_brute_force(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()
+    got = op2_warc(spark, sf).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert sorted(repr(tuple(r)) for r in got) == brute(pages)
+
+
+def test_edges_and_round_trip(spark, tmp_path):
+    rows = [
+        (5, "http://a/ü\r\nX: y", "same"), (3, None, "same"), (3, None, "same"), (9, "u", None), (8, "u", ""), (None, "u", "same"),
+        (None, "u", "alone"), (7, "u", "é\r\n\r\n\0" * 9), (11, "u", "x" * 3_000_000),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS payload", "2 AS first")
+    folder = f"file://{tmp_path}/a"
+    warc.write_archives(df, folder, archive_bytes=1000)
+    got = warc.read_archives(spark, folder).collect()
+    found = {(r["record_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in got}
+    page = lambda i: f"<urn:x-page:{i}>"
+    assert len(got) == len(rows) and all(r["error"] is None for r in got)
+    assert found == {
+        (page(5), "revisit", page(3), 4), (page(3), "response", None, 4), (page(9), "revisit", page(8), 0),
+        (page(8), "response", None, 0), (page("none"), "revisit", page(3), 4), (page("none"), "response", None, 5),
+        (page(7), "response", None, 63), (page(11), "response", None, 3_000_000),
+    }
+    assert {bytes(r["payload"]).decode() for r in got if r["payload"]} >= {"é\r\n\r\n\0" * 9, "same", "alone"}
+    warc.write_archives(df.limit(0), folder + "0")
+    assert warc.read_archives(spark, folder + "0").count() == 0
+    warc.write_archives(df, folder + "5", least_revisit_bytes=5)
+    assert {r["record_type"] for r in warc.read_archives(spark, folder + "5").collect()} == {"response"}
+
+
+def test_damage_is_reported():
+    records = [warc.record(i, "http://a/", f"<p>{i} text</p>".encode() * 50, None, False, "2020-01-01T00:00:00Z") for i in range(40)]
+    data = warc.archive(records, 2048)
+    assert struct.unpack_from("<I", data)[0] == warc.DICTIONARY
+    whole = list(warc.read_archive(data))
+    assert [r["error"] for r in whole] == [None] * 40
+    assert len(list(warc.read_archive(data[:-3]))) == 40 and list(warc.read_archive(data[:-3]))[-1]["error"]
+    at = whole[7]["offset"]
+    broken = data[: at + 30] + bytes([data[at + 30] ^ 255]) + data[at + 31 :]
+    errors = [r["error"] for r in warc.read_archive(broken)]
+    assert any(errors) and errors[:7] == [None] * 7
+    assert list(warc.read_archive(b"not an archive"))[0]["error"] == "no Zstandard frame"
+    assert list(warc.read_archive(data + warc.EMPTY_FRAME.encode()))[-1]["error"] is None
+
+
+@pytest.mark.parametrize(
+    ("change", "message"),
+    [
+        ((b"WARC/1.1", b"WARC/0.1"), "no WARC header"),
+        ((b"WARC-Date: 2020", b"X: 2020"), "no WARC-Date"),
+        ((b"Content-Length: 8", b"Content-Length: 9"), "Content-Length"),
+        ((b"hello", b"hullo"), "digest"),
+    ],
+)
+def test_headers_and_lengths_are_checked(change, message):
+    data = warc.record(1, "u", b"hello", None, False, "2020-01-01T00:00:00Z")
+    warc.parse_record(data)
+    with pytest.raises(ValueError, match=message):
+        warc.parse_record(data.replace(*change))
