@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, fingerprints, line_dedup, quality, sharding, token_files, warc
+from sluice.llm import bpe, fingerprints, line_dedup, ngram_join, quality, sharding, token_files, warc
 from sluice.llm.common import table
 
 def vocabulary(name: str) -> str:
@@ -41,6 +41,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles have a Jaccard similarity of 0.85 or more."""
+    return ngram_join.join_ngrams(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint against those of its edited text and of the next document."""
     compared = fingerprints.compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -69,6 +74,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_bpe": op3_bpe,
     "op5_line_dedup": op5_line_dedup,
+    "op6_ngram_join": op6_ngram_join,
     "op8_fingerprints": op8_fingerprints,
     "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,
