@@ -44,3 +44,10 @@ def fixed(df: DataFrame, name: str, value: Column) -> DataFrame:
     each of its uses; it keeps a generator, here of one row, as it is.
     """
     return df.select(*[c for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
+def id_cuts(df: DataFrame, column: str, count: int) -> list[int]:
+    """Rising values that cut a column into about ``count`` parts of near equal size; they only balance work."""
+    if count < 2:
+        return []
+    return sorted({int(q) for q in df.approxQuantile(column, [i / count for i in range(1, count)], 0.2 / count)})

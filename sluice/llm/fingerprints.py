@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import rows_frame, width
+from sluice.llm.common import id_cuts, rows_frame, width
 
 WINDOW, NEIGHBOURS, POPULAR = 32, 32, 8
 BITS, HASHES, PER_FILTER = 2048, 5, 160
@@ -183,8 +183,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     """
     spark, ranges = docs.sparkSession, width(docs.sparkSession)
     keyed = docs.withColumn("key", F.coalesce("doc_id", F.lit(LOWEST)))
-    quantiles = docs.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
-    part = _range_of(sorted({int(q) for q in quantiles}), F.col("key"))
+    part = _range_of(id_cuts(docs, "doc_id", ranges), F.col("key"))
     placed = keyed.withColumn("part", part)
     heads = sorted((r["part"], r["head"]) for r in placed.groupBy("part").agg(F.max("key").alias("head")).collect())
     # The row after a range is the head of the range below; below the last comes the first.

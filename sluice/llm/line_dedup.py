@@ -15,7 +15,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import SPACE, fixed, hash_pair, lower_ascii, width
+from sluice.llm.common import SPACE, fixed, hash_pair, id_cuts, lower_ascii, width
+from sluice.session import written
 
 KEYS = ["h1", "h2"]
 # A key in more than 1 / HOT_SHARE of all (document, line) pairs is hot; there are at most HOT_SHARE such keys.
@@ -106,27 +107,25 @@ class LineRuns:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def _batches(docs: DataFrame, count: int) -> list[DataFrame]:
+def _batches(keys: DataFrame, count: int) -> list[DataFrame]:
     """Ranges of ids, largest first; the last also takes rows without an id. The cuts only balance the batches."""
-    cuts = sorted(set(docs.approxQuantile("doc_id", [i / count for i in range(1, count)], 0.01)), reverse=True)
-    at = F.col("doc_id")
-    upper = [None, *[int(c) for c in cuts]]
+    at, upper = F.col("doc_id"), [None, *reversed(id_cuts(keys, "doc_id", count))]
     out = []
     for high, low in zip(upper, [*upper[1:], None], strict=True):
         rule = F.lit(True) if high is None else at <= high
-        out.append(docs.where(rule & (at > low)) if low is not None else docs.where(rule | at.isNull()))
+        out.append(keys.where(rule & (at > low)) if low is not None else keys.where(rule | at.isNull()))
     return out
 
 
-def index_lines(docs: DataFrame, min_chars: int, batches: int, fanout: int) -> DataFrame:
-    """The compacted run of all documents (doc_id, text)."""
-    runs = LineRuns(docs.sparkSession, fanout)
-    for batch in _batches(docs, batches):
-        runs.add(document_keys(batch, min_chars))
+def index_lines(keys: DataFrame, batches: int, fanout: int) -> DataFrame:
+    """The compacted run of all documents' keys (doc_id, h1, h2)."""
+    runs = LineRuns(keys.sparkSession, fanout)
+    for batch in _batches(keys, batches):
+        runs.add(batch)
     return runs.compacted()
 
 
-def dropped_lines(docs: DataFrame, index: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+def dropped_lines(keys: DataFrame, index: DataFrame, min_docs: int) -> DataFrame:
     """(doc_id, drops): the keys each document loses.
 
     Hot keys, at most ``HOT_SHARE`` by their share of all pairs, are broadcast;
@@ -136,7 +135,6 @@ def dropped_lines(docs: DataFrame, index: DataFrame, min_chars: int, min_docs: i
     common = index.where(F.col("n_docs") >= min_docs)
     is_hot = F.col("n_docs") > pairs / HOT_SHARE
     hot, rest = common.where(is_hot).select(*KEYS, "holder"), common.where(~is_hot).select(*KEYS, "holder")
-    keys = document_keys(docs, min_chars)
     lost = ~F.col("doc_id").eqNullSafe(F.col("holder"))
     few = keys.join(F.broadcast(hot), KEYS).where(lost)
     others = keys.join(F.broadcast(hot.select(*KEYS)), KEYS, "left_anti").join(rest, KEYS).where(lost)
@@ -157,7 +155,9 @@ def dedup_lines(
     """
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"))
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    drops = dropped_lines(slim, index_lines(slim, min_chars, batches, fanout), min_chars, min_docs)
+    # Hashes are stored once: batches and the last join read them and not the texts again.
+    keys = written(document_keys(slim, min_chars), "line-keys")
+    drops = dropped_lines(keys, index_lines(keys, batches, fanout), min_docs)
     drops = drops.withColumnRenamed("doc_id", "drop_id")
     joined = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("drop_id")), "left").drop("drop_id")
     split = fixed(joined, "lines", lines_of(F.col("row")[text_col]))
