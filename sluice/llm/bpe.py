@@ -25,7 +25,7 @@ from sluice.llm import pretokens as P
 
 NEVER = 1 << 62
 # Token pairs whose compatibility a worker remembers.
-SEEN = 3_000_000
+SEEN = 500_000
 # Fixed value: the mark of a word's end in the vocabulary file.
 WORD_END = "</w>"
 # A symbol at a word's end is moved to this place, so that each symbol is one character.

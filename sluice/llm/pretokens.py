@@ -64,20 +64,20 @@ def spans_hash(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 
 class SeenSpans:
-    """Values of spans by hash, kept from batch to batch up to ``limit`` different ones."""
+    """Values of spans by hash, kept from batch to batch up to ``limit`` different ones, in arrays of some 40 bytes each."""
 
-    def __init__(self, limit: int = 3_000_000):
+    def __init__(self, limit: int = 2_000_000):
         self.limit = limit
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.keys, self.numbers = np.empty(0, np.uint64), np.empty(0, np.int64)
         self.flat, self.begin, self.size = np.empty(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _learn(self, keys: list[int], values: list[np.ndarray]) -> None:
+    def _learn(self, keys: np.ndarray, values: list[np.ndarray]) -> None:
         sizes = np.array([len(v) for v in values], dtype=np.int64)
-        at, count = len(self.known), len(values)
+        at, count = len(self.keys), len(values)
         grown = self.used + int(sizes.sum())
         if grown > len(self.flat):
             self.flat = np.concatenate([self.flat[: self.used], np.empty(grown, np.uint32)])
@@ -85,23 +85,31 @@ class SeenSpans:
             self.begin, self.size = (np.concatenate([x[:at], np.zeros(at + count, np.int64)]) for x in (self.begin, self.size))
         self.flat[self.used : grown] = np.concatenate(values)
         self.begin[at : at + count], self.size[at : at + count] = self.used + np.cumsum(sizes) - sizes, sizes
-        self.known.update(zip(keys, range(at, at + count), strict=True))
+        places = np.searchsorted(self.keys, keys)
+        self.keys, self.numbers = np.insert(self.keys, places, keys), np.insert(self.numbers, places, np.arange(at, at + count))
         self.used = grown
 
+    def _places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where keys are, and which are there."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), dtype=bool)
+        places = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return places, self.keys[places] == keys
+
     def values_of(self, points, starts, ends, make) -> tuple[np.ndarray, np.ndarray]:
         """The spans' values, one after the other, and how long each is; ``make(strings)`` gives those not seen before."""
         if not len(starts):
             return np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.int64)
         different, first, place = np.unique(spans_hash(points, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) + len(different) > self.limit:
+        if len(self.keys) + len(different) > self.limit:
             self._forget()
-        keys = different.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.known]
-        if new:
-            at = first[new]
+        places, known = self._places(different)
+        if not known.all():
+            at = first[~known]
             strings = [points[a:b].tobytes().decode("utf-32-le", "surrogatepass") for a, b in zip(starts[at], ends[at], strict=True)]
-            self._learn([keys[i] for i in new], list(make(strings)))
-        numbers = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[place]
+            self._learn(different[~known], list(make(strings)))
+            places, _ = self._places(different)
+        numbers = self.numbers[places][place]
         lengths = self.size[numbers]
         shift = np.repeat(self.begin[numbers] - (np.cumsum(lengths) - lengths), lengths)
         shift += np.arange(len(shift))
@@ -153,7 +161,7 @@ def contractions(points: np.ndarray, starts: np.ndarray, kinds: np.ndarray) -> N
 
 
 # Code points that are worked on together, and different pre-tokens that a worker remembers.
-CHUNK, SEEN = 2_000_000, 3_000_000
+CHUNK, SEEN = 2_000_000, 2_000_000
 
 
 class TextEncoder:
