@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, fingerprints, line_dedup, ngram_join, quality, sharding, token_files, warc
+from sluice.llm import bpe, fingerprints, line_dedup, mixing, ngram_join, quality, sharding, token_files, url_rules, warc
 from sluice.llm.common import table
 
 def vocabulary(name: str) -> str:
@@ -35,6 +35,20 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, vocabulary("word_bpe_49k.json"), digests=True)
 
 
+# Fixed values of the query's contract.
+HOST_RULES = [
+    url_rules.host_rule(line)
+    for line in ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
+]
+
+
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on every page's URL by host rules, else by rules mined from the labels."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    mined = url_rules.mine_rules(url_rules.labelled_urls(pages, table(spark, sf_dir, "labels")))
+    return url_rules.judge_urls(pages, HOST_RULES, mined)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the long lines that five or more documents share."""
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -46,6 +60,14 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_ngrams(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's domain posteriors and its rate towards the target weights."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rated = mixing.rate_documents(docs, labels)
+    shares = [F.round(F.element_at("p", k + 1), 6).alias(f"p_{d}") for k, d in enumerate(mixing.DOMAINS)]
+    return rated.select("doc_id", "n_tokens", *shares, F.round("rate", 6).alias("rate"), "copies")
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint against those of its edited text and of the next document."""
     compared = fingerprints.compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -73,8 +95,10 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_warc": op2_warc,
     "op3_bpe": op3_bpe,
+    "op4_url_rules": op4_url_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_ngram_join": op6_ngram_join,
+    "op7_mixing": op7_mixing,
     "op8_fingerprints": op8_fingerprints,
     "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,

@@ -32,6 +32,16 @@ def lower_ascii(value: Column) -> Column:
     return F.translate(value, UPPER, LOWER)
 
 
+def carried(docs: DataFrame) -> list[Column]:
+    """All columns of an input, named by place: such names clash with none."""
+    return [F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(docs.columns)]
+
+
+def restored(names: list[str]) -> list[Column]:
+    """The carried columns under their own names."""
+    return [F.col(f"in_{i}").alias(n) for i, n in enumerate(names)]
+
+
 def rows_frame(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """A frame of few driver rows, also when there are none."""
     return spark.createDataFrame(rows, schema)

@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import SPACE, fixed, hash_pair, id_cuts, lower_ascii, width
+from sluice.llm.common import SPACE, carried, fixed, hash_pair, id_cuts, lower_ascii, restored, width
 from sluice.session import written
 
 KEYS = ["h1", "h2"]
@@ -143,24 +143,25 @@ def dropped_lines(keys: DataFrame, index: DataFrame, min_docs: int) -> DataFrame
 
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5,
-    batches: int = 4, fanout: int = 3,
+    batches: int = 4, fanout: int = 3, carry: bool = False,
 ) -> DataFrame:
     """Documents without lines that many share; only the largest id that has a line keeps it.
 
     Line keys of at least ``min_chars`` code points found in at least
-    ``min_docs`` documents go. Returns ``row`` (the input row), ``doc_id``,
-    ``n_lines``, ``n_dropped`` and ``kept_text``. A NULL or empty text is one
+    ``min_docs`` documents go. Returns ``doc_id``, ``n_lines``, ``n_dropped``
+    and ``kept_text``, with ``carry`` also the input's columns as ``in_0``,
+    ``in_1`` and so on. A NULL or empty text is one
     empty line. Rows that repeat an id are one document; rows without an id are
     one document that comes last. An empty table gives no rows.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"))
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(*carried(docs), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) if carry else slim
     # Hashes are stored once: batches and the last join read them and not the texts again.
     keys = written(document_keys(slim, min_chars), "line-keys")
     drops = dropped_lines(keys, index_lines(keys, batches, fanout), min_docs)
     drops = drops.withColumnRenamed("doc_id", "drop_id")
     joined = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("drop_id")), "left").drop("drop_id")
-    split = fixed(joined, "lines", lines_of(F.col("row")[text_col]))
+    split = fixed(joined, "lines", lines_of(F.col("text"))).drop("text")
 
     def stays(line: Column) -> Column:
         key = line_key(line)
@@ -168,9 +169,15 @@ def dedup_lines(
 
     kept = F.when(F.col("drops").isNull(), F.col("lines")).otherwise(F.filter("lines", stays))
     return fixed(split, "kept", kept).select(
-        "row",
+        *[c for c in split.columns if c.startswith("in_")],
         "doc_id",
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
         F.array_join("kept", "\n").alias("kept_text"),
     )
+
+
+def without_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with all their columns, their texts without the lines that many share."""
+    kept = dedup_lines(docs, id_col, text_col, carry=True).withColumn(f"in_{docs.columns.index(text_col)}", F.col("kept_text"))
+    return kept.select(*restored(docs.columns))

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import SPACE, UPPER, fixed, lower_ascii
+from sluice.llm.common import SPACE, UPPER, carried, fixed, lower_ascii, restored
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -76,8 +76,12 @@ def _places(placed: str) -> Column:
     return F.sort_array(F.flatten(pairs))
 
 
-def quality_signals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stop_words=STOP_WORDS) -> DataFrame:
-    """One row per row of ``docs``: the id, base counts, the ratios that rules refer to, and ``row``, the row itself.
+def quality_signals(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stop_words=STOP_WORDS, carry: bool = False
+) -> DataFrame:
+    """One row per row of ``docs``: the id, base counts, and the ratios that rules refer to.
+
+    With ``carry`` the input's columns follow as ``in_0``, ``in_1`` and so on.
 
     A NULL or empty text counts as one without words. Ratios without a
     denominator are NULL and pass every rule. Ids may be NULL or repeat; equal
@@ -85,9 +89,10 @@ def quality_signals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     stops = [F.lit(w) for w in sorted(set(stop_words))]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"), text.alias("text"))
+    more = [f"in_{i}" for i in range(len(docs.columns))] if carry else []
+    base = docs.select(*(carried(docs) if carry else []), F.col(id_col).alias("doc_id"), text.alias("text"))
     with_words = base.select(
-        "row",
+        *more,
         "doc_id",
         "text",
         words_of(F.col("text")).alias("words"),
@@ -101,7 +106,7 @@ def quality_signals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         hashed = fixed(hashed, "hashes", pairs)
     windows = F.slice("hashes", F.lit(1), F.greatest(F.size("words") - (WINDOW - 1), F.lit(0)))
     counted = hashed.select(
-        "row",
+        *more,
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
         F.char_length("packed").cast("long").alias("word_chars"),
@@ -126,7 +131,7 @@ def quality_signals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n = F.nullif(F.col("n_words"), F.lit(0)).cast("double")
     chars, lines = F.nullif(F.col("word_chars"), F.lit(0)).cast("double"), F.nullif(F.col("n_lines"), F.lit(0)).cast("double")
     return repeats.select(
-        "row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        *more, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
         F.when(F.col("places").isNull(), F.lit(0).cast("long")).otherwise(covered).alias("n_repeat_words"),
         (F.col("word_chars") / n).alias("mean_word_chars"),
         (F.col("n_symbols") / chars).alias("symbol_ratio"),
@@ -149,12 +154,14 @@ def verdict(rules=RULES) -> Column:
     return out
 
 
-def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES) -> DataFrame:
+def judge_quality(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES, carry: bool = False
+) -> DataFrame:
     """Signals of every document with ``base_failed`` and ``kept``."""
-    signals = quality_signals(docs, id_col, text_col)
+    signals = quality_signals(docs, id_col, text_col, carry=carry)
     return signals.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules))
 
 
 def keep_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES) -> DataFrame:
     """The documents that pass, with all their columns."""
-    return judge_quality(docs, id_col, text_col, rules).where("kept").select("row.*")
+    return judge_quality(docs, id_col, text_col, rules, carry=True).where("kept").select(*restored(docs.columns))

@@ -1,0 +1,81 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.llm import url_rules as U
+from sluice.llm.catalog import HOST_RULES, op4_url_rules
+
+LINES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    host, path = re.match(r"([^/?#]*)([^?#]*)", url.split("://", 1)[1], re.S).groups()
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def brute(url):
+    host, path = parts(url)
+    fits = [(len(h + p), h + p, v) for v, h, p in LINES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return (host, path, *(max(fits)[1:] if fits else (None, None)))
+
+
+URLS = [
+    None, "", "no scheme", "http://a.org", "http://a.org/", "HTTP://A.Org/x", "x://example.org/es/1", "http://sub.example.org/en/12?q#f",
+    "http://notexample.org/es/", "http://com/fr/", "http://xcom/fr/", "http://a.com?/fr/", "http://a.com/de/#x", "http://É.com/de/x", "://org/",
+    "http://a.org/x://b.com/de/", "http://a.com/\nde/", "http://user@a.org:80/", "http://example.org/en/1", "http://example.org/en/2", "x" * 50000 + "://org/",
+]
+
+
+def test_edges_against_brute_force(spark):
+    df = spark.createDataFrame([(i, u, "t") for i, u in enumerate(URLS)] + [(None, "http://a.org/", "t")] * 2, "page_id long, url string, tokens string")
+    got = {r["page_id"]: r for r in U.judge_urls(df, HOST_RULES, []).collect()}
+    assert len(got) == len(URLS) + 1
+    for i, u in enumerate(URLS):
+        host, path, rule, verdict = brute(u)
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"], got[i]["verdict"]) == (host, path, rule, verdict or "allow"), u[:40]
+    assert U.judge_urls(df.limit(0), HOST_RULES, []).count() == 0
+
+
+def test_query_against_brute_force(spark, sf):
+    pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = op4_url_rules(spark, sf).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        host, path, rule, verdict = brute(pages[r["page_id"]])
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
+        assert r["verdict"] == (verdict or ("block" if r["mined_rule"] else "allow"))
+
+
+def test_mined_rules(spark):
+    """A host that is always bad, and a pair of tokens that is bad only together."""
+    rows = []
+    for i in range(1200):
+        host = ["spam.net", "good.net", "shop.net", "news.net"][i % 4]
+        section, tail = ["a", "b", "c"][i % 3], ["x", "y"][i // 4 % 2]
+        bad = host == "spam.net" or (host == "shop.net" and section == "a") or i % 97 == 0
+        rows.append((i, f"http://{host}/{section}/{i}?{tail}={i}", 0 if bad else 1, 0))
+    df = spark.createDataFrame(rows, "page_id long, url string, quality int, toxic int")
+    labels = df.select(F.col("page_id").alias("doc_id"), "quality", "toxic")
+    found = {" ".join(sorted(r.tokens)) for r in U.mine_rules(U.labelled_urls(df, labels))}
+    assert found == {"host:spam", "host:shop path:a"}
+    judged = U.judge_urls(df, [], U.mine_rules(U.labelled_urls(df, labels))).join(df, "page_id")
+    assert judged.where("(quality = 0) <> (verdict = 'block')").count() == sum(i % 97 == 0 and i % 4 and not (i % 4 == 2 and i % 3 == 0) for i in range(1200))
+    assert U.mine_rules(U.labelled_urls(df, labels.limit(0))) == []
+    assert U.mine_rules(U.labelled_urls(df.withColumn("url", F.lit(None).cast("string")), labels)) == []
+    few = U.mine_rules(U.labelled_urls(df, labels.where("doc_id < 40")))
+    assert few == []
+
+
+def test_index_tries_every_rule():
+    rules = [U.MinedRule(frozenset(t.split()), 0.1, c) for t, c in (("a b", 0.6), ("b c", 0.7), ("d", 0.9))]
+    index = U.RuleIndex(rules)
+    assert index.best(["a", "b"]).confidence == 0.6 and index.best(["a", "b", "c"]).confidence == 0.7
+    assert index.best(["a", "c"]) is None and index.best([]) is None
+
+
+def test_rule_lines():
+    with pytest.raises(ValueError):
+        U.host_rule("deny org/")
