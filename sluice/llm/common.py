@@ -61,3 +61,11 @@ def id_cuts(df: DataFrame, column: str, count: int) -> list[int]:
     if count < 2:
         return []
     return sorted({int(q) for q in df.approxQuantile(column, [i / count for i in range(1, count)], 0.2 / count)})
+
+
+def cut_number(cuts: list, key: Column, low: int = 0) -> Column:
+    """How many of the rising cuts lie below a key: a binary search as an expression."""
+    if not cuts:
+        return F.lit(low)
+    mid = len(cuts) // 2
+    return F.when(key <= cuts[mid], cut_number(cuts[:mid], key, low)).otherwise(cut_number(cuts[mid + 1 :], key, low + mid + 1))

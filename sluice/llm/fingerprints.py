@@ -13,10 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import id_cuts, rows_frame, width
+from sluice.llm.common import cut_number, id_cuts, rows_frame, width
 
 WINDOW, NEIGHBOURS, POPULAR = 32, 32, 8
 BITS, HASHES, PER_FILTER = 2048, 5, 160
@@ -167,14 +167,6 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _range_of(cuts: list[int], key: Column, low: int = 0) -> Column:
-    """The number of cuts below a key: a binary search as an expression."""
-    if not cuts:
-        return F.lit(low)
-    mid = len(cuts) // 2
-    return F.when(key <= cuts[mid], _range_of(cuts[:mid], key, low)).otherwise(_range_of(cuts[mid + 1 :], key, low + mid + 1))
-
-
 def in_order(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, text) dealt out by ranges of ids, descending within a task, each range followed by the next one's first row.
 
@@ -183,7 +175,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     """
     spark, ranges = docs.sparkSession, width(docs.sparkSession)
     keyed = docs.withColumn("key", F.coalesce("doc_id", F.lit(LOWEST)))
-    part = _range_of(id_cuts(docs, "doc_id", ranges), F.col("key"))
+    part = cut_number(id_cuts(docs, "doc_id", ranges), F.col("key"))
     placed = keyed.withColumn("part", part)
     heads = sorted((r["part"], r["head"]) for r in placed.groupBy("part").agg(F.max("key").alias("head")).collect())
     # The row after a range is the head of the range below; below the last comes the first.

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import hash_pair, rows_frame, width
+from sluice.llm.common import cut_number, hash_pair, rows_frame, width
 from sluice.session import written
 
 KEYS = ["h1", "h2"]
@@ -29,22 +29,16 @@ class Boundaries:
         self.ends = np.array([0, total], dtype=np.int64)
         self.whole = np.array([True, False])  # whole[i]: no unknown end between ends[i - 1] and ends[i]
 
-    def refine(self, found: list[tuple[int, int, int, int]]) -> None:
-        """Take in (smallest end, largest end, count, number of the gap's right end) of cells within gaps."""
-        if not found:
-            self.whole[:] = True
-            return
-        ends, whole = dict(zip(self.ends.tolist(), self.whole.tolist(), strict=True)), {}
-        for low, high, count, right in sorted(found):
-            ends.setdefault(low, True)
-            whole[low] = True  # nothing lies below the smallest end of a cell and above the cell before
-            if high != low:
-                whole[high] = count <= 2
-            ends.setdefault(high, True)
-            ends[right] = True
-        ends |= whole
-        self.ends = np.array(sorted(ends), dtype=np.int64)
-        self.whole = np.array([ends[e] for e in self.ends.tolist()])
+    def refine(self, found: list[tuple[int, int, int]], asked: list[tuple[int, int]]) -> None:
+        """Take in (smallest end, largest end, count) of cells, which hold all ends within the windows ``asked``."""
+        known = dict(zip(self.ends.tolist(), self.whole.tolist(), strict=True))
+        for low, high, count in found:
+            known[high] = known.get(high, False) or count <= 2
+            known[low] = True  # no end lies between the cell before and the smallest end of this one
+        for _, right in asked:
+            known[right] = True
+        self.ends = np.array(sorted(known), dtype=np.int64)
+        self.whole = np.array([known[e] for e in self.ends.tolist()])
 
     def cut(self, at: int, hopeful: bool) -> int:
         """The last end up to ``at``; with ``hopeful``, as far as an unknown end could lie."""
@@ -84,33 +78,35 @@ def minimax_cuts(groups: DataFrame, total: int, largest: int, shards: int) -> li
     if not total:
         return [0] * shards
     line, low = Boundaries(total), max(-(-total // shards), largest)
-    asked: list[tuple[int, int]] = [(0, total)]
+    asked = [(0, total)]
     while True:
-        line.refine(_look(groups, asked))
+        line.refine(_look(groups, asked), asked)
         sure, hope = line.smallest(low, shards, False), line.smallest(low, shards, True)
         near, far = line.walk(hope, shards, False), line.walk(sure, shards, True)
         if sure == hope and near == far:
             return near
-        low = hope
-        # Cuts of all capacities still possible lie in these windows; ask for the unknown gaps in them.
-        gaps = {
-            int(i)
-            for a, b in zip(near, far, strict=True)
-            for i in range(int(np.searchsorted(line.ends, a, "right")), int(np.searchsorted(line.ends, b, "right")) + 1)
-            if i < len(line.ends) and not line.whole[i]
-        }
-        asked = [(int(line.ends[i - 1]), int(line.ends[i])) for i in sorted(gaps)]
-
-
-def _look(groups: DataFrame, gaps: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
-    """Ends strictly within the gaps, by cells: at most about ``LOOK`` rows for however many groups."""
-    cells = max(2, LOOK // max(1, len(gaps)))
-    spark = groups.sparkSession
-    frame = F.broadcast(rows_frame(spark, gaps, "left long, right long"))  # at most LOOK rows
-    inside = groups.join(frame, (F.col("end") > F.col("left")) & (F.col("end") < F.col("right")))
-    cell = F.floor((F.col("end") - F.col("left")) * F.lit(float(cells)) / (F.col("right") - F.col("left")))
-    found = inside.groupBy("right", cell.alias("cell")).agg(F.min("end").alias("low"), F.max("end").alias("high"), F.count("*").alias("n"))
-    return [(r["low"], r["high"], r["n"], r["right"]) for r in found.collect()]
+        low, asked = hope, []
+        # Cuts of all capacities still possible lie between the two walks; ask for what is not known there.
+        for a, b in zip(near, far, strict=True):
+            first, last = int(np.searchsorted(line.ends, a, "right")), int(np.searchsorted(line.ends, b, "right"))
+            unknown = [i for i in range(first, min(last, len(line.ends) - 1) + 1) if not line.whole[i]]
+            if unknown:
+                left, right = int(line.ends[unknown[0] - 1]), int(line.ends[unknown[-1]])
+                if asked and left < asked[-1][1]:
+                    left, right = asked[-1][0], max(right, asked.pop()[1])
+                asked.append((left, right))
+
+
+def _look(groups: DataFrame, windows: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """Ends strictly within rising windows, one for each shard at most, by cells: about ``LOOK`` rows for however many groups."""
+    cells = max(2, LOOK // len(windows))
+    number, end = cut_number([right for _, right in windows], F.col("end")), F.col("end")
+    placed = groups.where((end > windows[0][0]) & (end < windows[-1][1])).select("end", number.alias("window"))
+    left, right = (F.element_at(F.array(*[F.lit(w[i]).cast("long") for w in windows]), F.col("window") + 1) for i in (0, 1))
+    inside = placed.withColumns({"left": left, "right": right}).where((end > F.col("left")) & (end < F.col("right")))
+    cell = F.floor((end - F.col("left")) * F.lit(float(cells)) / (F.col("right") - F.col("left")))
+    found = inside.groupBy("window", cell.alias("cell")).agg(F.min("end").alias("low"), F.max("end").alias("high"), F.count("*").alias("n"))
+    return [(r["low"], r["high"], r["n"]) for r in found.collect()]
 
 
 def own_shards(sizes: list[int], total: int, shards: int) -> int:
