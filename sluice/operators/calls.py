@@ -30,12 +30,10 @@ from sluice.operators.parameters import (
     statement_error,
     with_parameters,
 )
-from sluice.session import broadcast_if_small, side_by_side, written
+from sluice.session import Scratch, side_by_side, written
 
 Body = Callable[[DataFrame, dict[str, DataFrame]], DataFrame] | str
-# Documents up to this size are put together in an aggregate, which may hold over a hundred of them at once.
 DEFAULT_PIECE_BYTES = 8 * 1024 * 1024
-DEFAULT_TASK_BYTES = 256 * 1024 * 1024
 # Piece numbers: step, then range partition, then place in it.
 _STEP_SHIFT, _PART_SHIFT = 1 << 48, 1 << 26
 
@@ -55,6 +53,21 @@ class Count:
     body: Body
 
 
+@dataclass(frozen=True)
+class Calls:
+    """What a run gives, in one form for results of every size.
+
+    ``calls``: one row per request, ``request_id, attributes, route, error,
+    duration_ms, pieces, bytes``; the duration is NULL on failure.
+    ``contents``: ``request_id, piece, content``; the document of a request is
+    its contents joined in order of ``piece``, which starts at 0 and rises,
+    perhaps with gaps. A document of up to ``piece_bytes`` is one piece.
+    """
+
+    calls: DataFrame
+    contents: DataFrame
+
+
 @dataclass(frozen=True)
 class Procedure:
     """Arguments, steps, and outputs by index.
@@ -132,21 +145,32 @@ def row_json(df: DataFrame, columns: list[str], epoch_timestamps: bool = False)
 def result_rows(
     step: Rows, calls: DataFrame, tables: dict[str, DataFrame], epoch_timestamps: bool = False
 ) -> DataFrame:
-    """``request_id, place, row, bytes``: the rows of one step as JSON, with their sort key."""
+    """``request_id, place, row``: the rows of one step as JSON, with their sort key."""
     df = _evaluate(step.body, calls, tables)
     columns = [c for c in df.columns if c != "request_id"]
     place = F.struct(*step.order_by) if step.order_by else F.struct(F.lit(0).alias("none"))
     text = row_json(df, columns, epoch_timestamps)
-    return df.select("request_id", place.alias("place"), text.alias("row")).withColumn("bytes", F.octet_length("row"))
+    return df.select("request_id", place.alias("place"), text.alias("row"))
 
 
-def result_arrays(rows: DataFrame) -> DataFrame:
-    """``request_id, result, n``: rows of a request as a JSON array; a request without rows has none."""
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct("place", "row"))), lambda r: r["row"])
-    return rows.groupBy("request_id").agg(
-        F.concat(F.lit("["), F.array_join(ordered, ","), F.lit("]")).alias("result"),
-        F.count(F.lit(1)).alias("n"),
+def result_pieces(rows: DataFrame, piece_bytes: int = DEFAULT_PIECE_BYTES) -> DataFrame:
+    """``request_id, part, seq, text``: stored rows of a request, in order, joined by commas into pieces.
+
+    Rows are dealt out in ranges of request, place and row, so that a request
+    takes as many tasks as its rows need, and are streamed into pieces. What
+    ranges are cut by holds no text of the rows; equal places are told apart by
+    the row's hash and number.
+    """
+    keys = ["request_id", "place", "row_hash", "row_id"]
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (
+        rows.withColumn("row_hash", F.xxhash64("row"))
+        .repartitionByRange(ranges, *keys)
+        .sortWithinPartitions(*keys)
+        .select("request_id", "row", F.spark_partition_id().cast("bigint").alias("part"))
     )
+    joined = join_runs(ordered, ["request_id"], "row", ",", 1 << 30, piece_bytes, firsts={"part": "part"}, lasts={})
+    return joined.select("request_id", "part", F.col("run_seq").alias("seq"), F.col("row").alias("text"))
 
 
 def step_counts(df: DataFrame) -> DataFrame:
@@ -169,74 +193,54 @@ def outputs_json(outputs: dict[int, Column]) -> Column:
     )
 
 
-def document(results: Column, outputs: Column) -> Column:
-    """``{"RESULTS":[...],"OUTPUTS":{...}}``; a NULL part is left out."""
-    return F.concat(
-        F.lit("{"),
-        F.concat_ws(",", F.concat(F.lit('"RESULTS":'), results), F.concat(F.lit('"OUTPUTS":'), outputs)),
-        F.lit("}"),
-    )
-
-
 def run_calls(
     requests: DataFrame,
     procedure: Procedure,
     tables: dict[str, DataFrame],
     properties: dict[str, str] | None = None,
     piece_bytes: int = DEFAULT_PIECE_BYTES,
-    task_bytes: int = DEFAULT_TASK_BYTES,
     epoch_timestamps: bool = False,
-) -> DataFrame:
-    """``request_id, attributes, route, error, duration_ms, piece, content`` for every request.
+) -> Calls:
+    """Run a procedure for every request; see ``Calls`` for what comes back.
 
-    A document is one row with ``piece`` 0. One whose rows exceed
-    ``piece_bytes`` is written as several rows instead: its text is their
-    ``content`` joined in order of ``piece`` (numbers rise with gaps), and only
-    the first carries the attributes. So no request, however large its results,
-    is gathered in one task.
+    All documents are put together in the same way: results are joined into
+    pieces, and pieces of about ``piece_bytes`` of a request are joined to the
+    contents. So no request, however large its results, is gathered in one task.
 
-    Bound requests and result rows are written once to the shared folder: each
-    body runs once, and a lost executor does not force it to run again.
+    Each body runs once, into a scratch table; those are dropped when the two
+    tables of the result are written to the shared folder.
     """
     started = time.monotonic()
-    bound = written(bind_requests(requests, procedure, properties), "calls")
-    names = [a.name for a in procedure.arguments]
-    accepted = bound.where(F.col("error").isNull())
-    calls = accepted.select("request_id", *names)
-
-    def run_step(i: int, step: Rows | Count) -> DataFrame:
-        if isinstance(step, Rows):
-            return written(result_rows(step, calls, tables, epoch_timestamps), f"step{i}")
-        return written(step_counts(_evaluate(step.body, calls, tables)), f"step{i}")
-
-    # Steps only read, so none has to wait for another.
-    steps = list(enumerate(procedure.steps, 1))
-    results = side_by_side(bound.sparkSession, [partial(run_step, i, step) for i, step in steps])
-    rows = {i: df for (i, step), df in zip(steps, results) if isinstance(step, Rows)}
-    counts = {i: df for (i, step), df in zip(steps, results) if isinstance(step, Count)}
-    elapsed = int((time.monotonic() - started) * 1000)
-
-    failed = bound.where(F.col("error").isNotNull()).select(
-        "request_id", "attributes", F.lit(0).cast("bigint").alias("piece"), F.lit(None).cast("string").alias("content"),
-        "error",
-    )
-    large = _large_requests(rows, piece_bytes)
-    whole_rows = rows
-    if large is not None:
-        whole_rows = {i: r.join(large, "request_id", "left_anti") for i, r in rows.items()}
-        accepted_whole = accepted.join(large, "request_id", "left_anti")
-    else:
-        accepted_whole = accepted
-    done = _whole_documents(accepted_whole, procedure, whole_rows, counts)
-    if large is not None:
-        done = done.unionByName(_split_documents(accepted, procedure, rows, counts, large, piece_bytes, task_bytes))
-    no_error = F.lit(None).cast("string").alias("error")
-    return (
-        done.select("request_id", "attributes", "piece", "content", no_error)
-        .unionByName(failed)
-        .withColumn("route", F.when(F.col("error").isNull(), SUCCESS).otherwise(FAILURE))
-        .withColumn("duration_ms", F.lit(elapsed).cast("bigint"))
-    )
+    spark = requests.sparkSession
+    scratch = Scratch(spark)
+    try:
+        bound = scratch.written(bind_requests(requests, procedure, properties), "calls")
+        accepted = bound.where(F.col("error").isNull())
+        calls = accepted.select("request_id", *[a.name for a in procedure.arguments])
+
+        def run_step(i: int, step: Rows | Count) -> DataFrame:
+            if isinstance(step, Rows):
+                rows = result_rows(step, calls, tables, epoch_timestamps)
+                return scratch.written(rows.withColumn("row_id", F.monotonically_increasing_id()), f"step{i}")
+            return scratch.written(step_counts(_evaluate(step.body, calls, tables)), f"step{i}")
+
+        # Steps only read, so none has to wait for another.
+        steps = list(enumerate(procedure.steps, 1))
+        results = dict(zip([i for i, _ in steps], side_by_side(spark, [partial(run_step, i, s) for i, s in steps]), strict=True))
+        contents = written(_contents(accepted, procedure, results, piece_bytes, scratch), "contents")
+        sizes = contents.groupBy("request_id").agg(
+            F.count("*").alias("pieces"), F.sum(F.octet_length("content")).alias("bytes")
+        )
+        elapsed = F.lit(int((time.monotonic() - started) * 1000)).cast("bigint")
+        good = F.col("error").isNull()
+        done = bound.join(sizes, "request_id", "left").select(
+            "request_id", "attributes", F.when(good, SUCCESS).otherwise(FAILURE).alias("route"), "error",
+            F.when(good, elapsed).alias("duration_ms"), F.coalesce("pieces", F.lit(0)).alias("pieces"),
+            F.coalesce("bytes", F.lit(0)).alias("bytes"),
+        )
+        return Calls(written(done, "calls"), contents)
+    finally:
+        scratch.drop()
 
 
 def run_by_statement(
@@ -246,141 +250,92 @@ def run_by_statement(
     statement_property: str | None = None,
     properties: dict[str, str] | None = None,
     **options,
-) -> DataFrame:
+) -> Calls:
     """Run each request with the procedure its statement names; blank or unknown ones fail."""
     chosen = requests.withColumn("_statement", F.trim(statement(statement_property)))
     blank = statement_error(F.col("_statement"))
     unknown = F.when(
         ~F.col("_statement").isin(list(procedures)), F.concat(F.lit("no such procedure: "), F.col("_statement"))
     )
-    refused = (
-        chosen.withColumn("error", F.coalesce(blank, unknown))
-        .where(F.col("error").isNotNull())
-        .select(
-            "request_id", "attributes", F.lit(0).cast("bigint").alias("piece"),
-            F.lit(None).cast("string").alias("content"), "error", F.lit(FAILURE).alias("route"),
-            F.lit(0).cast("bigint").alias("duration_ms"),
-        )
-    )
-    out = refused
+    refused = chosen.withColumn("error", F.coalesce(blank, unknown)).where(F.col("error").isNotNull())
+    none = F.lit(0).cast("bigint")
+    calls = refused.select(
+        "request_id", "attributes", F.lit(FAILURE).alias("route"), "error", F.lit(None).cast("bigint").alias("duration_ms"),
+        none.alias("pieces"), none.alias("bytes"),
+    )
+    contents = refused.where(F.lit(False)).select("request_id", none.alias("piece"), F.lit("").alias("content"))
     for name, procedure in procedures.items():
         mine = chosen.where(F.col("_statement") == name).drop("_statement")
-        out = out.unionByName(run_calls(mine, procedure, tables, properties, **options))
-    return out
-
-
-def _large_requests(rows: dict[int, DataFrame], piece_bytes: int) -> DataFrame | None:
-    """Ids of requests whose rows exceed ``piece_bytes``; None when there are none."""
-    if not rows:
-        return None
-    sizes = None
-    for r in rows.values():
-        one = r.select("request_id", "bytes")
-        sizes = one if sizes is None else sizes.unionByName(one)
-    large = (
-        sizes.groupBy("request_id")
-        .agg(F.sum(F.col("bytes") + 1).alias("total"))
-        .where(F.col("total") > piece_bytes)
-        .select("request_id")
-    )
-    large = written(large, "large")
-    return None if large.isEmpty() else broadcast_if_small(large)
+        done = run_calls(mine, procedure, tables, properties, **options)
+        calls, contents = calls.unionByName(done.calls), contents.unionByName(done.contents)
+    return Calls(calls, contents)
 
 
-def _frame(accepted, procedure, results: dict[int, DataFrame], counts: dict[int, DataFrame]) -> DataFrame:
-    """Accepted requests with ``result_i`` and ``rows_i`` of every step, and ``outputs``.
-
-    All step results have one row per request, so the joins are one to one.
-    """
+def _frame(accepted: DataFrame, procedure: Procedure, results: dict[int, DataFrame]) -> DataFrame:
+    """Accepted requests with ``rows_i`` of every step and ``outputs``; step counts have one row per request."""
     out = accepted
     for i, step in enumerate(procedure.steps, 1):
-        if isinstance(step, Rows):
-            part = results[i].select("request_id", F.col("result").alias(f"result_{i}"), F.col("n").alias(f"rows_{i}"))
-        else:
-            part = counts[i].select("request_id", F.col("n").alias(f"rows_{i}"))
-        out = out.join(part, "request_id", "left").withColumn(f"rows_{i}", F.coalesce(f"rows_{i}", F.lit(0)))
-        if isinstance(step, Count):
-            out = out.withColumn(f"result_{i}", F.col(f"rows_{i}").cast("string"))
+        counts = step_counts(results[i]) if isinstance(step, Rows) else results[i]
+        out = out.join(counts.withColumnRenamed("n", f"rows_{i}"), "request_id", "left")
+        out = out.withColumn(f"rows_{i}", F.coalesce(f"rows_{i}", F.lit(0)))
     return out.withColumn("outputs", outputs_json({i: make(out) for i, make in procedure.outputs.items()}))
 
 
-def _whole_documents(accepted, procedure, rows, counts) -> DataFrame:
-    frame = _frame(accepted, procedure, {i: result_arrays(r) for i, r in rows.items()}, counts)
-    texts = [F.col(f"result_{i}") for i in range(1, len(procedure.steps) + 1)]
-    results = F.concat(F.lit("["), F.concat_ws(",", *texts), F.lit("]")) if texts else F.lit(None).cast("string")
-    return frame.select(
-        "request_id",
-        "attributes",
-        F.lit(0).cast("bigint").alias("piece"),
-        document(results, F.col("outputs")).alias("content"),
-    )
+def _marks(procedure: Procedure) -> Column:
+    """What stands around the results of a request: (step, text) in order; an empty row set leaves no trace."""
+    steps, seen = procedure.steps, F.lit(False)
+    marks = [(0, F.lit('{"RESULTS":[' if steps else "{"))]
+    for i, step in enumerate(steps, 1):
+        comma = F.when(seen, ",").otherwise("")
+        if isinstance(step, Count):
+            present, text = F.lit(True), F.concat(comma, F.col(f"rows_{i}").cast("string"))
+        else:
+            present = F.col(f"rows_{i}") > 0
+            text = F.when(present, F.concat(comma, F.lit("["))).otherwise("")
+        marks.append((i, text))
+        seen = seen | present
+    outputs = F.concat(F.lit(',"OUTPUTS":' if steps else '"OUTPUTS":'), F.col("outputs"))
+    end = F.concat(F.lit("]" if steps else ""), F.coalesce(outputs, F.lit("")), F.lit("}"))
+    marks.append((len(steps) + 1, end))
+    return F.array(*[F.struct(F.lit(i).alias("step"), t.alias("text")) for i, t in marks])
 
 
-def _split_documents(accepted, procedure, rows, counts, large, piece_bytes, task_bytes) -> DataFrame:
-    """Documents of large requests as ordered pieces.
+def _contents(
+    accepted: DataFrame, procedure: Procedure, results: dict[int, DataFrame], piece_bytes: int, scratch: Scratch
+) -> DataFrame:
+    """``request_id, piece, content`` of all accepted requests.
 
-    Rows are range partitioned by request and sort key, which spreads one
-    request over as many tasks as its size needs and keeps the order. A task
-    gets about ``task_bytes`` and streams them into pieces.
+    Marks, texts of results and closing brackets are pieces with a place in the
+    document. What lies before a piece is summed over lengths alone; pieces that
+    start in the same ``piece_bytes`` of a document are streamed into one content.
     """
-    pieces, sizes = None, {}
-    for i, r in rows.items():
-        mine = written(r.join(large, "request_id", "left_semi"), f"large{i}")
-        total = mine.agg(F.sum("bytes")).first()[0] or 0
-        sizes[i] = step_counts(mine).withColumn("result", F.lit(None).cast("string"))
-        tasks = 1 + total // task_bytes
-        ordered = (
-            mine.select("request_id", "place", "row")
-            .repartitionByRange(tasks, "request_id", "place", "row")
-            .sortWithinPartitions("request_id", "place", "row")
-            .select("request_id", "row", F.spark_partition_id().cast("bigint").alias("part"))
-        )
-        joined = join_runs(
-            ordered, ["request_id"], "row", ",", 1 << 30, piece_bytes, firsts={"part": "part"}, lasts={}
-        ).select(
-            "request_id",
-            F.lit(i).alias("step"),
-            (F.lit(i) * F.lit(_STEP_SHIFT) + F.col("part") * F.lit(_PART_SHIFT) + F.col("run_seq")).alias("piece"),
-            "row",
-        )
-        pieces = joined if pieces is None else pieces.unionByName(joined)
-    # The numbers depend on how ranges were cut, so they are fixed before they are used twice.
-    pieces = written(pieces, "pieces")
-    ends = pieces.groupBy("request_id", "step").agg(F.min("piece").alias("first"), F.max("piece").alias("last"))
-    ends = broadcast_if_small(written(ends, "ends"))
-    body = pieces.join(ends, ["request_id", "step"]).select(
-        "request_id",
-        "piece",
-        F.concat(
-            F.when(F.col("piece") == F.col("first"), "[").otherwise(","),
-            F.col("row"),
-            F.when(F.col("piece") == F.col("last"), "]").otherwise(""),
-        ).alias("content"),
-    )
-
-    frame = _frame(accepted.join(large, "request_id", "left_semi"), procedure, sizes, counts)
-    marks = [F.struct(F.lit(0).cast("bigint").alias("piece"), F.lit('{"RESULTS":[').alias("content"))]
-    seen = F.lit(False)
+    first, last = F.lit(-1).cast("bigint"), F.lit(1 << 62).cast("bigint")
+    marks = _frame(accepted, procedure, results).select("request_id", F.explode(_marks(procedure)).alias("m"))
+    parts = marks.select("request_id", "m.step", first.alias("part"), first.alias("seq"), "m.text")
     for i, step in enumerate(procedure.steps, 1):
-        present = F.lit(True) if isinstance(step, Count) else F.col(f"rows_{i}") > 0
-        comma = F.when(seen, ",").otherwise("")
-        text = F.concat(comma, F.col(f"result_{i}")) if isinstance(step, Count) else F.when(present, comma)
-        marks.append(F.struct((F.lit(i) * F.lit(_STEP_SHIFT) - 1).cast("bigint").alias("piece"), text.alias("content")))
-        seen = seen | present
-    end = F.concat(
-        F.lit("]"), F.coalesce(F.concat(F.lit(',"OUTPUTS":'), F.col("outputs")), F.lit("")), F.lit("}")
+        if isinstance(step, Rows):
+            texts = result_pieces(results[i], piece_bytes).select("request_id", F.lit(i).alias("step"), "part", "seq", "text")
+            ends = results[i].select("request_id").distinct()
+            closing = ends.select("request_id", F.lit(i).alias("step"), last.alias("part"), last.alias("seq"), F.lit("]").alias("text"))
+            parts = parts.unionByName(texts).unionByName(closing)
+    # Places depend on how ranges were cut, so they are fixed before they are used twice.
+    parts = scratch.written(parts.where(F.col("text") != ""), "parts")
+    order = "OVER (PARTITION BY request_id ORDER BY step, part, seq)"
+    lengths = parts.select("request_id", "step", "part", "seq", F.octet_length("text").alias("n"))
+    before = F.expr(f"sum(n) {order} - n")
+    is_text = F.col("seq").between(0, (1 << 62) - 1)
+    # Between two pieces of one result there is a comma.
+    follows = is_text & F.coalesce(F.expr(f"lag(seq) {order}") >= 0, F.lit(False)) & (F.expr(f"lag(step) {order}") == F.col("step"))
+    placed = lengths.select(
+        "request_id", "step", "part", "seq", F.floor(before / F.lit(piece_bytes)).cast("bigint").alias("piece"), follows.alias("follows")
     )
-    last = (F.lit(len(procedure.steps) + 1) * F.lit(_STEP_SHIFT)).cast("bigint")
-    marks.append(F.struct(last.alias("piece"), end.alias("content")))
-    skeleton = (
-        frame.select("request_id", "attributes", F.explode(F.array(*marks)).alias("m"))
-        .select(
-            "request_id",
-            F.when(F.col("m.piece") == 0, F.col("attributes")).alias("attributes"),
-            "m.piece",
-            "m.content",
-        )
-        .where(F.col("content") != "")
+    keyed = parts.join(placed, ["request_id", "step", "part", "seq"])
+    text = F.when(F.col("follows"), F.concat(F.lit(","), F.col("text"))).otherwise(F.col("text"))
+    ordered = (
+        keyed.repartition("request_id", "piece")
+        .sortWithinPartitions("request_id", "piece", "step", "part", "seq")
+        .select("request_id", "piece", text.alias("content"))
+    )
+    return join_runs(ordered, ["request_id", "piece"], "content", "", 1 << 30, 1 << 60, firsts={}, lasts={}).select(
+        "request_id", "piece", "content"
     )
-    none = F.lit(None).cast("map<string,string>").alias("attributes")
-    return skeleton.unionByName(body.select("request_id", none, "piece", "content"))

@@ -10,7 +10,7 @@ from sluice.operators.calls import (
     Procedure,
     Rows,
     bind_requests,
-    result_arrays,
+    result_pieces,
     result_rows,
     run_by_statement,
     run_calls,
@@ -24,7 +24,7 @@ from sluice.operators.parameters import (
     statement_error,
     with_parameters,
 )
-from sluice.plans.tables import spread, table
+from sluice.plans.tables import table
 from sluice.session import written
 
 PREFIX = "procedure.args"
@@ -74,7 +74,7 @@ def requests(spark: SparkSession, sf: str, with_key: bool = False) -> DataFrame:
             when(always, f"{PREFIX}.in.5.value", key_text),
         ]
     present = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    return spread(table(spark, sf, "customer")).select(
+    return table(spark, sf, "customer").select(
         key.alias("request_id"), F.map_from_entries(present).alias("attributes")
     )
 
@@ -154,8 +154,7 @@ def call_single(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _contents(spark: SparkSession, sf: str, procedure: Procedure, **options) -> DataFrame:
-    done = run_calls(requests(spark, sf, True), procedure, _tables(spark, sf), PROPERTIES, **options)
-    return done.where("route = 'success'").select("request_id", "content")
+    return run_calls(requests(spark, sf, True), procedure, _tables(spark, sf), PROPERTIES, **options).contents
 
 
 def call_results(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,7 +167,10 @@ def call_update_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def call_rows_json(spark: SparkSession, sf: str) -> DataFrame:
-    return result_arrays(result_rows(DOCUMENT_STEP, _accepted(spark, sf), _tables(spark, sf)))
+    """Rows of one step as JSON text, one row to a piece."""
+    rows = result_rows(DOCUMENT_STEP, _accepted(spark, sf), _tables(spark, sf))
+    stored = written(rows.withColumn("row_id", F.monotonically_increasing_id()), "rows")
+    return result_pieces(stored, 1).select("request_id", "text")
 
 
 def call_outputs(spark: SparkSession, sf: str) -> DataFrame:
@@ -181,34 +183,49 @@ def call_document(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def call_document_split(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents above 1 KiB written as pieces, then put together to be compared."""
-    done = run_calls(requests(spark, sf, True), REPORT, _tables(spark, sf), PROPERTIES, piece_bytes=1024)
-    pieces = F.sort_array(F.collect_list(F.struct("piece", "content")))
-    return done.where("route = 'success'").groupBy("request_id").agg(
-        F.array_join(F.transform(pieces, lambda p: p["content"]), "").alias("content")
+    """Documents in pieces of 1 KiB: their bytes, the order rows in them, and whether those are in order."""
+    pieces = _contents(spark, sf, REPORT, piece_bytes=1024)
+    keys = F.transform(F.regexp_extract_all("content", F.lit(r'"o_orderkey":(\d+)'), F.lit(1)), lambda k: k.cast("bigint"))
+    found = pieces.select("request_id", "piece", F.octet_length("content").alias("bytes"), keys.alias("keys"))
+    before = F.expr("max(array_max(keys)) OVER (PARTITION BY request_id ORDER BY piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    checked = found.withColumn(
+        "ordered", (F.col("keys") == F.array_sort("keys")) & F.coalesce(F.array_min("keys") > before, F.lit(True))
+    )
+    return checked.groupBy("request_id").agg(
+        F.sum("bytes").alias("bytes"), F.sum(F.size("keys")).alias("order_rows"), F.bool_and("ordered").alias("in_order")
     )
 
 
-def call_routes(spark: SparkSession, sf: str) -> DataFrame:
+def _routes(spark: SparkSession, sf: str, **options) -> DataFrame:
     done = run_by_statement(
-        requests(spark, sf, True), {"customer_report": REPORT}, _tables(spark, sf), properties=PROPERTIES
+        requests(spark, sf, True), {"customer_report": REPORT}, _tables(spark, sf), properties=PROPERTIES, **options
     )
-    return done.select(
+    return done.calls.select(
         "request_id", "route", "error", F.col("attributes")["other.attribute"].alias("carried"),
-        F.size("attributes").alias("n_attributes"), F.col("content").isNotNull().alias("has_content"),
+        F.size("attributes").alias("n_attributes"), (F.col("pieces") > 0).alias("has_content"),
     )
 
 
+def call_routes(spark: SparkSession, sf: str) -> DataFrame:
+    return _routes(spark, sf)
+
+
+def call_routes_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with documents in pieces of 1 KiB."""
+    return _routes(spark, sf, piece_bytes=1024)
+
+
 def call_timing(spark: SparkSession, sf: str) -> DataFrame:
     done = run_calls(requests(spark, sf, True), REPORT, _tables(spark, sf), PROPERTIES)
-    return done.select("request_id", "duration_ms")
+    return done.calls.select("request_id", "route", (F.col("duration_ms") >= 0).alias("timed"))
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         param_rows, param_merge, param_types, statement_choice, call_single, call_results, call_update_counts,
-        call_rows_json, call_outputs, call_document, call_document_split, call_routes, call_timing,
+        call_rows_json, call_outputs, call_document, call_document_split, call_routes, call_routes_split,
+        call_timing,
     )
 }
 
@@ -271,6 +288,17 @@ def _outputs(third: str, fourth: str) -> str:
 
 _DOCUMENT = f"""WITH {_CALLS} SELECT request_id, '{{"RESULTS":[' || concat_ws(',', r1, r2, CAST(n4 AS VARCHAR), r5)
     || '],"OUTPUTS":' || {_outputs('n1', 'p4 + 1')} || '}}' AS content FROM frame"""
+_PIECE = "SELECT request_id, 0::BIGINT AS piece, content FROM"
+_ROUTES = """SELECT request_id, CASE WHEN error IS NULL THEN 'success' ELSE 'failure' END AS route, error,
+          'x' AS carried, n_attributes, error IS NULL AS has_content
+        FROM (SELECT k AS request_id,
+            CASE WHEN k % 4 IN (1, 3) THEN 'statement is blank' WHEN k % 4 = 2 THEN 'no such procedure: unknown_report'
+                 WHEN k % 11 = 0 THEN 'parameter 2: ''not a number'' is not a valid INTEGER' END AS error,
+            3 + CASE WHEN k % 2 = 0 THEN 2 ELSE 0 END + CASE WHEN k % 3 = 0 OR k % 11 = 0 THEN 2 ELSE 0 END
+              + CASE WHEN k % 5 = 0 AND k % 3 <> 0 AND k % 11 <> 0 THEN 1 ELSE 0 END
+              + CASE WHEN k % 7 = 0 THEN 2 ELSE 0 END + CASE WHEN k % 13 = 0 THEN 3 ELSE 0 END
+              + CASE WHEN k % 4 <> 3 THEN 1 ELSE 0 END AS n_attributes
+          FROM (SELECT c_custkey AS k FROM customer))"""
 SQL = {
     "param_rows": f"WITH {_REQUESTS} {_LIST} FROM own",
     "param_merge": f"WITH {_REQUESTS}, {_PROPERTIES} {_LIST} FROM merged",
@@ -286,23 +314,19 @@ SQL = {
           CASE WHEN c_custkey % 4 IN (1, 3) THEN 'statement is blank' END FROM customer""",
     "call_single": """SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderpriority = '2-HIGH'
         AND CAST(o_orderdate AS DATE) >= DATE '1997-06-30' AND o_totalprice >= 100000""",
-    "call_results": f"""WITH {_CALLS} SELECT request_id, '{{"RESULTS":[' || concat_ws(',', r1, r2) || '],"OUTPUTS":'
-        || {_outputs('n1', 'p4 + 1')} || '}}' AS content FROM frame""",
-    "call_update_counts": f"""WITH {_CALLS} SELECT request_id, '{{"RESULTS":[' || n4 || '],"OUTPUTS":'
-        || {_outputs('n4', 'p4')} || '}}' AS content FROM frame""",
-    "call_rows_json": f"WITH {_CALLS} SELECT request_id, result, 1 AS n FROM step5",
-    "call_outputs": f"""WITH {_CALLS} SELECT request_id, '{{"OUTPUTS":' || {_outputs('p5 * 2', 'p4 + 1')} || '}}'
-        AS content FROM calls""",
-    "call_document": _DOCUMENT,
-    "call_document_split": _DOCUMENT,
-    "call_routes": """SELECT request_id, CASE WHEN error IS NULL THEN 'success' ELSE 'failure' END AS route, error,
-          'x' AS carried, n_attributes, error IS NULL AS has_content
-        FROM (SELECT k AS request_id,
-            CASE WHEN k % 4 IN (1, 3) THEN 'statement is blank' WHEN k % 4 = 2 THEN 'no such procedure: unknown_report'
-                 WHEN k % 11 = 0 THEN 'parameter 2: ''not a number'' is not a valid INTEGER' END AS error,
-            3 + CASE WHEN k % 2 = 0 THEN 2 ELSE 0 END + CASE WHEN k % 3 = 0 OR k % 11 = 0 THEN 2 ELSE 0 END
-              + CASE WHEN k % 5 = 0 AND k % 3 <> 0 AND k % 11 <> 0 THEN 1 ELSE 0 END
-              + CASE WHEN k % 7 = 0 THEN 2 ELSE 0 END + CASE WHEN k % 13 = 0 THEN 3 ELSE 0 END
-              + CASE WHEN k % 4 <> 3 THEN 1 ELSE 0 END AS n_attributes
-          FROM (SELECT c_custkey AS k FROM customer))""",
+    "call_results": f"""{_PIECE} (WITH {_CALLS} SELECT request_id, '{{"RESULTS":[' || concat_ws(',', r1, r2) || '],"OUTPUTS":'
+        || {_outputs('n1', 'p4 + 1')} || '}}' AS content FROM frame)""",
+    "call_update_counts": f"""{_PIECE} (WITH {_CALLS} SELECT request_id, '{{"RESULTS":[' || n4 || '],"OUTPUTS":'
+        || {_outputs('n4', 'p4')} || '}}' AS content FROM frame)""",
+    "call_rows_json": f"""WITH {_CALLS} SELECT request_id, result[2:-2] AS text FROM step5""",
+    "call_outputs": f"""{_PIECE} (WITH {_CALLS} SELECT request_id, '{{"OUTPUTS":' || {_outputs('p5 * 2', 'p4 + 1')} || '}}'
+        AS content FROM calls)""",
+    "call_document": f"{_PIECE} ({_DOCUMENT})",
+    "call_document_split": f"""SELECT request_id, strlen(content)::BIGINT AS bytes, coalesce(n, 0)::BIGINT AS order_rows, TRUE AS in_order
+        FROM ({_DOCUMENT}) LEFT JOIN (SELECT c_custkey AS request_id, count(*) AS n FROM customer JOIN orders
+          ON o_custkey = c_custkey AND o_totalprice >= CASE WHEN c_custkey % 3 = 0 THEN c_acctbal ELSE 0 END GROUP BY 1) USING (request_id)""",
+    "call_routes": _ROUTES,
+    "call_routes_split": _ROUTES,
+    "call_timing": """SELECT c_custkey AS request_id, CASE WHEN c_custkey % 11 = 0 THEN 'failure' ELSE 'success' END AS route,
+        CASE WHEN c_custkey % 11 <> 0 THEN TRUE END AS timed FROM customer""",
 }

@@ -10,7 +10,7 @@ from sluice.functions.headers import header_text
 from sluice.functions.json_text import canonical_json
 from sluice.operators.bundling import bundle_records, number_bundles
 from sluice.operators.records import Shaping, direct_records, shape_records, with_header_key, with_route
-from sluice.plans.tables import RECORDS_SQL, epoch_millis, records, spread, table
+from sluice.plans.tables import RECORDS_SQL, epoch_millis, records, table
 from sluice.sources.records import (
     batch_counts,
     from_positions,
@@ -44,8 +44,9 @@ def record_topics_pattern(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def record_topic_listing(spark: SparkSession, sf: str) -> DataFrame:
-    """Topic lists that come as data: names per user, from the types of its events."""
-    listing = F.concat_ws(" ,", F.col("event_type"), F.lit(""), F.col("user_id").cast("string"), F.lit("  "))
+    """Topic lists that come as data: names per event, more than a hundred for some."""
+    many = F.transform(F.sequence(F.lit(1), F.col("user_id") % 200 + 1), lambda i: F.concat(F.lit("t"), i.cast("string")))
+    listing = F.concat_ws(" ,", F.col("event_type"), F.lit(""), many, F.col("user_id").cast("string"), F.lit("  "))
     return table(spark, sf, "events").select(
         "event_id", F.array_join(topic_names(listing), "|").alias("names"), F.size(topic_names(listing)).alias("n")
     )
@@ -70,7 +71,7 @@ def record_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def record_envelope(spark: SparkSession, sf: str) -> DataFrame:
-    return shape_records(spread(records(spark, sf))).select(
+    return shape_records(records(spark, sf)).select(
         "topic", "partition", "offset", "content", "malformed"
     )
 
@@ -100,7 +101,7 @@ def record_json_forms(spark: SparkSession, sf: str) -> DataFrame:
 def record_headers(spark: SparkSession, sf: str) -> DataFrame:
     out = None
     for label, regex in (("tenant", "tenant"), ("all", ".*"), ("none", None)):
-        one = shape_records(spread(records(spark, sf)), Shaping(header_regex=regex)).select(
+        one = shape_records(records(spark, sf), Shaping(header_regex=regex)).select(
             F.lit(label).alias("selection"), "offset", header_text(F.col("headers")).alias("headers")
         )
         out = one if out is None else out.unionByName(one)
@@ -108,7 +109,7 @@ def record_headers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def record_direct(spark: SparkSession, sf: str) -> DataFrame:
-    out = direct_records(shape_records(spread(records(spark, sf)), TENANT), "PLAINTEXT", BROKERS)
+    out = direct_records(shape_records(records(spark, sf), TENANT), "PLAINTEXT", BROKERS)
     return out.select(
         "topic", "partition", "offset", epoch_millis(F.col("timestamp")).alias("ts_ms"), "matched", "route", "bundled",
         "record_count", "record_size", "mime_type", "origin", header_text(F.col("headers")).alias("headers"), "content",
@@ -117,7 +118,7 @@ def record_direct(spark: SparkSession, sf: str) -> DataFrame:
 
 def record_routes(spark: SparkSession, sf: str) -> DataFrame:
     return (
-        with_route(shape_records(spread(records(spark, sf)), TENANT)).groupBy("topic", "partition", "route")
+        with_route(shape_records(records(spark, sf), TENANT)).groupBy("topic", "partition", "route")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("offset").alias("offset_sum"))
     )
 
@@ -241,7 +242,9 @@ SQL = {
         WHERE topic IN ('ev.click', 'ev.view', 'ev.vie')""",
     "record_topics_pattern": f"""WITH {RECORDS_SQL} SELECT topic, partition, "offset", key, value, ts_ms FROM records
         WHERE regexp_full_match(topic, 'ev\\.(purchase|sign.*)')""",
-    "record_topic_listing": """SELECT event_id, event_type || '|' || user_id AS names, 2 AS n FROM events""",
+    "record_topic_listing": """SELECT event_id, event_type || '|' ||
+          array_to_string(list_transform(range(1, user_id % 200 + 2), lambda i: 't' || i), '|') || '|' || user_id AS names,
+          CAST(user_id % 200 + 3 AS INTEGER) AS n FROM events""",
     "record_from_offset": f"""WITH {RECORDS_SQL}, committed AS (
           SELECT topic, partition, (max("offset") + 1) // 2 AS next_offset FROM records WHERE partition <> 3
           GROUP BY topic, partition)

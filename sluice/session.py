@@ -9,13 +9,10 @@ from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 T = TypeVar("T")
 MAX_JOBS = 8
 
-# A table with more rows than this is joined by shuffling instead of broadcasting.
-BROADCAST_ROWS = 100_000
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 # Only where a local session names no folder of its own.
 LOCAL_FOLDER = "file:///tmp/checkpoints/sluice"
@@ -35,6 +32,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config(CHECKPOINT_SETTING, LOCAL_FOLDER)
+        .config("spark.sql.warehouse.dir", f"{LOCAL_FOLDER}/warehouse")
         .getOrCreate()
     )
 
@@ -73,6 +71,22 @@ def side_by_side(spark: SparkSession, jobs: list[Callable[[], T]]) -> list[T]:
         return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
 
 
-def broadcast_if_small(stored: DataFrame) -> DataFrame:
-    """Mark a stored table for broadcasting if its counted rows are few; else leave the join to shuffle."""
-    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+class Scratch:
+    """Tables that are written once, read as often as needed, and dropped with all their files.
+
+    They lie in the session's warehouse, which all executors share.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.names: list[str] = []
+
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        name = f"scratch_{label}_{uuid.uuid4().hex}"
+        self.names.append(name)
+        df.write.format("parquet").saveAsTable(name)
+        return self.spark.table(name)
+
+    def drop(self) -> None:
+        while self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.names.pop()}")

@@ -2,9 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import sluice.session as S
-from sluice.sources.records import from_positions
-from tests.test_calls import test_hot_request_is_split_and_whole as split_and_check
-from tests.test_records import make
 
 
 def test_work_folders_are_new_and_shared(spark):
@@ -27,14 +24,19 @@ def test_side_by_side(spark):
         S.side_by_side(spark, [lambda: 1, lambda: 1 // 0])
 
 
-def test_large_tables_are_not_broadcast(spark, monkeypatch):
-    """Beyond the limit the joins shuffle and the results are the same."""
-    monkeypatch.setattr(S, "BROADCAST_ROWS", 0)
-    records = make(spark, [("t", p, o, "1", "1", None) for p in (0, 1) for o in range(4)])
-    committed = S.written(spark.createDataFrame([("t", 0, 2)], "topic string, partition int, next_offset bigint"), "c")
-    got = from_positions(records, committed, "earliest")
-    assert "ResolvedHint" not in got._jdf.queryExecution().analyzed().toString()
-    assert got.count() == 6
-    split_and_check(spark, 500, 4000)
-    monkeypatch.setattr(S, "BROADCAST_ROWS", 10)
-    assert "ResolvedHint" in from_positions(records, committed)._jdf.queryExecution().analyzed().toString()
+def test_scratch_tables_leave_nothing(spark):
+    scratch = S.Scratch(spark)
+    stored = scratch.written(spark.range(5), "t")
+    names = list(scratch.names)
+    assert stored.count() == 5 and spark.catalog.tableExists(names[0])
+    scratch.drop()
+    assert not spark.catalog.tableExists(names[0]) and scratch.names == []
+
+
+def test_work_folder_needs_a_shared_one(spark):
+    class Cluster:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("X", (), {"master": "local-cluster[2,1,1024]"})
+
+    with pytest.raises(RuntimeError, match="must name a folder"):
+        S.work_folder(Cluster, "x")
