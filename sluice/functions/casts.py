@@ -61,6 +61,24 @@ def cast_decimal(text: Column, scale: int = DECIMAL_SCALE) -> Column:
     return _checked(text, value, "DECIMAL")
 
 
+def decimal_places(text: Column) -> Column:
+    """How many decimals a number in plain or exponent notation needs."""
+    mantissa = F.regexp_extract(text, r"^([^eE]*)", 1)
+    decimals = F.length(F.regexp_extract(mantissa, r"\.([0-9]*?)0*$", 1))
+    whole_zeros = F.length(F.regexp_extract(mantissa, r"^[+-]?[0-9]*?(0*)(?:\.0*)?$", 1))
+    power = F.coalesce(F.regexp_extract(text, r"[eE]([+-]?[0-9]{1,9})$", 1).try_cast("int"), F.lit(0))
+    zeros = F.when(decimals == 0, whole_zeros).otherwise(0)
+    return F.when(mantissa.rlike(r"^[+-]?[0.]+$"), 0).otherwise(F.greatest(decimals - power - zeros, F.lit(0)))
+
+
+def decimal_text(text: Column) -> Column:
+    """A decimal number as text: any that 38 digits hold, in plain notation as it was written."""
+    plain = text.rlike(r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)$")
+    digits = F.length(F.regexp_replace(F.regexp_replace(text, r"^[+-]?0*", ""), r"\.", ""))
+    small = cast_decimal(text)["value"].cast("string")
+    return _checked(text, F.when(plain & (digits <= 38), text).when(~plain, small), "DECIMAL")
+
+
 def _exact_power(text: Column, scale: int) -> Column:
     """A number with an exponent that needs no more than ``scale`` decimals."""
     mantissa = F.regexp_extract(text, r"^([^eE]*)", 1)

@@ -195,13 +195,26 @@ def check_value(parameter: Column) -> Column:
         .when(code == -5, as_text(C.cast_integer(text, "bigint")))
         .when(code == 7, as_text(C.cast_floating(text, "float")))
         .when(code.isin(6, 8), as_text(C.cast_floating(text, "double")))
-        .when(code.isin(2, 3), as_text(C.cast_decimal(text)))
+        .when(code.isin(2, 3), C.decimal_text(text))
         .when(code.isin(91, 92, 93), C.cast_temporal_text(text, fmt, code))
         .when(code.isin(*BINARY_CODES), as_text(C.cast_binary(text, fmt), F.base64))
         .otherwise(C.cast_text(text))
     )
 
 
+def _unchanged(text: Column, value: Column, spark_type: str) -> Column:
+    """The converted value, or NULL where the type holds another number than the text says."""
+    if spark_type.startswith("decimal"):
+        scale = int(spark_type.rstrip(") ").rpartition(",")[2]) if "," in spark_type else 0
+        return F.when(C.decimal_places(text) <= scale, value)
+    if spark_type in ("float", "double"):
+        there, back = text.try_cast("decimal(38,18)"), value.cast("string").try_cast("decimal(38,18)")
+        named = text.rlike("Infinity|NaN")
+        infinite = F.abs(value) == float("inf")
+        return F.when(named | (~infinite & F.coalesce(there == back, F.lit(True))), value)
+    return value
+
+
 def _bind_one(argument: Argument) -> Column:
     """STRUCT<value, error> of one argument, from the checked inputs."""
     missing = F.lit("is not given" if argument.required else None).cast("string")
@@ -216,7 +229,7 @@ def _bind_one(argument: Argument) -> Column:
             whole = F.when(exact == F.floor(exact), exact.try_cast(argument.spark_type))
             value = F.coalesce(text.try_cast(argument.spark_type), whole)
         else:
-            value = text.try_cast(argument.spark_type)
+            value = _unchanged(text, text.try_cast(argument.spark_type), argument.spark_type)
         misfit = F.concat(F.lit("'"), text, F.lit(f"' cannot be used as {argument.spark_type}"))
         error = (
             F.when(p.isNull(), missing)

@@ -1,4 +1,5 @@
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,6 +132,23 @@ def test_types_of_arguments(spark, spark_type, code, value, fmt, expected):
     assert (row["x"], row["error"]) == (expected, None)
 
 
+@pytest.mark.parametrize(
+    "spark_type, code, value, expected",
+    [
+        ("decimal(10,2)", "3", "1.005", None), ("decimal(10,2)", "3", "1.50", Decimal("1.50")),
+        ("decimal(38,0)", "3", "1" * 38, Decimal("1" * 38)), ("decimal(38,1)", "2", "1" * 21 + ".5", Decimal("1" * 21 + ".5")),
+        ("decimal(38,20)", "2", "0.1234567890123456789", Decimal("0.1234567890123456789")), ("decimal(10,0)", "3", "1.2e1", Decimal(12)),
+        ("decimal(10,0)", "3", "1e-1", None), ("decimal(4,0)", "3", "12345", None), ("string", "3", "12.50", "12.50"),
+        ("double", "3", "9007199254740993", None), ("double", "3", "9007199254740992", 9007199254740992.0),
+        ("double", "8", "0.1", 0.1), ("float", "8", "0.5", 0.5), ("float", "8", "1e300", None), ("double", "8", "1e300", 1e300),
+    ],
+)
+def test_no_value_is_changed(spark, spark_type, code, value, expected):
+    attributes = {f"{P}.in.1.type": code, f"{P}.in.1.value": value}
+    row = bind_requests(requests(spark, attributes), Procedure([Argument(1, "x", spark_type)])).first()
+    assert row["x"] == expected and (row["error"] is None) == (expected is not None)
+
+
 def test_whole_call(spark):
     """Readings of a sensor over a limit, the stations near it, and how many readings there are."""
     tables = {

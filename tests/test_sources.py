@@ -1,7 +1,9 @@
+import json
+
 import pytest
 
 from sluice.sources.jdbc import JdbcSettings, jdbc_options
-from sluice.sources.kafka import KafkaSettings, client_options, kafka_options, trigger_options
+from sluice.sources.kafka import KafkaSettings, client_options, kafka_options, position_text, trigger_options
 
 
 def test_named_topics():
@@ -15,7 +17,7 @@ def test_named_topics():
         "kafka.group.id": "g",
         "includeHeaders": "true",
         "startingOffsets": "latest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
     }
 
 
@@ -25,7 +27,18 @@ def test_pattern_transactions_and_reset():
     )
     assert options["subscribePattern"] == "a.*" and options["kafka.isolation.level"] == "read_uncommitted"
     assert (options["startingOffsets"], options["endingOffsets"]) == ("earliest", "latest")
-    assert kafka_options(KafkaSettings(topic="a", offset_reset="none"))["failOnDataLoss"] == "true"
+    assert kafka_options(KafkaSettings(topic="a", fail_on_data_loss=False))["failOnDataLoss"] == "false"
+
+
+def test_stored_positions(spark):
+    rows = [("a", 0, 7), ("a", 1, 0), ("b", 0, 12)]
+    text = position_text(spark.createDataFrame(rows, "topic string, partition int, next_offset bigint"))
+    assert json.loads(text) == {"a": {"0": 7, "1": 0}, "b": {"0": 12}}
+    for streaming in (True, False):
+        options = kafka_options(KafkaSettings(topic="a, b"), streaming, text)
+        assert options["startingOffsets"] == text and ("endingOffsets" in options) != streaming
+    with pytest.raises(ValueError, match="given positions"):
+        kafka_options(KafkaSettings(topic="a"), False)
 
 
 def test_stream_limits():
