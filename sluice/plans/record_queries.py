@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.durations import duration_millis, whole_seconds
 from sluice.functions.headers import header_text
-from sluice.functions.json_text import canonical_json
+from sluice.functions.json_text import canonical_json, json_scalar
 from sluice.operators.bundling import bundle_records, number_bundles
 from sluice.operators.records import Shaping, direct_records, shape_records, with_header_key, with_route
 from sluice.plans.tables import RECORDS_SQL, epoch_millis, records, table
@@ -76,6 +76,12 @@ def record_envelope(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def record_text_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys taken as plain text, values as JSON in which equal names are refused."""
+    rule = Shaping(decode_key=lambda c: F.when(c.isNotNull(), json_scalar(c.cast("string"))), duplicate_keys="reject")
+    return shape_records(records(spark, sf), rule).select("topic", "partition", "offset", "key_text", "content")
+
+
 def _json_forms(spark: SparkSession, sf: str) -> DataFrame:
     key, name = F.col("c_custkey"), F.col("c_name")
     number = key.cast("string")
@@ -182,7 +188,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         record_topics_exact, record_topics_pattern, record_topic_listing, record_from_offset, record_batches,
-        record_envelope, record_json_forms, record_headers, record_direct, record_routes, bundle_runs, bundle_full,
+        record_envelope, record_text_keys, record_json_forms, record_headers, record_direct, record_routes, bundle_runs, bundle_full,
         bundle_count_only, stream_replay, duration_parse,
     )
 } | {"next_offsets": offsets_next}
@@ -255,6 +261,9 @@ SQL = {
         WHERE "offset" >= next_offset""",
     "record_batches": f"""WITH {RECORDS_SQL} SELECT topic, partition, "offset" // {POLL} AS batch_id,
         count(*) AS record_count FROM records GROUP BY ALL""",
+    "record_text_keys": f"""WITH {RECORDS_SQL} SELECT topic, partition, "offset", CAST(to_json(key) AS VARCHAR) AS key_text,
+        '{{' || concat_ws(',', '"key":' || CAST(to_json(key) AS VARCHAR), '"value":' || CAST(json(value) AS VARCHAR)) || '}}' AS content
+        FROM records""",
     "record_envelope": f"""WITH {_SHAPED} SELECT topic, partition, "offset", content, false AS malformed FROM shaped""",
     "record_json_forms": """SELECT c_custkey, CASE c_custkey % 10
           WHEN 0 THEN '{"id":' || c_custkey || ',"tags":[1,"x",null]}'
