@@ -117,6 +117,26 @@ WITH lines AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE holder IS NOT NULL AND holder <> doc_id) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE holder IS NULL OR holder = doc_id), '')) AS kept_sha256
 FROM lines LEFT JOIN common USING (k) GROUP BY doc_id
+""",
+    "op6_ngram_join": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\f\r]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM shingles a JOIN shingles b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * o >= 85 * (a.n + b.n - o)
+), reached AS (
+  SELECT doc_id, doc_id AS r FROM documents UNION SELECT doc_id, y FROM reached JOIN links ON x = r
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(r) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY ALL
 """,
     "op9_quality": rf"""
 WITH parts AS (
