@@ -30,7 +30,7 @@ from sluice.operators.parameters import (
     statement_error,
     with_parameters,
 )
-from sluice.session import Scratch, side_by_side, written
+from sluice.session import Scratch, TimeLimitExceeded, side_by_side, time_limit, written
 
 Body = Callable[[DataFrame, dict[str, DataFrame]], DataFrame] | str
 DEFAULT_PIECE_BYTES = 8 * 1024 * 1024
@@ -200,9 +200,13 @@ def run_calls(
     properties: dict[str, str] | None = None,
     piece_bytes: int = DEFAULT_PIECE_BYTES,
     epoch_timestamps: bool = False,
+    limit_millis: int | None = None,
 ) -> Calls:
     """Run a procedure for every request; see ``Calls`` for what comes back.
 
+    With ``limit_millis`` steps and documents that take longer are cancelled,
+    and all requests fail with that reason.
+
     All documents are put together in the same way: results are joined into
     pieces, and pieces of about ``piece_bytes`` of a request are joined to the
     contents. So no request, however large its results, is gathered in one task.
@@ -225,15 +229,23 @@ def run_calls(
             return scratch.written(step_counts(_evaluate(step.body, calls, tables)), f"step{i}")
 
         # Steps only read, so none has to wait for another.
-        steps = list(enumerate(procedure.steps, 1))
-        results = dict(zip([i for i, _ in steps], side_by_side(spark, [partial(run_step, i, s) for i, s in steps]), strict=True))
-        contents = written(_contents(accepted, procedure, results, piece_bytes, scratch), "contents")
+        steps, late = list(enumerate(procedure.steps, 1)), None
+        try:
+            with time_limit(spark, limit_millis):
+                tables_of = side_by_side(spark, [partial(run_step, i, s) for i, s in steps])
+                results = dict(zip([i for i, _ in steps], tables_of, strict=True))
+                contents = written(_contents(accepted, procedure, results, piece_bytes, scratch), "contents")
+        except TimeLimitExceeded as e:
+            late = str(e)
+            contents = written(_no_contents(bound), "contents")
         sizes = contents.groupBy("request_id").agg(
             F.count("*").alias("pieces"), F.sum(F.octet_length("content")).alias("bytes")
         )
         elapsed = F.lit(int((time.monotonic() - started) * 1000)).cast("bigint")
+        error = F.coalesce("error", F.lit(late).cast("string"))
+        done = bound.withColumn("error", error).join(sizes, "request_id", "left")
         good = F.col("error").isNull()
-        done = bound.join(sizes, "request_id", "left").select(
+        done = done.select(
             "request_id", "attributes", F.when(good, SUCCESS).otherwise(FAILURE).alias("route"), "error",
             F.when(good, elapsed).alias("duration_ms"), F.coalesce("pieces", F.lit(0)).alias("pieces"),
             F.coalesce("bytes", F.lit(0)).alias("bytes"),
@@ -263,7 +275,7 @@ def run_by_statement(
         "request_id", "attributes", F.lit(FAILURE).alias("route"), "error", F.lit(None).cast("bigint").alias("duration_ms"),
         none.alias("pieces"), none.alias("bytes"),
     )
-    contents = refused.where(F.lit(False)).select("request_id", none.alias("piece"), F.lit("").alias("content"))
+    contents = _no_contents(refused)
     for name, procedure in procedures.items():
         mine = chosen.where(F.col("_statement") == name).drop("_statement")
         done = run_calls(mine, procedure, tables, properties, **options)
@@ -271,6 +283,11 @@ def run_by_statement(
     return Calls(calls, contents)
 
 
+def _no_contents(requests: DataFrame) -> DataFrame:
+    piece, content = F.lit(0).cast("bigint").alias("piece"), F.lit("").alias("content")
+    return requests.where(F.lit(False)).select("request_id", piece, content)
+
+
 def _frame(accepted: DataFrame, procedure: Procedure, results: dict[int, DataFrame]) -> DataFrame:
     """Accepted requests with ``rows_i`` of every step and ``outputs``; step counts have one row per request."""
     out = accepted

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from threading import Event, Timer
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -71,6 +73,39 @@ def side_by_side(spark: SparkSession, jobs: list[Callable[[], T]]) -> list[T]:
         return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
 
 
+class TimeLimitExceeded(RuntimeError):
+    """A block's jobs took longer than they may."""
+
+
+@contextmanager
+def time_limit(spark: SparkSession, millis: int | None) -> Iterator[None]:
+    """Cancel the block's own jobs after so many milliseconds, and raise ``TimeLimitExceeded``; None or 0 is no limit."""
+    if not millis:
+        yield
+        return
+    context, group, expired = spark.sparkContext, uuid.uuid4().hex, Event()
+    before = context.getLocalProperty("spark.jobGroup.id")
+
+    def stop() -> None:
+        expired.set()
+        context.cancelJobGroup(group)
+
+    timer = Timer(millis / 1000, stop)
+    context.setJobGroup(group, f"limited to {millis} ms", interruptOnCancel=True)
+    timer.start()
+    try:
+        yield
+    except Exception as e:
+        if expired.is_set():
+            raise TimeLimitExceeded(f"time limit of {millis} ms exceeded") from e
+        raise
+    finally:
+        timer.cancel()
+        context.setLocalProperty("spark.jobGroup.id", before)
+    if expired.is_set():
+        raise TimeLimitExceeded(f"time limit of {millis} ms exceeded")
+
+
 class Scratch:
     """Tables that are written once, read as often as needed, and dropped with all their files.
 

@@ -1,6 +1,8 @@
 import json
+import time
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,6 +185,23 @@ def test_whole_call(spark):
     assert row["duration_ms"] >= 0
 
 
+def test_time_limit(spark):
+    @F.pandas_udf("long")
+    def slow(ids: pd.Series) -> pd.Series:
+        time.sleep(30)
+        return ids
+
+    procedure = Procedure(SIMPLE.arguments, [Rows(lambda calls, t: calls.select("request_id", slow("request_id").alias("n")))], SIMPLE.outputs)
+    started = time.monotonic()
+    done = run_calls(requests(spark, GOOD, GOOD | {f"{P}.in.2.value": "x"}), procedure, {}, limit_millis=1500)
+    rows = {r["request_id"]: r for r in done.calls.collect()}
+    assert time.monotonic() - started < 25 and done.contents.isEmpty()
+    assert rows[0]["error"] == "time limit of 1500 ms exceeded" and rows[0]["route"] == "failure" and rows[0]["duration_ms"] is None
+    assert rows[1]["error"] == "parameter 2: 'x' is not a valid DOUBLE"
+    # The limit is for its own jobs only, and one that is long enough changes nothing.
+    assert run_calls(requests(spark, GOOD), SIMPLE, {}, limit_millis=600_000).calls.first()["route"] == "success"
+
+
 def test_nothing_is_left_behind(spark):
     before = {t.name for t in spark.catalog.listTables()}
     run_calls(requests(spark, GOOD), SIMPLE, {})
