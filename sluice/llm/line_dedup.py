@@ -117,12 +117,12 @@ def _batches(keys: DataFrame, count: int) -> list[DataFrame]:
     return out
 
 
-def index_lines(keys: DataFrame, batches: int, fanout: int) -> DataFrame:
-    """The compacted run of all documents' keys (doc_id, h1, h2)."""
+def index_lines(keys: DataFrame, batches: int, fanout: int) -> LineRuns:
+    """The runs of all documents' keys (doc_id, h1, h2)."""
     runs = LineRuns(keys.sparkSession, fanout)
     for batch in _batches(keys, batches):
         runs.add(batch)
-    return runs.compacted()
+    return runs
 
 
 def dropped_lines(keys: DataFrame, index: DataFrame, min_docs: int) -> DataFrame:
@@ -158,7 +158,9 @@ def dedup_lines(
     rows = docs.select(*carried(docs), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) if carry else slim
     # Hashes are stored once: batches and the last join read them and not the texts again.
     keys = written(document_keys(slim, min_chars), "line-keys")
-    drops = dropped_lines(keys, index_lines(keys, batches, fanout), min_docs)
+    runs = index_lines(keys, batches, fanout)
+    drops = written(dropped_lines(keys, runs.compacted(), min_docs), "line-drops")
+    runs.drop(runs.runs())
     drops = drops.withColumnRenamed("doc_id", "drop_id")
     joined = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("drop_id")), "left").drop("drop_id")
     split = fixed(joined, "lines", lines_of(F.col("text"))).drop("text")
