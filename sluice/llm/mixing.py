@@ -177,6 +177,26 @@ def _rate(steps: list[list[float]]) -> Column:
     return rate
 
 
+def _totals(scored: DataFrame, steps: list[list[float]], domains: int) -> np.ndarray:
+    """Expected tokens of each domain at the rates that some steps lead to: one row of sums from each task."""
+    names = [f"t{k}" for k in range(domains)]
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(domains)
+        for batch in batches:
+            n = batch.column(0).to_numpy(zero_copy_only=False).astype(np.float64)
+            p = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, domains)
+            rate = np.ones(len(n))
+            for step in steps:
+                rate = np.maximum(0.0, rate - p @ np.array(step))
+            total += (n * rate) @ p
+        yield pa.RecordBatch.from_arrays([pa.array([t]) for t in total.tolist()], names)
+
+    schema = ", ".join(f"{n} double" for n in names)
+    sums = scored.select("n_tokens", "p").mapInArrow(summed, schema).agg(*[F.sum(n) for n in names]).first()
+    return np.array([float(x or 0.0) for x in sums])
+
+
 def fit_rates(scored: DataFrame, weights: tuple[float, ...] = WEIGHTS, tolerance: float = 1e-4, most_steps: int = 25) -> list[list[float]]:
     """The steps that lead from rate 1 to rates whose expected domain totals meet the targets.
 
@@ -186,15 +206,12 @@ def fit_rates(scored: DataFrame, weights: tuple[float, ...] = WEIGHTS, tolerance
     domains' expected tokens, which bound its curvature; the rate follows from
     the steps, so that no rate is stored between them.
     """
-    sums = [F.sum(F.col("n_tokens") * F.element_at("p", k + 1)) for k in range(len(weights))]
-    base = np.array([float(x or 0.0) for x in scored.agg(*sums).first()])
+    base = _totals(scored, [], len(weights))
     scale = next((b / w for b, w in zip(base, weights, strict=True) if w > 0 and b > 0), 0.0)
     target = scale * np.array(weights)
     steps: list[list[float]] = []
     for _ in range(most_steps):
-        rate = _rate(steps)
-        found = [F.sum(F.col("n_tokens") * F.element_at("p", k + 1) * rate) for k in range(len(weights))]
-        totals = np.array([float(x or 0.0) for x in scored.agg(*found).first()])
+        totals = _totals(scored, steps, len(weights))
         error = totals - target
         if np.abs(error).max() <= tolerance * max(target.sum(), 1.0):
             break

@@ -11,7 +11,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,6 +97,8 @@ def mine_rules(labelled: DataFrame, mining: Mining | None = None) -> list[MinedR
 
     Rows without tokens count for no rule; without rows there are no rules.
     """
+    from pyspark.ml.fpm import FPGrowth  # loads much that no other operator needs
+
     mining = mining or Mining()
     items = labelled.where(F.size("tokens") > 0).select(
         F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items")
