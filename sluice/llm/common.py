@@ -6,6 +6,8 @@ so further columns of its input, whatever their names, have no effect.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +71,9 @@ def cut_number(cuts: list, key: Column, low: int = 0) -> Column:
         return F.lit(low)
     mid = len(cuts) // 2
     return F.when(key <= cuts[mid], cut_number(cuts[:mid], key, low)).otherwise(cut_number(cuts[mid + 1 :], key, low + mid + 1))
+
+
+def values_of(column, rows: int = 256) -> Iterator:
+    """The values of an Arrow column in turn, few of them in memory as Python objects."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()

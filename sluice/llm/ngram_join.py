@@ -20,19 +20,21 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import width
+from sluice.llm.common import values_of, width
 from sluice.llm.components import connected
 from sluice.llm.shingles import set_digest, shingle_set
 from sluice.session import written
 
 # Of a shingle's hash, so many leading bits name it where frequencies are counted.
 KEY_BITS = 40
-# Cells of the table that tells which shingles may be in two sets or more: 2**27 bits are 16 MB on every worker.
+# Cells of the table that tells how many sets a shingle may be in: 2**27 cells of two bits are 32 MB on every worker.
 CELL_BITS = 27
+# A cell's class is that of its most frequent shingle: below 2 sets, below 8, below 64, or more.
+CLASSES = (2, 8, 64)
 # At most 2**19 shingles are frequent: those in at least 1 / 2**19 of all (set, shingle) pairs.
 FREQUENT_BITS, FREQUENT_LEAST = 19, 32
 # Shingles that a task gathers before it writes counts, and that one group of sets may have in a task.
-FLUSH, GROUP = 4_000_000, 4_000_000
+FLUSH, GROUP = 2_000_000, 4_000_000
 
 
 @dataclass(frozen=True)
@@ -56,7 +58,7 @@ def _members(docs: DataFrame, rule: Alike) -> DataFrame:
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for text in batch.column(1).to_pylist():
+            for text in values_of(batch.column(1)):
                 s = shingle_set(text, rule.size)
                 found.append((len(s), *set_digest(s)))
             columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * 3
@@ -82,20 +84,21 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Frequencies:
-    """Which shingles may be in several sets, and how often the frequent ones are."""
+    """In how many sets, by class, a shingle may be, and how often the frequent ones are."""
 
     cells: np.ndarray
     keys: np.ndarray
     counts: np.ndarray
 
     def classes(self, shingles: np.ndarray) -> np.ndarray:
-        """0: in one set only; 1: may be in more; from 2 on: frequent, the more the higher. A function of the shingle."""
+        """0: in one set only; 1 to 3: may be in more; from 4 on: frequent, the more the higher. A function of the shingle."""
         cell = shingles >> np.uint64(64 - CELL_BITS)
-        out = (self.cells[cell >> np.uint64(3)] >> (np.uint64(7) - (cell & np.uint64(7))).astype(np.uint8) & 1).astype(np.int64)
+        shift = (np.uint64(6) - np.uint64(2) * (cell & np.uint64(3))).astype(np.uint8)
+        out = (self.cells[cell >> np.uint64(2)] >> shift & 3).astype(np.int64)
         if len(self.keys):
             key = shingles >> np.uint64(64 - KEY_BITS)
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            out = np.where(self.keys[at] == key, 2 + self.counts[at], out)
+            out = np.where(self.keys[at] == key, 4 + self.counts[at], out)
         return out
 
 
@@ -119,7 +122,7 @@ def _frequencies(docs: DataFrame, rule: Alike, pairs: int) -> Frequencies:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in values_of(batch.column(0)):
                 s = shingle_set(text, rule.size)
                 digest = set_digest(s)
                 if not len(s) or digest in seen:
@@ -148,21 +151,25 @@ def _frequencies(docs: DataFrame, rule: Alike, pairs: int) -> Frequencies:
     def result(r: int, runs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         keys, place = np.unique(np.concatenate([k for k, _ in runs]), return_inverse=True)
         counts = np.bincount(place, weights=np.concatenate([c for _, c in runs])).astype(np.int64)
-        flags = np.zeros(1 << (CELL_BITS - range_bits), dtype=np.uint8)
-        flags[keys[counts > 1] >> np.uint64(KEY_BITS - CELL_BITS)] = 1
+        kinds = np.zeros(1 << (CELL_BITS - range_bits), dtype=np.uint8)
+        more = counts > 1
+        found = np.searchsorted(CLASSES, counts[more], "right").astype(np.uint8)
+        np.maximum.at(kinds, (keys[more] >> np.uint64(KEY_BITS - CELL_BITS)).astype(np.int64), found)
+        four = kinds.reshape(-1, 4)
+        bits = four[:, 0] << 6 | four[:, 1] << 4 | four[:, 2] << 2 | four[:, 3]
         many = counts >= least
         columns = [
-            pa.array([r], pa.int32()), pa.array([np.packbits(flags).tobytes()], pa.binary()),
+            pa.array([r], pa.int32()), pa.array([bits.tobytes()], pa.binary()),
             pa.array([(keys[many] + (np.uint64(r) << shift)).tobytes()], pa.binary()), pa.array([counts[many].tobytes()], pa.binary()),
         ]
         return pa.RecordBatch.from_arrays(columns, ["range", "bits", "keys", "counts"])
 
     runs = docs.select("text").mapInArrow(counted, "range int, blob binary")
     dealt = runs.repartition(width(docs.sparkSession), "range").sortWithinPartitions("range")
-    found = dealt.mapInArrow(summed, "range int, bits binary, keys binary, counts binary")
-    cells = np.zeros((ranges, 1 << max(0, CELL_BITS - range_bits - 3)), dtype=np.uint8)
+    found = written(dealt.mapInArrow(summed, "range int, bits binary, keys binary, counts binary"), "frequencies")
+    cells = np.zeros((ranges, 1 << (CELL_BITS - range_bits - 2)), dtype=np.uint8)
     keys, counts = [], []
-    for row in found.sort("range").toLocalIterator():  # 2**CELL_BITS bits and 2**FREQUENT_BITS shingles in all
+    for row in found.sort("range").toLocalIterator():  # 2**CELL_BITS cells and 2**FREQUENT_BITS shingles in all
         cells[row["range"]] = np.frombuffer(row["bits"], dtype=np.uint8)
         keys.append(np.frombuffer(row["keys"], dtype=np.uint64))
         counts.append(np.frombuffer(row["counts"], dtype=np.int64))
@@ -177,7 +184,7 @@ def _prefixes(docs: DataFrame, rule: Alike, frequencies) -> DataFrame:
         known, seen = frequencies.value, set()
         for batch in batches:
             out = []
-            for text in batch.column(0).to_pylist():
+            for text in values_of(batch.column(0)):
                 s = shingle_set(text, rule.size)
                 digest, n = set_digest(s), len(s)
                 if not n or digest in seen:
@@ -389,7 +396,7 @@ def join_ngrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = full.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("low"))
     sets = written(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
     pairs = sets.agg(F.sum("n")).first()[0] or 0
-    frequencies = spark.sparkContext.broadcast(_frequencies(slim, rule, pairs))  # 2**CELL_BITS bits and a list of bounded length
+    frequencies = spark.sparkContext.broadcast(_frequencies(slim, rule, pairs))  # 2**CELL_BITS cells and a list of bounded length
     links = _candidate_links(_prefixes(slim, rule, frequencies), sets, rule)
     labels = connected(_links(slim, sets, connected(links), rule))
     lows = labels.join(sets.select("node", "low"), "node")
