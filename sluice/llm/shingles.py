@@ -21,9 +21,12 @@ _LOWER[65:91] += np.uint64(32)
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _part_words(data: np.ndarray) -> np.ndarray:
@@ -61,10 +64,11 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     if not len(words):
         return words
     length = min(size, len(words))
+    places = mixed(np.arange(1, length + 1, dtype=np.uint64)) | np.uint64(1)
     out = np.full(len(words) - length + 1, length, dtype=np.uint64)
     for i in range(length):
-        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + words[i : len(words) - length + 1 + i])
-    return np.unique(out)
+        out += words[i : len(words) - length + 1 + i] * places[i]
+    return np.unique(mixed(out))
 
 
 def set_digest(shingles: np.ndarray) -> tuple[int, int]:
