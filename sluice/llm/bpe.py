@@ -157,10 +157,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _texts(column: pa.Array) -> list[str]:
-    return ["" if t is None else t for t in column.to_pylist()]
-
-
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids`` of every row; with ``digests`` also ``ids_sha256`` and ``decoded_sha256`` in place of ``ids``.
 
@@ -173,11 +169,10 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = encoder(path)
         for batch in batches:
-            texts = _texts(batch.column(1))
-            for group in P.grouped(texts, 8 * P.CHUNK):
-                found = list(work.encode([texts[i] for i in group]))
+            for at, texts in P.column_parts(batch.column(1), 4 * P.CHUNK):
+                found = list(work.encode(texts))
                 sizes = [len(x) for x in found]
-                columns = [batch.column(0).slice(group[0], len(group)), pa.array(sizes, pa.int64())]
+                columns = [batch.column(0).slice(at, len(texts)), pa.array(sizes, pa.int64())]
                 if digests:
                     columns.append(pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in found]))
                     decoded = (work.words.decode(x.tolist()) for x in found)

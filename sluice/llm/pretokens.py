@@ -12,10 +12,14 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 GUARD, LETTER, NUMBER, BLANK, OTHER = 0, 1, 2, 3, 4
 GUARD_POINT = 0x110000
+# Code points that are worked on together, and different pre-tokens that a worker remembers.
+CHUNK, SEEN = 1_000_000, 1_500_000
 
 
 @cache
@@ -66,7 +70,7 @@ def spans_hash(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 class SeenSpans:
     """Values of spans by hash, kept from batch to batch up to ``limit`` different ones, in arrays of some 40 bytes each."""
 
-    def __init__(self, limit: int = 2_000_000):
+    def __init__(self, limit: int = SEEN):
         self.limit = limit
         self._forget()
 
@@ -144,6 +148,15 @@ def grouped(texts: list[str], size: int) -> list[list[int]]:
     return out if out[0] else []
 
 
+def column_parts(column: pa.Array, size: int) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive texts of a column with about ``size`` bytes together, and where each run starts; NULL is empty."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(lengths) - lengths) // size
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(lengths)] if len(lengths) else []
+    for a, b in zip(cuts, cuts[1:]):
+        yield a, ["" if t is None else t for t in column.slice(a, b - a).to_pylist()]
+
+
 def contractions(points: np.ndarray, starts: np.ndarray, kinds: np.ndarray) -> None:
     """Where a pre-token starts with an apostrophe, move the start behind it past s, t, m, d, re, ve or ll."""
     at = np.flatnonzero(starts & (points == ord("'")))
@@ -160,10 +173,6 @@ def contractions(points: np.ndarray, starts: np.ndarray, kinds: np.ndarray) -> N
     starts[behind] |= kinds[behind] == LETTER
 
 
-# Code points that are worked on together, and different pre-tokens that a worker remembers.
-CHUNK, SEEN = 2_000_000, 2_000_000
-
-
 class TextEncoder:
     """Encodes batches of texts whose pre-tokens are encoded independently of each other; keeps the ids of those seen.
 

@@ -62,15 +62,14 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 2, id_co
         work, start = encoder(path), 0
         end = np.array([end_id], dtype=np.uint32)
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            for group in P.grouped(texts, 4 * P.CHUNK):
-                found = [x for ids in work.encode([texts[i] for i in group]) for x in (ids, end)]
+            for at, texts in P.column_parts(batch.column(1), 4 * P.CHUNK):
+                found = [x for ids in work.encode(texts) for x in (ids, end)]
                 sizes = np.array([len(x) for x in found], dtype=np.int64).reshape(-1, 2).sum(axis=1)
                 ends = np.cumsum(sizes)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(np.concatenate(found).astype(np.int32))
                 )
-                columns = [batch.column(0).slice(group[0], len(group)), pa.array(start + ends - sizes), pa.array(sizes), lists]
+                columns = [batch.column(0).slice(at, len(texts)), pa.array(start + ends - sizes), pa.array(sizes), lists]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "part_start", "n_tokens", "ids"])
                 start += int(ends[-1])
 
