@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.shingles import mixed, word_hashes
+from sluice.llm.shingles import hashed_words
 from sluice.session import written
 
 DOMAINS = ("clean", "low", "toxic")
@@ -37,20 +37,17 @@ _MARK[[ord(c) for c in "!\"#$%&()*+/:;<=>?@[\\]^_`{|}~"]] = True
 
 
 def features(text: str | None) -> tuple[np.ndarray, int]:
-    """The different features of a text, and its number of words."""
-    data = (text or "").encode("utf-8")
-    words = word_hashes(text)
-    if not len(words):
-        return np.empty(0, dtype=np.int64), 0
-    raw = np.frombuffer(data, dtype=np.uint8)
-    plain = word_hashes(_PLAIN[raw].tobytes().decode("utf-8"))
+    """The different features of a text, and its number of words: runs of letters and digits, or of bytes beyond ASCII."""
+    raw = np.frombuffer((text or "").encode("utf-8"), dtype=np.uint8)
+    words = hashed_words(_PLAIN[raw])
     n = len(words)
-    ratios = (
-        _MARK[raw].sum() / n, _UPPER[raw].sum() / n, (words[1:] == words[:-1]).sum() / n, 1 - len(np.unique(words)) / n,
-    )
+    if not n:
+        return np.empty(0, dtype=np.int64), 0
+    different = np.unique(words)
+    ratios = (_MARK[raw].sum() / n, _UPPER[raw].sum() / n, (words[1:] == words[:-1]).sum() / n, 1 - len(different) / n)
     steps = [int(np.searchsorted((0.001, 0.02, 0.05, 0.1, 0.3, 0.6, 1.0), r)) for r in ratios]
     shapes = WORD_FEATURES + STEPS * np.arange(4) + np.array(steps)
-    return np.concatenate([np.unique(mixed(plain) >> np.uint64(48)).astype(np.int64), shapes]), n
+    return np.concatenate([np.unique(different >> np.uint64(48)).astype(np.int64), shapes]), n
 
 
 # Features speak for a domain where its share among their documents is so many standard deviations above the overall
@@ -131,7 +128,8 @@ def _summed(rows: DataFrame, count, height: int, wide: int) -> np.ndarray:
 def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: int = len(DOMAINS)) -> Classifier:
     """From all documents (doc_id, text) that ``labelled`` (doc_id, domain) names; without any, all are of domain 0."""
     known = labelled.where("domain IS NOT NULL").select(F.col("doc_id").alias("label_id"), "domain")
-    joined = docs.join(known, F.col("doc_id") == F.col("label_id")).select("domain", "text")
+    # Labels are as many as documents, so both are shuffled whatever their size.
+    joined = docs.join(known.hint("merge"), F.col("doc_id") == F.col("label_id")).select("domain", "text")
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

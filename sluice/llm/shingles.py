@@ -45,7 +45,11 @@ def _part_words(data: np.ndarray) -> np.ndarray:
 
 def word_hashes(text: str | None) -> np.ndarray:
     """The hash of each word, in order."""
-    data = np.frombuffer((text or "").encode("utf-8"), dtype=np.uint8)
+    return hashed_words(np.frombuffer((text or "").encode("utf-8"), dtype=np.uint8))
+
+
+def hashed_words(data: np.ndarray) -> np.ndarray:
+    """The same of a text's bytes."""
     if len(data) <= PART:
         return _part_words(data)
     out, at = [], 0
