@@ -2,13 +2,14 @@
 
 A classifier over hashed words, counted from a labelled table, gives every
 document its domain posteriors. Rates per document, not below zero, are fitted
-by projected gradient so that expected tokens of each domain meet its target.
-All documents take part in every step; what a step brings to the driver is one
-number for each domain.
+so that expected tokens of each domain meet its target, or come as close as any
+rates can. All documents take part: the driver gets the sum of tokens for each
+posterior vector that the classifier has.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from sluice.llm.shingles import hashed_words
 from sluice.session import written
 
+LOG = logging.getLogger(__name__)
+
 DOMAINS = ("clean", "low", "toxic")
 # Production targets: shares of all tokens.
 WEIGHTS = (0.995, 0.005, 0.0)
@@ -166,55 +169,104 @@ def score_documents(docs: DataFrame, classifier: Classifier, id_col: str = "doc_
     return slim.mapInArrow(scored, f"doc_id bigint, n_tokens bigint, p array<double>{kind}")
 
 
-def _rate(steps: list[list[float]]) -> Column:
-    """A document's rate after some gradient steps from 1: each goes down along its posteriors, but not below zero."""
-    rate = F.lit(1.0)
-    for step in steps:
-        down = sum((F.element_at("p", k + 1) * F.lit(s) for k, s in enumerate(step)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - down)
-    return rate
+@dataclass(frozen=True)
+class Fit:
+    """What rates were fitted: a document's is 1 less its posteriors times ``slopes``, but not below zero.
+
+    ``totals`` are the expected tokens of each domain at these rates. ``gap``
+    bounds how far, as a share of all target tokens, totals are from those of the least-squares optimum.
+    """
+
+    slopes: tuple[float, ...]
+    totals: tuple[float, ...]
+    target: tuple[float, ...]
+    gap: float
 
+    @property
+    def residual(self) -> tuple[float, ...]:
+        """Expected less target tokens of each domain."""
+        return tuple(t - w for t, w in zip(self.totals, self.target, strict=True))
 
-def _totals(scored: DataFrame, steps: list[list[float]], domains: int) -> np.ndarray:
-    """Expected tokens of each domain at the rates that some steps lead to: one row of sums from each task."""
-    names = [f"t{k}" for k in range(domains)]
+    def missed(self, tolerance: float = 1e-4) -> list[int]:
+        """The domains whose target no rates can meet together with the others'."""
+        return [k for k, r in enumerate(self.residual) if abs(r) > tolerance * max(sum(self.target), 1.0)]
 
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(domains)
-        for batch in batches:
-            n = batch.column(0).to_numpy(zero_copy_only=False).astype(np.float64)
-            p = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, domains)
-            rate = np.ones(len(n))
-            for step in steps:
-                rate = np.maximum(0.0, rate - p @ np.array(step))
-            total += (n * rate) @ p
-        yield pa.RecordBatch.from_arrays([pa.array([t]) for t in total.tolist()], names)
 
-    schema = ", ".join(f"{n} double" for n in names)
-    sums = scored.select("n_tokens", "p").mapInArrow(summed, schema).agg(*[F.sum(n) for n in names]).first()
-    return np.array([float(x or 0.0) for x in sums])
+def _rate(fit: Fit) -> Column:
+    down = sum((F.element_at("p", k + 1) * F.lit(s) for k, s in enumerate(fit.slopes)), F.lit(0.0))
+    return F.greatest(F.lit(0.0), F.lit(1.0) - down)
 
 
-def fit_rates(scored: DataFrame, weights: tuple[float, ...] = WEIGHTS, tolerance: float = 1e-4, most_steps: int = 25) -> list[list[float]]:
-    """The steps that lead from rate 1 to rates whose expected domain totals meet the targets.
+# Weight of the distance of rates from 1 against the squared errors of totals.
+NEAR_ONE = 1e-8
+
+
+def _slopes(n: np.ndarray, p: np.ndarray, base: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Slopes of the rates closest to 1 among those with the least squared relative errors of totals.
+
+    The smooth dual, one variable for each domain, is minimized by Newton steps
+    with exact line search. It is quadratic between the points where a rate
+    becomes zero, so the step that stays in its piece ends at the minimum.
+    """
+    root = np.sqrt(base / n.sum())
+    share, q, want = n / n.sum(), p / root, target / n.sum() / root
+    x = np.zeros(len(base))
+
+    def slope(x: np.ndarray) -> np.ndarray:
+        return want - (share * np.maximum(0.0, 1 - q @ x)) @ q + NEAR_ONE * x
+
+    while True:
+        on = 1 - q @ x > 0
+        curve = (q[on].T * share[on]) @ q[on] + NEAR_ONE * np.eye(len(x))
+        step = -np.linalg.solve(curve, slope(x))
+        if ((1 - q @ (x + step) > 0) == on).all():
+            return (x + step) / root
+        low, high = 0.0, 1.0
+        while slope(x + high * step) @ step < 0 and high < 2.0**60:
+            low, high = high, 2 * high
+        for _ in range(80):
+            mid = (low + high) / 2
+            low, high = (mid, high) if slope(x + mid * step) @ step < 0 else (low, mid)
+        moved = x + high * step
+        if _dual(share, q, want, moved) >= _dual(share, q, want, x):
+            return x / root  # as near as doubles tell
+        x = moved
+
+
+def _dual(share: np.ndarray, q: np.ndarray, want: np.ndarray, x: np.ndarray) -> float:
+    return float(share @ np.maximum(0.0, 1 - q @ x) ** 2 / 2 + want @ x + NEAR_ONE * x @ x / 2)
+
+
+def fit_rates(scored: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> Fit:
+    """Rates whose expected domain totals meet the targets, or come closest to them.
 
     The first domain with a weight sets the scale: it keeps its expected tokens.
-    Least squares over relative errors, in the metric of document lengths, so
-    that a rate depends on posteriors only. A step is the gradient over the
-    domains' expected tokens, which bound its curvature; the rate follows from
-    the steps, so that no rate is stored between them.
+    Least squares over relative errors; of all rates with the least, those
+    closest to 1 in the metric of document lengths, so that a rate depends on
+    posteriors only. Tokens are summed by posteriors: a classifier has one vector for each
+    of its classes, and the driver solves on these exact sums.
     """
-    base = _totals(scored, [], len(weights))
+    classes = scored.where("n_tokens > 0").groupBy("p").agg(F.sum("n_tokens").alias("n")).orderBy("p").collect()
+    n, p = np.array([float(r["n"]) for r in classes]), np.array([r["p"] for r in classes]).reshape(-1, len(weights))
+    base = n @ p
     scale = next((b / w for b, w in zip(base, weights, strict=True) if w > 0 and b > 0), 0.0)
-    target = scale * np.array(weights)
-    steps: list[list[float]] = []
-    for _ in range(most_steps):
-        totals = _totals(scored, steps, len(weights))
-        error = totals - target
-        if np.abs(error).max() <= tolerance * max(target.sum(), 1.0):
-            break
-        steps.append([float(e / b) if b > 0 else 0.0 for e, b in zip(error, base, strict=True)])
-    return steps
+    target, slopes = scale * np.array(weights), np.zeros(len(weights))
+    there = base > 0
+    if there.any():
+        slopes[there] = _slopes(n, p[:, there], base[there], target[there])
+    rate = np.maximum(0.0, 1 - p @ slopes)
+    totals = (n * rate) @ p
+    gap = 0.0
+    if there.any():
+        # Squared errors of the optimum are less by no more than the gradient says; its tokens are bounded by those of the target.
+        pull = p[:, there] @ ((totals - target)[there] / base[there])
+        most = np.sqrt(base.sum() * (target[there] ** 2 / base[there]).sum())
+        excess = max(0.0, float((n * rate) @ pull) + max(0.0, -float(pull.min())) * most)
+        gap = float(np.sqrt(2 * excess * base.max())) / max(target.sum(), 1.0)
+    fit = Fit(tuple(slopes.tolist()), tuple(totals.tolist()), tuple(target.tolist()), gap)
+    for k in fit.missed():
+        LOG.warning("domain %d: %.0f expected tokens, target %.0f; no rates meet all targets", k, totals[k], target[k])
+    return fit
 
 
 def _copies(rate: Column) -> Column:
@@ -223,6 +275,19 @@ def _copies(rate: Column) -> Column:
     return F.floor(rate + chance).cast("int")
 
 
+def rate_and_fit(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", weights: tuple[float, ...] = WEIGHTS,
+    carry: bool = False,
+) -> tuple[DataFrame, Fit]:
+    """``rate_documents`` with the fit, which has the residual of each domain."""
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    classifier = fit_classifier(slim, labels.select("doc_id", domain_of(labels).alias("domain")))
+    stored = written(score_documents(slim, classifier), "posteriors")
+    fit = fit_rates(stored, weights)
+    scored = score_documents(docs, classifier, id_col, text_col, carry=True) if carry else stored
+    return scored.withColumn("rate", _rate(fit)).withColumn("copies", _copies(F.col("rate"))), fit
+
+
 def rate_documents(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", weights: tuple[float, ...] = WEIGHTS,
     carry: bool = False,
@@ -233,12 +298,7 @@ def rate_documents(
     without a document have no effect. A NULL or empty text has no tokens and
     the overall posteriors. Ids may be NULL or repeat: such rows get the same number of copies.
     """
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    classifier = fit_classifier(slim, labels.select("doc_id", domain_of(labels).alias("domain")))
-    stored = written(score_documents(slim, classifier), "posteriors")
-    rate = _rate(fit_rates(stored, weights))
-    scored = score_documents(docs, classifier, id_col, text_col, carry=True) if carry else stored
-    return scored.withColumn("rate", rate).withColumn("copies", _copies(F.col("rate")))
+    return rate_and_fit(docs, labels, id_col, text_col, weights, carry)[0]
 
 
 def mix_documents(docs: DataFrame, labels: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
