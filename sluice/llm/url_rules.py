@@ -1,37 +1,34 @@
 """URL filters: fixed rules by host and path, and association rules mined from labelled URLs.
 
-FP-growth finds combinations of URL tokens that are frequent together with a
-bad label. Rules that pass the bounds on support and confidence, and that no
-shorter rule makes needless, are looked up by their rarest token.
+Combinations of URL tokens that are frequent together with a bad label are
+counted level by level. All that pass the bounds on support and confidence, and that no
+shorter rule makes needless, are rules, looked up by their rarest token.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import lower_ascii, width
-
-BAD = "label:bad"
+from sluice.llm.common import lower_ascii
+from sluice.session import written
 
 
 @dataclass(frozen=True)
 class Mining:
-    """Bounds of mined rules.
+    """Bounds of mined rules, of whatever number and length.
 
-    ``support`` is a share of the labelled URLs and ``least`` a number of them;
+    ``least`` is a number of bad URLs, however many have labels;
     ``confidence`` must hold three standard deviations below what was found.
     """
 
-    support: float = 0.002
     least: int = 20
     confidence: float = 0.5
-    most_tokens: int = 4
-    most_rules: int = 10_000
 
 
 @dataclass(frozen=True)
@@ -92,39 +89,60 @@ def url_tokens(url: Column) -> Column:
     return F.coalesce(F.array_distinct(F.concat(*parts)), F.array().cast("array<string>"))
 
 
+def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For rows (row, bad, sets of k tokens with their n): each set of k + 1 tokens all of whose parts the row has, with the least n of these."""
+    names = ["row", "bad", "tokens", "of"]
+    kinds = [pa.int64(), pa.bool_(), pa.list_(pa.string()), pa.int64()]
+
+    def made(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
+    out: list[tuple] = []
+    for batch in batches:
+        for row, bad, sets in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            counts = {tuple(s["tokens"]): s["n"] for s in sets}
+            ends: dict[tuple, list[str]] = {}
+            for tokens in sorted(counts):
+                ends.setdefault(tokens[:-1], []).append(tokens[-1])
+            for start, last in ends.items():
+                for pair in combinations(last, 2):
+                    tokens = (*start, *pair)
+                    parts = [counts.get(part) for part in combinations(tokens, len(tokens) - 1)]
+                    if None not in parts:
+                        out.append((row, bad, tokens, min(parts)))
+                if len(out) > 10_000:
+                    yield made(out)
+                    out = []
+    if out:
+        yield made(out)
+
+
 def mine_rules(labelled: DataFrame, mining: Mining | None = None) -> list[MinedRule]:
-    """Rules from rows (tokens ARRAY<STRING>, bad BOOLEAN); at most ``most_rules``, the surest first.
+    """All rules from rows (tokens ARRAY<STRING>, bad BOOLEAN) that pass the bounds and of which no part passes them.
+
+    Sets of tokens are counted level by level. A set is left out of larger ones
+    if it is a rule, since whatever fits these fits it, if too few bad URLs have it, or if a part of it is in the
+    same URLs, since then that part stands for it. So tokens that always come together cost no more than one.
 
     Rows without tokens count for no rule; without rows there are no rules.
     """
-    from pyspark.ml.fpm import FPGrowth  # loads much that no other operator needs
-
     mining = mining or Mining()
-    items = labelled.where(F.size("tokens") > 0).select(
-        F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items")
-    )
-    count = items.count()
-    if not count:
-        return []
-    support = min(1.0, max(mining.support, mining.least / count))
-    parts = width(labelled.sparkSession)
-    growth = FPGrowth(itemsCol="items", minSupport=support, minConfidence=mining.confidence, numPartitions=parts)
-    share, of = F.col("confidence"), F.col("support") * count / F.col("confidence")
-    found = growth.fit(items).associationRules.where(
-        (F.col("consequent") == F.array(F.lit(BAD)))
-        & (share - 3 * F.sqrt(share * (1 - share) / of) >= mining.confidence)
-        & (F.size("antecedent") <= mining.most_tokens)
-    )
-    best = found.orderBy(F.desc("confidence"), F.desc("support"), F.size("antecedent"), F.array_sort("antecedent"))
+    rows = labelled.where(F.size("tokens") > 0).select(F.monotonically_increasing_id().alias("row"), "bad", F.array_distinct("tokens").alias("tokens"))
+    count = rows.count()
+    level = rows.select("row", "bad", F.explode("tokens").alias("token")).select("row", "bad", F.array("token").alias("tokens"), F.lit(count + 1).cast("long").alias("of"))
     rules: list[MinedRule] = []
-    holders: dict[str, list[frozenset[str]]] = {}
-    for r in sorted(best.limit(mining.most_rules).collect(), key=lambda r: (len(r["antecedent"]), sorted(r["antecedent"]))):
-        tokens = frozenset(r["antecedent"])
-        # Whatever fits a rule fits all rules with fewer of its tokens.
-        if not any(shorter <= tokens for t in tokens for shorter in holders.get(t, [])):
-            rules.append(MinedRule(tokens, r["support"], r["confidence"]))
-            holders.setdefault(min(tokens), []).append(tokens)
-    return rules
+    n, share, size = F.col("n"), F.col("n_bad") / F.col("n"), 0
+    while True:
+        level, size = written(level, "url_sets"), size + 1
+        counted = level.groupBy("tokens").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"), F.min("of").alias("of"))
+        sure = share - 3 * F.sqrt(share * (1 - share) / n) >= mining.confidence
+        kept = written(counted.where((F.col("n_bad") >= mining.least) & (n < F.col("of"))).withColumn("sure", sure), "url_counts")
+        rules += [MinedRule(frozenset(r["tokens"]), r["n_bad"] / count, r["n_bad"] / r["n"]) for r in kept.where("sure").orderBy("tokens").collect()]
+        open_sets = kept.where("NOT sure").select("tokens", "n")
+        if open_sets.isEmpty():
+            return rules
+        held = level.select("row", "bad", "tokens").join(open_sets, "tokens").groupBy("row", "bad").agg(F.collect_list(F.struct("tokens", "n")).alias("sets"))
+        level = held.where(F.size("sets") > size).mapInArrow(_larger, "row bigint, bad boolean, tokens array<string>, of bigint")
 
 
 class RuleIndex:

@@ -1,3 +1,5 @@
+import itertools
+import random
 import re
 
 import pytest
@@ -79,3 +81,35 @@ def test_index_tries_every_rule():
 def test_rule_lines():
     with pytest.raises(ValueError):
         U.host_rule("deny org/")
+
+
+def passing(rows, least=20):
+    """The smallest sets of tokens that pass, by trying all."""
+    tokens, found = sorted({t for ts, _ in rows for t in ts}), []
+    for size in range(1, len(tokens) + 1):
+        for some in map(frozenset, itertools.combinations(tokens, size)):
+            of = [bad for ts, bad in rows if some <= set(ts)]
+            share = sum(of) / max(1, len(of))
+            if sum(of) >= least and share - 3 * (share * (1 - share) / len(of)) ** 0.5 >= 0.5 and not any(f <= some for f in found):
+                found.append(some)
+    return set(found)
+
+
+def test_rules_against_all_sets(spark):
+    """Rules of any length, five tokens too."""
+    rnd = random.Random(2)
+    rows = []
+    for i in range(1600):
+        some = [t for k, t in enumerate("abcde") if i >> k & 1] if i < 1280 else ["q", *rnd.sample("fgh", k=2)]
+        rows.append(([*some, "z"], set("abcde") <= set(some) or ({"f", "g"} <= set(some) and rnd.random() < 0.9)))
+    want = passing(rows)
+    assert frozenset("abcde") in want and frozenset("fg") in want
+    assert {r.tokens for r in U.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))} == want
+
+
+def test_no_rule_is_pushed_out(spark):
+    """Templates of many tokens leave room for a less sure host; a host with few of many labelled URLs is found."""
+    rows = [([f"{t}{k}" for k in range(20)], True) for t in "xy" for _ in range(150)]
+    rows += [(["mixed"], i % 5 > 0) for i in range(300)] + [(["few"], True)] * 25 + [(["good", f"p{i % 7}"], False) for i in range(20000)]
+    found = {r.tokens for r in U.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))}
+    assert found == {frozenset([t]) for t in [*(f"{t}{k}" for t in "xy" for k in range(20)), "mixed", "few"]}
