@@ -27,7 +27,7 @@ DOMAINS = ("clean", "low", "toxic")
 # Production targets: shares of all tokens.
 WEIGHTS = (0.995, 0.005, 0.0)
 # Words are hashed to so many features; ratios of characters and words, in steps, follow them.
-WORD_FEATURES, STEPS = 1 << 16, 8
+WORD_FEATURES, STEPS = 1 << 18, 8
 FEATURES = WORD_FEATURES + 4 * STEPS
 # A feature's share of a domain is drawn to the overall share with the weight of so many documents.
 SHRINK = 5.0
@@ -50,54 +50,58 @@ def features(text: str | None) -> tuple[np.ndarray, int]:
     ratios = (_MARK[raw].sum() / n, _UPPER[raw].sum() / n, (words[1:] == words[:-1]).sum() / n, 1 - len(different) / n)
     steps = [int(np.searchsorted((0.001, 0.02, 0.05, 0.1, 0.3, 0.6, 1.0), r)) for r in ratios]
     shapes = WORD_FEATURES + STEPS * np.arange(4) + np.array(steps)
-    return np.concatenate([np.unique(different >> np.uint64(48)).astype(np.int64), shapes]), n
+    return np.concatenate([np.unique(different >> np.uint64(46)).astype(np.int64), shapes]), n
 
 
-# Features speak for a domain where its share among their documents is so many standard deviations above the overall
-# one, and its log odds against the first domain are so large. Many weak features would outweigh a few clear ones.
-SURE, CLEAR = 4.0, 3.0
-# Scores fall into these classes, and posteriors below the floor are none.
-EDGES, FLOOR = (0.5, 2.5, 4.0, 6.0, 9.0), 0.02
+# A feature's log odds count fully where its share is many standard deviations from the overall one, and half at so many.
+HALF = 2.0
+# Scores, log odds, fall into these classes, and numbers of different features into those.
+EDGES, LENGTHS = (-40.0, -20.0, -10.0, -5.0, -2.0, 0.0, 2.0, 5.0, 10.0, 20.0, 40.0), (32, 100, 320, 1000)
+
+
+def _cell(scores: np.ndarray, length: int) -> int:
+    out = int(np.searchsorted(LENGTHS, length))
+    for step in np.searchsorted(EDGES, scores).tolist():
+        out = out * (len(EDGES) + 1) + step
+    return out
 
 
 @dataclass(frozen=True)
 class Classifier:
-    """Posteriors by classes of scores.
+    """Posteriors by classes of scores and lengths.
 
     ``weights`` has for each feature and each domain but the first the log odds
-    against the first, 0 where they are small or may be chance; a document's scores are their sums.
-    ``table`` has the posteriors that labelled documents with scores of the same classes had.
+    against the first, shrunken by how sure they are; a document's scores are their sums and the overall log odds.
+    ``table`` has the posteriors that labelled documents with scores and lengths of the same classes had,
+    the last row those of all.
     """
 
     weights: np.ndarray
+    prior: np.ndarray
     table: np.ndarray
 
-    def cell(self, found: np.ndarray) -> int:
-        scores = self.weights[found].sum(axis=0)
-        out = 0
-        for step in np.searchsorted(EDGES, scores).tolist():
-            out = out * (len(EDGES) + 1) + step
-        return out
-
     def posteriors(self, found: np.ndarray) -> np.ndarray:
-        return self.table[self.cell(found)]
+        if not len(found):
+            return self.table[-1]
+        return self.table[_cell(self.prior + self.weights[found].sum(axis=0), len(found))]
 
 
-def _weights(total: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Log odds of features (counts of documents by domain) that clearly speak for a domain."""
-    seen, n = total.T, total.sum(axis=0)[:, None]
-    held = (seen + SHRINK * share) / (n + SHRINK) / share
-    spread = np.sqrt(np.maximum(n * share * (1 - share), 1e-12))
-    sure = seen - n * share >= SURE * np.maximum(spread, 1.0)
-    odds = np.log(held) - np.log(held[:, :1])
-    return np.where(sure & (odds >= CLEAR), odds, 0.0)[:, 1:]
+def _weights(seen: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Shrunken log odds of features (a row of counts of documents by domain each) against the first domain."""
+    n, there = seen.sum(axis=1, keepdims=True), np.where(share > 0, share, 1.0)
+    odds = np.log((seen + SHRINK * there) / (n + SHRINK) / there)
+    z2 = (seen - n * share) ** 2 / (n * share * (1 - share) + 1)
+    odds = np.where(share > 0, odds * z2 / (z2 + HALF**2), 0.0)
+    return odds[:, 1:] - odds[:, :1]
 
 
 def _table(cells: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Posteriors of each class of scores, drawn to the overall share with the weight of one document."""
-    p = (cells + share) / (cells.sum(axis=1, keepdims=True) + 1)
-    p = np.where(p < FLOOR, 0.0, p)
-    return p / p.sum(axis=1, keepdims=True)
+    """Posteriors of each class, drawn to those of its scores at any length, which are drawn to the overall share."""
+    by_length = cells.reshape(len(LENGTHS) + 1, -1, cells.shape[1])
+    scores = by_length.sum(axis=0)
+    scores = (scores + share) / (scores.sum(axis=1, keepdims=True) + 1)
+    p = (by_length + SHRINK * scores) / (by_length.sum(axis=2, keepdims=True) + SHRINK)
+    return np.concatenate([p.reshape(cells.shape), share[None, :]])
 
 
 def domain_of(labels: DataFrame) -> Column:
@@ -123,8 +127,8 @@ def _summed(rows: DataFrame, count, height: int, wide: int) -> np.ndarray:
 
     out = np.zeros((height, wide))
     summed = rows.mapInArrow(counted, "i int, j int, n bigint").groupBy("i", "j").agg(F.sum("n").alias("n"))
-    for r in summed.collect():
-        out[r["i"], r["j"]] = r["n"]
+    sums = summed.toArrow()
+    out[sums["i"].to_numpy(), sums["j"].to_numpy()] = sums["n"].to_numpy()
     return out
 
 
@@ -145,12 +149,20 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: int = len(DOMA
         counts[r["domain"]] = r["count"]
     if not counts.sum():
         counts[0] = 1.0
-    share = (counts + 1e-9) / (counts + 1e-9).sum()
-    weights = _weights(_summed(rows, lambda domain, f: (domain, f), domains, FEATURES), share)
-    first = Classifier(weights, np.empty(0))
-    height = (len(EDGES) + 1) ** (domains - 1)
-    cells = _summed(rows, lambda domain, f: (first.cell(f), domain), height, domains)
-    return Classifier(weights, _table(cells, share))
+    share = counts / counts.sum()
+    seen = np.ascontiguousarray(_summed(rows, lambda domain, f: (domain, f), domains, FEATURES).T)
+    odds = np.log(np.where(share > 0, share, 1.0))
+    prior = odds[1:] - odds[0]
+
+    def apart(domain: int, f: np.ndarray) -> tuple[int, int]:
+        """A labelled document is scored by the counts of the others, as documents without a label are."""
+        others = seen[f]
+        others[:, domain] -= 1
+        return _cell(prior + _weights(others, share).sum(axis=0), len(f)), domain
+
+    height = (len(LENGTHS) + 1) * (len(EDGES) + 1) ** (domains - 1)
+    cells = _summed(rows.where(F.size("features") > 0), apart, height, domains)
+    return Classifier(_weights(seen, share), prior, _table(cells, share))
 
 
 def score_documents(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:

@@ -107,3 +107,24 @@ def test_overlapping_posteriors(spark, caplog):
         assert bool(fit.missed()) == bool(caplog.records)
         if reached is not None:
             assert (not fit.missed()) == reached
+
+
+def test_weak_words_and_lengths(spark):
+    """Domains told apart by many moderate words only: found on held-out texts, with posteriors that hold for short and for long ones."""
+    rnd, rows, named = random.Random(8), [], []
+    for i in range(4000):
+        domain, size = 2 * (rnd.random() < 0.2), (12, 400)[i % 2]
+        words = [f"w{rnd.randrange(40) + 20 * (domain == 2 and rnd.random() < 0.7)}" for _ in range(12)] + [f"n{rnd.randrange(3000)}" for _ in range(size)]
+        rows.append((i, " ".join(words)))
+        named.append((i, domain))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(named, "doc_id long, domain int")
+    classifier = mixing.fit_classifier(docs, labels.where("doc_id % 4 < 2"))
+    got = {r["doc_id"]: r["p"] for r in mixing.score_documents(docs.where("doc_id % 4 >= 2"), classifier).collect()}
+    toxic = {i for i, domain in named if domain == 2}
+    for odd in (0, 1):
+        p = sorted((got[i][2], i in toxic) for i in got if i % 2 == odd)
+        said, true = np.array([x for x, _ in p]), np.array([y for _, y in p])
+        assert abs(said.mean() - true.mean()) < 0.04 and true[-len(p) // 5 :].mean() > 0.5
+        for part in (said < 0.2, said >= 0.2):
+            assert part.sum() > 50 and abs(said[part].mean() - true[part].mean()) < 0.1
+        assert said.min() > 0
