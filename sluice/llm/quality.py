@@ -15,7 +15,8 @@ from sluice.llm.common import SPACE, UPPER, carried, fixed, lower_ascii, restore
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
-# Frequent function words of the four languages; parameter of ``quality_signals``.
+# Frequent function words of these four languages; parameters of ``quality_signals``.
+STOP_LANGS = ("en", "de", "fr", "es")
 STOP_WORDS = (
     "the of and to in is that it was for on are as with his they at be this have from or had by "
     "der die das und den von zu mit sich des ist im nicht ein eine auf für dem "
@@ -77,23 +78,29 @@ def _places(placed: str) -> Column:
 
 
 def quality_signals(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stop_words=STOP_WORDS, carry: bool = False
-) -> DataFrame:
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stop_words=STOP_WORDS, carry: bool = False,
+    lang_col: str = "lang", stop_langs=STOP_LANGS,
+) -> DataFrame:
     """One row per row of ``docs``: the id, base counts, and the ratios that rules refer to.
 
     With ``carry`` the input's columns follow as ``in_0``, ``in_1`` and so on.
 
     A NULL or empty text counts as one without words. Ratios without a
-    denominator are NULL and pass every rule. Ids may be NULL or repeat; equal
+    denominator are NULL and pass every rule; so is the ratio of stop words
+    where ``lang_col`` names none of the languages that the words are of. Without such a column all rows have it. Ids may be NULL or repeat; equal
     rows get equal signals; an empty table gives none.
     """
     stops = [F.lit(w) for w in sorted(set(stop_words))]
     text = F.coalesce(F.col(text_col), F.lit(""))
     more = [f"in_{i}" for i in range(len(docs.columns))] if carry else []
-    base = docs.select(*(carried(docs) if carry else []), F.col(id_col).alias("doc_id"), text.alias("text"))
+    # ``en`` of ``en-US``.
+    lang = lower_ascii(F.substring_index(F.substring_index(F.col(lang_col).cast("string"), "-", 1), "_", 1)) if lang_col in docs.columns else None
+    listed = F.lit(True) if lang is None else F.coalesce(lang.isin(*stop_langs), F.lit(False))
+    base = docs.select(*(carried(docs) if carry else []), F.col(id_col).alias("doc_id"), text.alias("text"), listed.alias("listed"))
     with_words = base.select(
         *more,
         "doc_id",
+        "listed",
         "text",
         words_of(F.col("text")).alias("words"),
         F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "").alias("lines"),
@@ -108,6 +115,7 @@ def quality_signals(
     counted = hashed.select(
         *more,
         "doc_id",
+        "listed",
         F.size("words").cast("long").alias("n_words"),
         F.char_length("packed").cast("long").alias("word_chars"),
         (F.char_length("packed") - _without(F.col("packed"), SYMBOLS)).cast("long").alias("n_symbols"),
@@ -135,7 +143,7 @@ def quality_signals(
         F.when(F.col("places").isNull(), F.lit(0).cast("long")).otherwise(covered).alias("n_repeat_words"),
         (F.col("word_chars") / n).alias("mean_word_chars"),
         (F.col("n_symbols") / chars).alias("symbol_ratio"),
-        (F.col("n_stop_words") / n).alias("stop_word_ratio"),
+        F.when(F.col("listed"), F.col("n_stop_words") / n).alias("stop_word_ratio"),
         (F.col("n_dup_lines") / lines).alias("dup_line_ratio"),
         (F.col("n_bullet_lines") / lines).alias("bullet_line_ratio"),
         (F.col("n_upper") / chars).alias("upper_ratio"),

@@ -43,3 +43,12 @@ def test_empty_tables_repeats_and_null_ids(spark):
 def test_no_python_and_no_exchange(spark, sf):
     plan = judge_quality(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan and "Arrow" not in plan
+
+
+def test_languages_without_stop_words(spark):
+    """The stop-word rule holds for languages that have a list only."""
+    polish = " ".join(f"słowo{i} jest tutaj oraz" for i in range(10))
+    rows = [(1, polish, "pl"), (2, polish, "en"), (3, polish, None), (4, polish, "de-AT"), (5, polish + " the of und la", "fr"), (6, "x y z " * 20, "pl")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in keep_quality(df).collect()} == {1, 3, 5}
+    assert keep_quality(df.drop("lang")).count() == 1
