@@ -1,8 +1,9 @@
 """BPE encoding by dynamic programming over prefixes, and decoding.
 
 For every prefix of a word exactly one token is the last of the prefix's
-encoding. An automaton over all tokens gives the tokens that end a prefix; of
-these the one is kept that is compatible with the last token of what is before
+encoding. An Aho-Corasick automaton over all tokens, not a suffix automaton,
+gives the tokens that end a prefix: it is built once from the vocabulary and
+yields just those in one walk over the word. Of these the one is kept that is compatible with the last token of what is before
 it. Two tokens are compatible if no merge would join pieces of both before they
 are whole. Back-pointers from the whole word give the ids.
 """
