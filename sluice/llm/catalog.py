@@ -6,7 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, fingerprints, line_dedup, mixing, ngram_join, quality, sharding, token_files, url_rules, warc
+from sluice.llm import (
+    bpe,
+    fingerprints,
+    line_dedup,
+    merkle,
+    mixing,
+    ngram_join,
+    prefix_trie,
+    quality,
+    sharding,
+    token_files,
+    url_rules,
+    warc,
+)
 from sluice.llm.common import table
 
 def vocabulary(name: str) -> str:
@@ -91,6 +104,20 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(token_files.tokens_in_files(docs, vocabulary("byte_bpe_50k.json")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations")).select(
+        "conv_id", F.col("depth").cast("long").alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        "ends_sha256",
+    )
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Merkle manifest of the documents; every third proof is checked against a tampered text."""
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_warc": op2_warc,
@@ -102,8 +129,26 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op13_manifest": op13_manifest,
 }
 
+
+def _crc32(text: str) -> str:
+    """The CRC-32 of ASCII text as DuckDB SQL, bit by bit."""
+    step = "list_reduce([xor(c, b), 1, 2, 3, 4, 5, 6, 7, 8], lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)"
+    values = f"list_prepend(4294967295, list_transform(string_split({text}, ''), lambda d: CAST(ord(d) AS BIGINT)))"
+    return f"xor(list_reduce({values}, lambda c, b: {step}), 4294967295)"
+
+
+def _leaf(lower: bool = False) -> str:
+    """The parts of a leaf's text as DuckDB SQL."""
+    columns = {c: f"CAST({c} AS VARCHAR)" for c in merkle.FIELDS}
+    if lower:
+        columns["text"] = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return ", ".join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in columns.values())
+
+
 _STOPS = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
 SQL = {
     "op5_line_dedup": r"""
@@ -174,5 +219,78 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     AND bullets / len(l) <= 0.9
     AND upper / word_chars <= 0.6 AS kept
 FROM judged
+""",
+    "op11_prefix_trie": f"""
+WITH own AS (
+  SELECT conv_id, length_role || ':' || role || text AS w, octet_length(encode(text)) AS bytes,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length_role || ':' || role || text)) AS i
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+          octet_length(encode(coalesce(role, ''))) AS length_role FROM conversations WHERE conv_id IS NOT NULL)
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM own)
+), rebuilt AS (
+  SELECT ids.conv_id, own.w, own.bytes, own.i FROM ids JOIN own ON own.conv_id = ids.base AND own.i <= ids.h
+  UNION ALL SELECT ids.conv_id, own.w, own.bytes, own.i FROM ids JOIN own ON own.conv_id = ids.conv_id AND own.i > ids.h
+), paths AS (
+  SELECT ids.conv_id, coalesce(list(w ORDER BY i) FILTER (WHERE i IS NOT NULL), []) AS p,
+    coalesce(list(bytes ORDER BY i) FILTER (WHERE i IS NOT NULL), []) AS b
+  FROM ids LEFT JOIN rebuilt USING (conv_id) GROUP BY ids.conv_id
+), members AS (
+  SELECT conv_id, d, p[1:d] AS k, len(p) = d AS is_end, CASE WHEN d = 0 THEN 0 ELSE b[d] END AS bytes
+  FROM (SELECT *, unnest(range(len(p) + 1)) AS d FROM paths)
+), nodes AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n, max(bytes) AS bytes,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE is_end), '')) AS ends
+  FROM members GROUP BY k, d
+), kids AS (
+  SELECT k[1:d - 1] AS k, count(*) AS c FROM nodes WHERE d > 0 GROUP BY 1
+), subtrees AS (
+  SELECT k[1:a] AS k, count(*) FILTER (WHERE c = 0) AS leaves, sum((n - 1) * bytes) AS saved
+  FROM (SELECT nodes.k, n, bytes, coalesce(c, 0) AS c, unnest(range(d + 1)) AS a FROM nodes LEFT JOIN kids USING (k)) GROUP BY 1
+)
+SELECT nodes.conv_id, nodes.d AS depth, up.conv_id AS parent_conv_id, nodes.n AS n_convs, coalesce(c, 0) AS n_children,
+  leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, nodes.ends AS ends_sha256
+FROM nodes JOIN subtrees USING (k) LEFT JOIN kids USING (k) LEFT JOIN nodes up ON up.k = nodes.k[1:nodes.d - 1] AND nodes.d > 0
+""",
+    "op13_manifest": f"""
+WITH RECURSIVE rows_of AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, {_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0 AS tampered,
+    sha256(concat({_leaf()})) AS leaf, sha256(concat({_leaf(True)})) AS changed
+  FROM documents
+), leaves AS (
+  SELECT *, coalesce('=' || lang, '') AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i FROM rows_of
+), lower_levels AS (
+  SELECT g, 0 AS l, i, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM leaves
+  UNION ALL SELECT g, l + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM lower_levels WHERE n > 1 GROUP BY g, l, n, i // 8
+), tops AS (
+  SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS i FROM lower_levels WHERE n = 1
+), upper_levels AS (
+  SELECT 0 AS l, i, subroot AS h, count(*) OVER () AS n FROM tops
+  UNION ALL SELECT l + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM upper_levels WHERE n > 1 GROUP BY l, n, i // 8
+), levels AS (
+  SELECT g, l, i, h, n FROM lower_levels
+), heights AS (
+  SELECT g, max(l) AS top FROM levels GROUP BY g
+), steps AS (
+  -- Every run a proof passes: those of the language, then those of the tree above.
+  SELECT r, lv.l AS step, string_agg(h, '' ORDER BY lv.i) FILTER (WHERE lv.i < x.i) AS before, string_agg(h, '' ORDER BY lv.i) FILTER (WHERE lv.i > x.i) AS after
+  FROM (SELECT r, g, l, leaves.i // CAST(pow(8, l) AS BIGINT) AS i FROM leaves JOIN heights USING (g), LATERAL (SELECT unnest(range(top)) AS l)) x
+  JOIN levels lv ON lv.g = x.g AND lv.l = x.l AND lv.i // 8 = x.i // 8 GROUP BY ALL
+  UNION ALL
+  SELECT r, 1000 + u.l, string_agg(h, '' ORDER BY u.i) FILTER (WHERE u.i < x.i), string_agg(h, '' ORDER BY u.i) FILTER (WHERE u.i > x.i)
+  FROM (SELECT r, l, tops.i // CAST(pow(8, l) AS BIGINT) AS i FROM leaves JOIN tops USING (g), LATERAL (SELECT unnest(range((SELECT max(l) FROM upper_levels))) AS l)) x
+  JOIN upper_levels u ON u.l = x.l AND u.i // 8 = x.i // 8 GROUP BY ALL
+), proofs AS (
+  SELECT leaves.r, coalesce(list({{'b': coalesce(before, ''), 'a': coalesce(after, '')}} ORDER BY step) FILTER (WHERE step IS NOT NULL), []) AS p
+  FROM leaves LEFT JOIN steps USING (r) GROUP BY leaves.r
+), folds AS (
+  SELECT r, 0 AS s, CASE WHEN tampered THEN changed ELSE leaf END AS h, p FROM leaves JOIN proofs USING (r)
+  UNION ALL SELECT r, s + 1, sha256(p[s + 1].b || h || p[s + 1].a), p FROM folds WHERE s < len(p)
+), top AS (
+  SELECT h AS root FROM upper_levels WHERE n = 1
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(p, lambda x: x.b || x.a), '')) AS proof_sha256,
+  h AS folded_root, h = root AS verified
+FROM leaves JOIN tops USING (g) JOIN folds USING (r), top WHERE s = len(p)
 """,
 }
