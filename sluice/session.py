@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -39,6 +40,24 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     )
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one process."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
+def check_warehouse(spark: SparkSession) -> None:
+    """Tables of a cluster session must lie in a warehouse that all executors share, not where Spark puts it if none is named."""
+    place = spark.conf.get("spark.sql.warehouse.dir")
+    if not _is_local(spark) and place.split(":", 1)[-1].lstrip("/") == f"{os.getcwd()}/spark-warehouse".lstrip("/"):
+        raise RuntimeError("spark.sql.warehouse.dir must name a folder shared by all executors")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a work folder with its files, in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new folder name below the folder that all executors share.
 
@@ -47,7 +66,7 @@ def work_folder(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if not root:
-        if not spark.sparkContext.master.split("[")[0] == "local":
+        if not _is_local(spark):
             raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder shared by all executors")
         root = LOCAL_FOLDER
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
@@ -113,6 +132,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession):
+        check_warehouse(spark)
         self.spark = spark
         self.names: list[str] = []
 
