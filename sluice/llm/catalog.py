@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import (
@@ -13,6 +13,7 @@ from sluice.llm import (
     merkle,
     mixing,
     ngram_join,
+    personal_data,
     prefix_trie,
     quality,
     sharding,
@@ -104,6 +105,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(token_files.tokens_in_files(docs, vocabulary("byte_bpe_50k.json")))
 
 
+def _listed(*texts: Column) -> Column:
+    """Those of the texts that are not empty, comma-joined."""
+    return F.concat_ws(",", *[F.when(t != "", t) for t in texts])
+
+
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of all rebuilt conversations."""
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations")).select(
@@ -112,6 +118,14 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, with the terms that give it away."""
+    found = personal_data.personal_spans(table(spark, sf_dir, "documents"))
+    base, terms = personal_data.span_text(F.col("base")), personal_data.span_text(F.col("terms"), F.lit("term"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{n}") for k, n in enumerate(personal_data.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), _listed(base, terms).alias("spans"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Merkle manifest of the documents; every third proof is checked against a tampered text."""
     tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
@@ -130,6 +144,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_personal_data": op12_personal_data,
     "op13_manifest": op13_manifest,
 }
 
