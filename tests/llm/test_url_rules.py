@@ -11,6 +11,11 @@ from sluice.llm.catalog import HOST_RULES, op4_url_rules
 LINES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 
+def tokens_of(mined):
+    """The rules, one for each choice among tokens that stand for each other."""
+    return {frozenset(some) for r in mined.collect() for some in itertools.product(*r["needs"])}
+
+
 def parts(url):
     if url is None or "://" not in url:
         return "", ""
@@ -33,12 +38,12 @@ URLS = [
 
 def test_edges_against_brute_force(spark):
     df = spark.createDataFrame([(i, u, "t") for i, u in enumerate(URLS)] + [(None, "http://a.org/", "t")] * 2, "page_id long, url string, tokens string")
-    got = {r["page_id"]: r for r in U.judge_urls(df, HOST_RULES, []).collect()}
+    got = {r["page_id"]: r for r in U.judge_urls(df, HOST_RULES, None).collect()}
     assert len(got) == len(URLS) + 1
     for i, u in enumerate(URLS):
         host, path, rule, verdict = brute(u)
         assert (got[i]["host"], got[i]["path"], got[i]["rule"], got[i]["verdict"]) == (host, path, rule, verdict or "allow"), u[:40]
-    assert U.judge_urls(df.limit(0), HOST_RULES, []).count() == 0
+    assert U.judge_urls(df.limit(0), HOST_RULES, None).count() == 0
 
 
 def test_query_against_brute_force(spark, sf):
@@ -61,21 +66,26 @@ def test_mined_rules(spark):
         rows.append((i, f"http://{host}/{section}/{i}?{tail}={i}", 0 if bad else 1, 0))
     df = spark.createDataFrame(rows, "page_id long, url string, quality int, toxic int")
     labels = df.select(F.col("page_id").alias("doc_id"), "quality", "toxic")
-    found = {" ".join(sorted(r.tokens)) for r in U.mine_rules(U.labelled_urls(df, labels))}
+    found = {" ".join(sorted(r)) for r in tokens_of(U.mine_rules(U.labelled_urls(df, labels)))}
     assert found == {"host:spam", "host:shop path:a"}
     judged = U.judge_urls(df, [], U.mine_rules(U.labelled_urls(df, labels))).join(df, "page_id")
     assert judged.where("(quality = 0) <> (verdict = 'block')").count() == sum(i % 97 == 0 and i % 4 and not (i % 4 == 2 and i % 3 == 0) for i in range(1200))
-    assert U.mine_rules(U.labelled_urls(df, labels.limit(0))) == []
-    assert U.mine_rules(U.labelled_urls(df.withColumn("url", F.lit(None).cast("string")), labels)) == []
-    few = U.mine_rules(U.labelled_urls(df, labels.where("doc_id < 40")))
-    assert few == []
+    for pages, named in ((df, labels.limit(0)), (df.withColumn("url", F.lit(None).cast("string")), labels), (df, labels.where("doc_id < 40"))):
+        none = U.mine_rules(U.labelled_urls(pages, named))
+        assert none.count() == 0
+        assert U.judge_urls(df, [], none).where("verdict <> 'allow'").isEmpty()
 
 
-def test_index_tries_every_rule():
-    rules = [U.MinedRule(frozenset(t.split()), 0.1, c) for t, c in (("a b", 0.6), ("b c", 0.7), ("d", 0.9))]
-    index = U.RuleIndex(rules)
-    assert index.best(["a", "b"]).confidence == 0.6 and index.best(["a", "b", "c"]).confidence == 0.7
-    assert index.best(["a", "c"]) is None and index.best([]) is None
+def test_index_tries_every_rule(spark):
+    """Every URL against every rule; parts of a rule may be any of several tokens."""
+    rnd = random.Random(4)
+    rules = [([["a"], ["b"]], 10, 6), ([["b"], ["c", "d"]], 10, 7), ([["e"]], 10, 9), ([["f", "g"], ["a"], ["h"]], 10, 8), ([["e"]], 20, 18)]
+    urls = [(i, rnd.sample("abcdefghij", rnd.randint(0, 7))) for i in range(300)] + [(300 + i, ["e", "a"]) for i in range(200)]
+    mined = spark.createDataFrame(rules, U.RULES)
+    got = {r["row"]: r["mined_rule"] for r in U.matched(spark.createDataFrame(urls, "row long, tokens array<string>"), mined).collect()}
+    for i, tokens in urls:
+        fits = [(b / n, b, " ".join("|".join(p) for p in needs)) for needs, n, b in rules if all(set(p) & set(tokens) for p in needs)]
+        assert got.get(i) == max(fits, default=(None,))[-1]
 
 
 def test_rule_lines():
@@ -104,12 +114,30 @@ def test_rules_against_all_sets(spark):
         rows.append(([*some, "z"], set("abcde") <= set(some) or ({"f", "g"} <= set(some) and rnd.random() < 0.9)))
     want = passing(rows)
     assert frozenset("abcde") in want and frozenset("fg") in want
-    assert {r.tokens for r in U.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))} == want
+    assert tokens_of(U.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))) == want
 
 
 def test_no_rule_is_pushed_out(spark):
     """Templates of many tokens leave room for a less sure host; a host with few of many labelled URLs is found."""
     rows = [([f"{t}{k}" for k in range(20)], True) for t in "xy" for _ in range(150)]
     rows += [(["mixed"], i % 5 > 0) for i in range(300)] + [(["few"], True)] * 25 + [(["good", f"p{i % 7}"], False) for i in range(20000)]
-    found = {r.tokens for r in U.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))}
+    found = tokens_of(U.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")))
     assert found == {frozenset([t]) for t in [*(f"{t}{k}" for t in "xy" for k in range(20)), "mixed", "few"]}
+
+
+def test_templates_are_one_item(spark):
+    """Twenty tokens that come together are bad only with another one: one rule for all of them."""
+    rows = [([f"x{k}" for k in range(20)] + ["y"] * (i % 2), i % 2 == 1) for i in range(300)] + [(["y", f"p{i % 7}"], False) for i in range(300)]
+    mined = U.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()
+    assert [sorted(r["needs"], key=len) for r in mined] == [[["y"], sorted(f"x{k}" for k in range(20))]]
+    assert (mined[0]["n"], mined[0]["n_bad"]) == (150, 150)
+
+
+def test_many_sets_are_mined(spark):
+    """Sixteen tokens at random make tens of thousands of frequent sets, none of which is a rule."""
+    rnd = random.Random(6)
+    rows = [([f"t{k}" for k in range(16) if rnd.random() < 0.7], rnd.random() < 0.5) for _ in range(2000)]
+    mined = U.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))
+    for r in mined.collect():
+        of = [bad for ts, bad in rows if {n[0] for n in r["needs"]} <= set(ts)]
+        assert (len(of), sum(of)) == (r["n"], r["n_bad"])
