@@ -2,9 +2,8 @@
 
 A classifier over hashed words, counted from a labelled table, gives every
 document its domain posteriors. Rates per document, not below zero, are fitted
-so that expected tokens of each domain meet its target, or come as close as any
-rates can. All documents take part: the driver gets the sum of tokens for each
-posterior vector that the classifier has.
+by projected gradient steps so that expected tokens of each domain meet its target, or come as close as any
+rates can. All documents take part; Spark sums what a step needs, the driver sees a few numbers for each domain.
 """
 
 from __future__ import annotations
@@ -14,10 +13,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sluice.llm.common import carried, restored, values_of
 from sluice.llm.shingles import hashed_words
 from sluice.session import written
 
@@ -60,10 +62,25 @@ EDGES, LENGTHS = (-40.0, -20.0, -10.0, -5.0, -2.0, 0.0, 2.0, 5.0, 10.0, 20.0, 40
 
 
 def _cell(scores: np.ndarray, length: int) -> int:
+    """The class of a document's scores against the first domain and its length.
+
+    Up to three domains have a class for each combination of score classes. With more, whose combinations
+    grow too many, the class is that of the best and the next domain and of how far these are apart.
+    """
     out = int(np.searchsorted(LENGTHS, length))
-    for step in np.searchsorted(EDGES, scores).tolist():
-        out = out * (len(EDGES) + 1) + step
-    return out
+    if len(scores) <= 2:
+        for step in np.searchsorted(EDGES, scores).tolist():
+            out = out * (len(EDGES) + 1) + step
+        return out
+    full = np.concatenate([[0.0], scores])
+    last, best = np.argsort(full, kind="stable")[-2:].tolist()
+    apart = int(np.searchsorted(EDGES, full[best] - full[last]))
+    return ((out * len(full) + best) * len(full) + last) * (len(EDGES) + 1) + apart
+
+
+def _cells(domains: int) -> int:
+    """The number of classes."""
+    return (len(LENGTHS) + 1) * (len(EDGES) + 1) ** (domains - 1) if domains <= 3 else (len(LENGTHS) + 1) * domains**2 * (len(EDGES) + 1)
 
 
 @dataclass(frozen=True)
@@ -133,7 +150,11 @@ def _summed(rows: DataFrame, count, height: int, wide: int) -> np.ndarray:
 
 
 def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: int = len(DOMAINS)) -> Classifier:
-    """From all documents (doc_id, text) that ``labelled`` (doc_id, domain) names; without any, all are of domain 0."""
+    """From all documents (doc_id, text) that ``labelled`` (doc_id, domain) names; without any, all are of domain 0.
+
+    Labels with a NULL id or domain, and labels without a document, have no effect; a NULL or empty text has no words.
+    A document or a label that repeats counts as often as the two meet.
+    """
     known = labelled.where("domain IS NOT NULL").select(F.col("doc_id").alias("label_id"), "domain")
     # Labels are as many as documents, so both are shuffled whatever their size.
     joined = docs.join(known.hint("merge"), F.col("doc_id") == F.col("label_id")).select("domain", "text")
@@ -160,36 +181,64 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: int = len(DOMA
         others[:, domain] -= 1
         return _cell(prior + _weights(others, share).sum(axis=0), len(f)), domain
 
-    height = (len(LENGTHS) + 1) * (len(EDGES) + 1) ** (domains - 1)
-    cells = _summed(rows.where(F.size("features") > 0), apart, height, domains)
+    cells = _summed(rows.where(F.size("features") > 0), apart, _cells(domains), domains)
     return Classifier(_weights(seen, share), prior, _table(cells, share))
 
 
 def score_documents(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """``doc_id, n_tokens, p`` of every row, with ``carry`` also the row itself as ``row``."""
-    columns = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")]
-    slim = docs.select(*columns, *([F.struct(*docs.columns).alias("row")] if carry else []))
-    kind = f", row {slim.schema['row'].dataType.simpleString()}" if carry else ""
+    """``doc_id, n_tokens, p`` of every row, with ``carry`` also its columns by place, as ``row.in_0`` and so on.
+
+    A NULL or empty text has no tokens and the overall posteriors. Ids may be NULL or repeat; columns may have any names.
+    """
+    columns = [F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")]
+    slim = docs.select(*columns, *([F.struct(*carried(docs)).alias("row")] if carry else []))
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("p", T.ArrayType(T.DoubleType()))])
+    for f in slim.schema.fields[2:]:
+        schema.add(f)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t) for t in batch.column(1).to_pylist()]
+            found = [features(t) for t in values_of(batch.column(1))]
             p = [classifier.posteriors(f).tolist() for f, _ in found]
             made = [batch.column(0), pa.array([n for _, n in found], pa.int64()), pa.array(p, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays([*made, *batch.columns[2:]], ["doc_id", "n_tokens", "p", *(["row"] if carry else [])])
 
-    return slim.mapInArrow(scored, f"doc_id bigint, n_tokens bigint, p array<double>{kind}")
+    return slim.mapInArrow(scored, schema)
+
+
+@dataclass(frozen=True)
+class Step:
+    """One projected step: rates move against ``p @ along`` by ``length``, those near zero against ``p @ pull``, and never below zero."""
+
+    along: np.ndarray
+    pull: np.ndarray
+    near: float
+    length: float
+
+
+def _direction(step: Step, p: np.ndarray, rate: np.ndarray) -> np.ndarray:
+    pull = p @ step.pull
+    held = (rate <= step.near) & (pull > 0)
+    return -np.where(held, pull, p @ step.along)
+
+
+def rates_of(steps: list[Step], p: np.ndarray) -> np.ndarray:
+    """The rates of rows with posteriors ``p`` after all steps, from 1 on: what a row gets depends on its posteriors only."""
+    rate = np.ones(len(p))
+    for step in steps:
+        rate = np.maximum(0.0, rate + step.length * _direction(step, p, rate))
+    return rate
 
 
 @dataclass(frozen=True)
 class Fit:
-    """What rates were fitted: a document's is 1 less its posteriors times ``slopes``, but not below zero.
+    """The steps that were taken, and where they led.
 
     ``totals`` are the expected tokens of each domain at these rates. ``gap``
     bounds how far, as a share of all target tokens, totals are from those of the least-squares optimum.
     """
 
-    slopes: tuple[float, ...]
+    steps: list[Step]
     totals: tuple[float, ...]
     target: tuple[float, ...]
     gap: float
@@ -199,85 +248,117 @@ class Fit:
         """Expected less target tokens of each domain."""
         return tuple(t - w for t, w in zip(self.totals, self.target, strict=True))
 
-    def missed(self, tolerance: float = 1e-4) -> list[int]:
+    def missed(self, tolerance: float = 1e-3) -> list[int]:
         """The domains whose target no rates can meet together with the others'."""
         return [k for k, r in enumerate(self.residual) if abs(r) > tolerance * max(sum(self.target), 1.0)]
 
 
 def _rate(fit: Fit) -> Column:
-    down = sum((F.element_at("p", k + 1) * F.lit(s) for k, s in enumerate(fit.slopes)), F.lit(0.0))
-    return F.greatest(F.lit(0.0), F.lit(1.0) - down)
+    steps = fit.steps
 
+    @F.pandas_udf("double")
+    def rate(p: pd.Series) -> pd.Series:
+        return pd.Series(rates_of(steps, np.stack(p.to_numpy())) if len(p) else [])
 
-# Weight of the distance of rates from 1 against the squared errors of totals.
-NEAR_ONE = 1e-8
+    return rate("p")
 
 
-def _slopes(n: np.ndarray, p: np.ndarray, base: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Slopes of the rates closest to 1 among those with the least squared relative errors of totals.
+# Lengths of a step that are tried at once.
+LENGTHS_TRIED = tuple((0.5 ** np.arange(14)).tolist())
 
-    The smooth dual, one variable for each domain, is minimized by Newton steps
-    with exact line search. It is quadratic between the points where a rate
-    becomes zero, so the step that stays in its piece ends at the minimum.
-    """
-    root = np.sqrt(base / n.sum())
-    share, q, want = n / n.sum(), p / root, target / n.sum() / root
-    x = np.zeros(len(base))
 
-    def slope(x: np.ndarray) -> np.ndarray:
-        return want - (share * np.maximum(0.0, 1 - q @ x)) @ q + NEAR_ONE * x
+def _sums(classes: DataFrame, values, width: int) -> np.ndarray:
+    """The sum over all classes (p, n) of what ``values(p, n)``, rows of ``width``, has; the last column is a minimum."""
 
-    while True:
-        on = 1 - q @ x > 0
-        curve = (q[on].T * share[on]) @ q[on] + NEAR_ONE * np.eye(len(x))
-        step = -np.linalg.solve(curve, slope(x))
-        if ((1 - q @ (x + step) > 0) == on).all():
-            return (x + step) / root
-        low, high = 0.0, 1.0
-        while slope(x + high * step) @ step < 0 and high < 2.0**60:
-            low, high = high, 2 * high
-        for _ in range(80):
-            mid = (low + high) / 2
-            low, high = (mid, high) if slope(x + mid * step) @ step < 0 else (low, mid)
-        moved = x + high * step
-        if _dual(share, q, want, moved) >= _dual(share, q, want, x):
-            return x / root  # as near as doubles tell
-        x = moved
-
-
-def _dual(share: np.ndarray, q: np.ndarray, want: np.ndarray, x: np.ndarray) -> float:
-    return float(share @ np.maximum(0.0, 1 - q @ x) ** 2 / 2 + want @ x + NEAR_ONE * x @ x / 2)
-
-
-def fit_rates(scored: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> Fit:
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, least = np.zeros(width), np.inf
+        for batch in batches:
+            if batch.num_rows:
+                found, low = values(np.stack(batch.column(0).to_numpy(zero_copy_only=False)), batch.column(1).to_numpy().astype(float))
+                total, least = total + found, min(least, low)
+        yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array(total), pa.array(np.full(width, least))], ["i", "x", "low"])
+
+    got = classes.select("p", "n").mapInArrow(summed, "i int, x double, low double").groupBy("i").agg(F.sum("x").alias("x"), F.min("low").alias("low")).toArrow()
+    out = np.zeros(width + 1)
+    out[got["i"].to_numpy()] = got["x"].to_numpy()
+    out[width] = min(got["low"].to_pylist(), default=np.inf)
+    return out
+
+
+def fit_rates(scored: DataFrame, weights: tuple[float, ...] = WEIGHTS, tolerance: float = 1e-3) -> Fit:
     """Rates whose expected domain totals meet the targets, or come closest to them.
 
-    The first domain with a weight sets the scale: it keeps its expected tokens.
-    Least squares over relative errors; of all rates with the least, those
-    closest to 1 in the metric of document lengths, so that a rate depends on
-    posteriors only. Tokens are summed by posteriors: a classifier has one vector for each
-    of its classes, and the driver solves on these exact sums.
+    The first domain with a weight sets the scale: it keeps its expected tokens. Least squares over relative errors
+    by projected gradient steps, all sums of which Spark takes over (posteriors, tokens): a first pass gives
+    totals, the moments of rates that are free to move and the least pull, from which the driver has the direction (for free rates the gradient
+    scaled by those moments, for rates held at zero the plain one); a second one gives totals at many step lengths, of which
+    the longest that lowers the squares enough is taken. What is kept is the list of steps, a few numbers for each domain;
+    tasks follow them anew. It ends when the gap to the optimum is proven to be
+    within ``tolerance``, or when no step lowers the squares by more than a billionth of their start.
     """
-    classes = scored.where("n_tokens > 0").groupBy("p").agg(F.sum("n_tokens").alias("n")).orderBy("p").collect()
-    n, p = np.array([float(r["n"]) for r in classes]), np.array([r["p"] for r in classes]).reshape(-1, len(weights))
-    base = n @ p
+    k = len(weights)
+    # One row for each posterior vector that the classifier has, of which there are as many as its classes.
+    classes = scored.where("n_tokens > 0").groupBy("p").agg(F.sum("n_tokens").cast("double").alias("n"))
+    classes = written(classes, "rate-classes")
+    base = _sums(classes, lambda p, n: (n @ p, np.inf), k)[:k]
+    every = max(base.sum(), 1.0)
     scale = next((b / w for b, w in zip(base, weights, strict=True) if w > 0 and b > 0), 0.0)
-    target, slopes = scale * np.array(weights), np.zeros(len(weights))
+    target = scale * np.array(weights)
     there = base > 0
-    if there.any():
-        slopes[there] = _slopes(n, p[:, there], base[there], target[there])
-    rate = np.maximum(0.0, 1 - p @ slopes)
-    totals = (n * rate) @ p
-    gap = 0.0
-    if there.any():
-        # Squared errors of the optimum are less by no more than the gradient says; its tokens are bounded by those of the target.
-        pull = p[:, there] @ ((totals - target)[there] / base[there])
-        most = np.sqrt(base.sum() * (target[there] ** 2 / base[there]).sum())
-        excess = max(0.0, float((n * rate) @ pull) + max(0.0, -float(pull.min())) * most)
-        gap = float(np.sqrt(2 * excess * base.max())) / max(target.sum(), 1.0)
-    fit = Fit(tuple(slopes.tolist()), tuple(totals.tolist()), tuple(target.tolist()), gap)
-    for k in fit.missed():
-        LOG.warning("domain %d: %.0f expected tokens, target %.0f; no rates meet all targets", k, totals[k], target[k])
+    if not there.any():
+        return Fit([], tuple(base.tolist()), tuple(target.tolist()), 0.0)
+    # In shares of all tokens; domains that no document may be of have no say.
+    share, want = base / every, np.where(there, target / every, 0.0)
+    by = np.where(there, 1 / np.where(there, share, 1.0), 0.0)
+    most = np.sqrt((want**2 * by).sum())
+    steps: list[Step] = []
+
+    def squares(z: np.ndarray) -> np.ndarray:
+        return 0.5 * ((z - want) ** 2 * by).sum(axis=-1)
+
+    z, gap, first = share, np.inf, float(squares(share))
+    while True:
+        pull = (z - want) * by
+
+        def moments(p: np.ndarray, n: np.ndarray, done=tuple(steps), pull=pull) -> tuple[np.ndarray, float]:
+            rate, against = rates_of(done, p), p @ pull
+            moved = rate - np.maximum(0.0, rate - against)
+            free = ~((rate <= 0) & (against > 0))
+            return np.concatenate([[n @ moved**2], ((p[free] * n[free, None]).T @ p[free]).ravel()]) / every, float(against.min())
+
+        found = _sums(classes, moments, 1 + k * k)
+        least = found[-1]
+        excess = max(0.0, float(pull @ z) + max(0.0, -least) * most)
+        gap = float(np.sqrt(2 * excess * share.max())) / max(want.sum(), 1e-300)
+        if gap <= tolerance:
+            break
+        near, gram = max(1e-12, min(0.1, float(np.sqrt(found[0])))), found[1:-1].reshape(k, k)
+        curve = gram @ (by[:, None] * gram) + 1e-12 * np.trace(gram) * gram
+        along = np.linalg.lstsq(curve, gram @ pull, rcond=1e-14)[0]
+        # The scaled direction and, for where that one leads nowhere, the plain gradient.
+        curb = max(float(np.trace(gram @ np.diag(by))), 1e-300)
+        trials = [Step(along, pull, near, length) for length in LENGTHS_TRIED]
+        trials += [Step(pull, pull, 0.0, length / curb) for length in LENGTHS_TRIED]
+
+        def tried(p: np.ndarray, n: np.ndarray, done=tuple(steps), trials=tuple(trials)) -> tuple[np.ndarray, float]:
+            rate, out = rates_of(done, p), []
+            against = p @ trials[0].pull
+            ways = {step.near: _direction(step, p, rate) for step in (trials[0], trials[-1])}
+            for step in trials:
+                moved = np.maximum(0.0, rate + step.length * ways[step.near])
+                out.append(np.concatenate([(n * moved) @ p, [-(n * against) @ (moved - rate)]]))
+            return np.concatenate(out) / every, np.inf
+
+        rows = _sums(classes, tried, len(trials) * (k + 1))[:-1].reshape(-1, k + 1)
+        lower = float(squares(z)) - squares(rows[:, :k])
+        good = np.flatnonzero((lower >= 0.1 * rows[:, k]) & (rows[:, k] > 0))
+        if not len(good) or lower[good[0]] <= 1e-9 * max(first, 1e-300):
+            break
+        steps.append(trials[good[0]])
+        z = rows[good[0], :k]
+    fit = Fit(steps, tuple((z * every).tolist()), tuple(target.tolist()), gap)
+    for i in fit.missed():
+        LOG.warning("domain %d: %.0f expected tokens, target %.0f; no rates meet all targets", i, fit.totals[i], fit.target[i])
     return fit
 
 
@@ -292,11 +373,11 @@ def rate_and_fit(
     carry: bool = False,
 ) -> tuple[DataFrame, Fit]:
     """``rate_documents`` with the fit, which has the residual of each domain."""
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     classifier = fit_classifier(slim, labels.select("doc_id", domain_of(labels).alias("domain")))
-    stored = written(score_documents(slim, classifier), "posteriors")
-    fit = fit_rates(stored, weights)
-    scored = score_documents(docs, classifier, id_col, text_col, carry=True) if carry else stored
+    # Posteriors stay with their rows, so that each text is scored once.
+    scored = written(score_documents(docs, classifier, id_col, text_col, carry), "posteriors")
+    fit = fit_rates(scored, weights)
     return scored.withColumn("rate", _rate(fit)).withColumn("copies", _copies(F.col("rate"))), fit
 
 
@@ -314,6 +395,10 @@ def rate_documents(
 
 
 def mix_documents(docs: DataFrame, labels: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
-    """The documents, each as often as its copies say, with all their columns."""
+    """The documents, each as often as its copies say, with all their columns, whatever their names.
+
+    Odd rows are treated as ``rate_documents`` says. An empty table stays empty.
+    """
     rated = rate_documents(docs, labels, weights=weights, carry=True).where("copies > 0")
-    return rated.select(F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"), "row").select("row.*")
+    each = rated.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    return each.select("row.*").select(*restored(docs.columns))

@@ -101,8 +101,8 @@ def test_overlapping_posteriors(spark, caplog):
         base = n @ p
         target = base[0] / 0.995 * np.array(mixing.WEIGHTS)
         want = solved(n, p, base, target)
-        rate = np.maximum(0, 1 - p @ np.array(fit.slopes))
-        assert np.abs((n * rate) @ p - want).max() < 1e-4 * target.sum()
+        rate = mixing.rates_of(fit.steps, p)
+        assert (rate >= 0).all() and np.abs((n * rate) @ p - want).max() < 1e-4 * target.sum()
         assert np.allclose(fit.residual, want - target, atol=1e-4 * target.sum()) and fit.gap < 0.01
         assert bool(fit.missed()) == bool(caplog.records)
         if reached is not None:
