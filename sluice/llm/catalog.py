@@ -31,7 +31,8 @@ def vocabulary(name: str) -> str:
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes."""
     placed = sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
-    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+    placed = placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +123,7 @@ def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document, with the terms that give it away."""
     found = personal_data.personal_spans(table(spark, sf_dir, "documents"))
     base, terms = personal_data.span_text(F.col("base")), personal_data.span_text(F.col("terms"), F.lit("term"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{n}") for k, n in enumerate(personal_data.KINDS)]
+    counts = [personal_data.kind_count(F.col("base"), k).alias(f"n_{name}") for k, name in enumerate(personal_data.KINDS)]
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), _listed(base, terms).alias("spans"))
 
 
@@ -164,6 +165,7 @@ def _leaf(lower: bool = False) -> str:
     return ", ".join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in columns.values())
 
 
+_LANGS = ", ".join(f"'{w}'" for w in quality.STOP_LANGS)
 _STOPS = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
 SQL = {
     "op5_line_dedup": r"""
@@ -200,7 +202,7 @@ FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY ALL
 """,
     "op9_quality": rf"""
 WITH parts AS (
-  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w
   FROM documents
 ), runs AS (
@@ -211,7 +213,7 @@ WITH parts AS (
   SELECT r, sum(least(8, coalesce(nxt - i, 8))) AS n
   FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt FROM twice) GROUP BY r
 ), counted AS (
-  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  SELECT doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
     CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS l,
@@ -229,7 +231,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed
     AND word_chars / n_words BETWEEN 2.0 AND 12.0
     AND n_symbols / word_chars <= 0.05
-    AND stops / n_words >= 0.04
+    AND (lang IS NULL OR lower(split_part(split_part(lang, '-', 1), '_', 1)) NOT IN ({_LANGS}) OR stops / n_words >= 0.04)
     AND n_dup_lines / len(l) <= 0.4
     AND bullets / len(l) <= 0.9
     AND upper / word_chars <= 0.6 AS kept

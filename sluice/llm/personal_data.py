@@ -415,6 +415,11 @@ def _repeated(rows: DataFrame, most: int = 1 << 16) -> DataFrame:
     return dealt.withColumn("copy", F.explode(F.array_repeat(F.lit(0), here))).drop("copies", "list", "copy")
 
 
+def kind_count(spans: Column, kind: int) -> Column:
+    """How many spans are of a kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def span_text(spans: Column, kind: Column | None = None) -> Column:
     """``kind:start:end``, comma-joined."""
     names = F.array(*[F.lit(n) for n in NAMES])
@@ -440,14 +445,14 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     rows = docs.select(*carried(docs), F.col(f"`{id_col}`").cast("long").alias("doc_id"), *hash_pair(text))
     joined = _same(rows, found.where((F.size("base") > 0) | (F.size("terms") > 0)), "left")
     replace = F.udf(lambda t, base, terms: replaced(t, base, terms, rule.letters), "string", useArrow=True)
-    changed = F.when(F.col("base").isNull(), F.col(f"in_{place}")).otherwise(replace(f"in_{place}", "base", "terms"))
+    changed = replace(f"in_{place}", "base", "terms")
     return joined.withColumn(f"in_{place}", changed).select(*restored(docs.columns))
 
 
 def replaced(text: str | None, base, terms, letters: int) -> str | None:
     """A text with its spans replaced."""
-    if text is None:
-        return None
+    if text is None or base is None:
+        return text
     spans = [(s["start"], -s["end"], f"<{KINDS[s['kind']]}>") for s in base]
     spans += [(t["start"], -t["end"], text[t["start"] : t["start"] + letters] + "*" if t["general"] else "") for t in terms]
     out, at = [], 0
