@@ -78,10 +78,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     Used where a result is needed more than once, so that it is computed once
     and a lost executor does not force the work to be done again.
     """
+    return stored(df, label)[0]
+
+
+def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``written`` with its folder, for callers that delete it (``delete_folder``) when nothing reads it any more."""
     spark = df.sparkSession
     path = work_folder(spark, label)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def side_by_side(spark: SparkSession, jobs: list[Callable[[], T]]) -> list[T]:
