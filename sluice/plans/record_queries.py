@@ -21,7 +21,8 @@ from sluice.sources.records import (
     with_topics,
 )
 from sluice.session import work_folder, written
-from sluice.streaming.ingest import ingest, land_records
+from sluice.sources.landed import land_log
+from sluice.streaming.ingest import drain, ingest, land_records, resume_landed, written_rows
 
 POLL, COUNT, SIZE = 2000, 20, 600
 TENANT = Shaping(predicate="offset % 6 <> 0", header_regex="tenant")
@@ -167,6 +168,22 @@ def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
     return _bundle_columns(out)
 
 
+# At most so many records of a topic-partition in a micro-batch.
+STEP = 300
+
+
+def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
+    """The same bundles from a stream that stops after one bounded micro-batch and goes on from its stored positions."""
+    log, target, source = work_folder(spark, "log"), work_folder(spark, "bundles"), records(spark, sf)
+    land_log(source, log, POLL)
+    rule = (TENANT, POLL, "\n", COUNT, SIZE)
+    common = {"max_records": STEP, "reset": "earliest", "schema": source.schema}
+    resume_landed(spark, log, target, *rule, trigger={"availableNow": True}, **common).awaitTermination()
+    # None: every topic-partition must have a position by now.
+    drain(resume_landed(spark, log, target, *rule, trigger={"processingTime": "0 seconds"}, **(common | {"reset": "none"})))
+    return _bundle_columns(written_rows(spark, target))
+
+
 def duration_parse(spark: SparkSession, sf: str) -> DataFrame:
     key, size = F.col("p_partkey"), F.col("p_size").cast("string")
     text = (
@@ -189,7 +206,7 @@ QUERIES = {
     for f in (
         record_topics_exact, record_topics_pattern, record_topic_listing, record_from_offset, record_batches,
         record_envelope, record_text_keys, record_json_forms, record_headers, record_direct, record_routes, bundle_runs, bundle_full,
-        bundle_count_only, stream_replay, duration_parse,
+        bundle_count_only, stream_replay, stream_resume, duration_parse,
     )
 } | {"next_offsets": offsets_next}
 
@@ -291,6 +308,7 @@ SQL = {
     "next_offsets": f"""WITH {RECORDS_SQL} SELECT topic, partition, max("offset") + 1 AS next_offset FROM records
         GROUP BY topic, partition""",
     "stream_replay": _BUNDLE_FULL,
+    "stream_resume": _BUNDLE_FULL,
     "duration_parse": """SELECT p_partkey, millis, millis // 1000 AS seconds FROM (
         SELECT p_partkey, CAST(CASE p_partkey % 10
           WHEN 0 THEN p_size * 1000 WHEN 1 THEN p_size * 60000 WHEN 2 THEN p_size * 3600000 WHEN 3 THEN p_size

@@ -58,6 +58,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, in whatever store it lies; none if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in store.listStatus(place)] if store.exists(place) else []
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new folder name below the folder that all executors share.
 
