@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.common import SPACE, carried, fixed, hash_pair, id_cuts, lower_ascii, restored, width
-from sluice.session import written
+from sluice.session import check_warehouse, delete_folder, stored, written
 
 KEYS = ["h1", "h2"]
 # A key in more than 1 / HOT_SHARE of all (document, line) pairs is hot; there are at most HOT_SHARE such keys.
@@ -44,11 +44,15 @@ class LineRuns:
     def __init__(self, spark: SparkSession, fanout: int = 3):
         if fanout < 2:
             raise ValueError("fanout must be at least 2")
+        check_warehouse(spark)
         self.spark, self.fanout, self.buckets = spark, fanout, width(spark)
         self.levels: list[list[str]] = []
+        # Tables that were begun and are not dropped yet, in levels or not.
+        self.written: list[str] = []
 
     def _write(self, df: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
+        self.written.append(name)
         df.write.bucketBy(self.buckets, *KEYS).sortBy(*KEYS).format("parquet").saveAsTable(name)
         return name
 
@@ -103,8 +107,9 @@ class LineRuns:
         return self.spark.table(self.runs()[0])
 
     def drop(self, names: list[str]) -> None:
-        for name in names:
+        for name in list(names):
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.written.remove(name)
 
 
 def _batches(keys: DataFrame, count: int) -> list[DataFrame]:
@@ -117,14 +122,6 @@ def _batches(keys: DataFrame, count: int) -> list[DataFrame]:
     return out
 
 
-def index_lines(keys: DataFrame, batches: int, fanout: int) -> LineRuns:
-    """The runs of all documents' keys (doc_id, h1, h2)."""
-    runs = LineRuns(keys.sparkSession, fanout)
-    for batch in _batches(keys, batches):
-        runs.add(batch)
-    return runs
-
-
 def dropped_lines(keys: DataFrame, index: DataFrame, min_docs: int) -> DataFrame:
     """(doc_id, drops): the keys each document loses.
 
@@ -157,11 +154,17 @@ def dedup_lines(
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = docs.select(*carried(docs), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) if carry else slim
     # Hashes are stored once: batches and the last join read them and not the texts again.
-    keys = written(document_keys(slim, min_chars), "line-keys")
-    runs = index_lines(keys, batches, fanout)
-    drops = written(dropped_lines(keys, runs.compacted(), min_docs), "line-drops")
-    runs.drop(runs.runs())
-    drops = drops.withColumnRenamed("doc_id", "drop_id")
+    keys, folder = stored(document_keys(slim, min_chars), "line-keys")
+    runs = LineRuns(docs.sparkSession, fanout)
+    try:
+        for batch in _batches(keys, batches):
+            runs.add(batch)
+        drops = written(dropped_lines(keys, runs.compacted(), min_docs), "line-drops")
+    finally:
+        runs.drop(runs.written)
+        delete_folder(docs.sparkSession, folder)
+    # One plan at every size: the keys to drop grow with the documents, so both sides are shuffled.
+    drops = drops.withColumnRenamed("doc_id", "drop_id").hint("merge")
     joined = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("drop_id")), "left").drop("drop_id")
     split = fixed(joined, "lines", lines_of(F.col("text"))).drop("text")
 
@@ -180,6 +183,9 @@ def dedup_lines(
 
 
 def without_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with all their columns, their texts without the lines that many share."""
+    """The documents with all their columns, their texts without the lines that many share.
+
+    A NULL text becomes an empty one; odd rows are treated as ``dedup_lines`` says. Columns may have any names.
+    """
     kept = dedup_lines(docs, id_col, text_col, carry=True).withColumn(f"in_{docs.columns.index(text_col)}", F.col("kept_text"))
     return kept.select(*restored(docs.columns))
