@@ -8,6 +8,7 @@ over requests.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import partial
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from sluice.functions.json_text import json_scalar
+from sluice.functions.temporal import let
+from sluice.operators.isolation import Failure, settle
 from sluice.operators.joining import join_runs
 from sluice.operators.parameters import (
     FAILURE,
@@ -30,12 +33,12 @@ from sluice.operators.parameters import (
     statement_error,
     with_parameters,
 )
-from sluice.session import Scratch, TimeLimitExceeded, side_by_side, time_limit, written
+from sluice.operators.statements import declared_arguments, for_all_calls, with_columns
+from sluice.operators.writes import WrittenTable
+from sluice.session import Scratch, side_by_side, written
 
 Body = Callable[[DataFrame, dict[str, DataFrame]], DataFrame] | str
 DEFAULT_PIECE_BYTES = 8 * 1024 * 1024
-# Piece numbers: step, then range partition, then place in it.
-_STEP_SHIFT, _PART_SHIFT = 1 << 48, 1 << 26
 
 
 @dataclass(frozen=True)
@@ -53,6 +56,20 @@ class Count:
     body: Body
 
 
+@dataclass(frozen=True)
+class Insert:
+    """A step that adds rows of ``body``, ``request_id`` and the table's columns, to the ``WrittenTable`` named ``into``.
+
+    Its result is the number of rows that the request has added. Steps after it see the table with them.
+    """
+
+    body: Body
+    into: str
+
+
+Step = Rows | Count | Insert
+
+
 @dataclass(frozen=True)
 class Calls:
     """What a run gives, in one form for results of every size.
@@ -77,7 +94,7 @@ class Procedure:
     """
 
     arguments: list[Argument] = field(default_factory=list)
-    steps: list[Rows | Count] = field(default_factory=list)
+    steps: list[Step] = field(default_factory=list)
     outputs: dict[int, Callable[[DataFrame], Column]] = field(default_factory=dict)
 
 
@@ -104,6 +121,7 @@ def run_statement(
         Argument(p["index"], f"p{p['index']}", SPARK_TYPES.get(p["jdbc_type"], "string")) for p in given if not p["error"]
     ]
     outputs = {i for i in range(1, 1 + max([p["index"] for p in given], default=0))}
+    with_columns(text, [a.name for a in arguments])
     bound = bind_arguments(request, arguments, outputs).first()
     if bound["error"]:
         raise ValueError(bound["error"])
@@ -178,34 +196,148 @@ def step_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("request_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def outputs_json(outputs: dict[int, Column]) -> Column:
-    """OUT and INOUT values as one JSON object in index order; NULL without an output parameter."""
-    texts = F.create_map(*[x for i, c in sorted(outputs.items()) for x in (F.lit(i), json_scalar(c))])
+def _as_declared(text: Column, code: Column, name: Column) -> Column:
+    """STRUCT<json, error>: a value's text as JSON of the type that a code declares; types of text are quoted."""
+    exact = text.try_cast("decimal(38,0)")
+    whole = F.coalesce(exact, text.try_cast("double").try_cast("decimal(38,0)"))
+    truth = F.when(F.lower(text).isin("true", "1", "1.0"), "true").when(F.lower(text).isin("false", "0", "0.0"), "false")
+    floating = text.try_cast("double")
+    number = F.when(text.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"), text)
+    json = (
+        F.when(code.isin(-7, 16), truth)
+        .when(code == -6, whole.try_cast("tinyint").cast("string"))
+        .when(code == 5, whole.try_cast("smallint").cast("string"))
+        .when(code == 4, whole.try_cast("int").cast("string"))
+        .when(code == -5, whole.try_cast("bigint").cast("string"))
+        .when(code.isin(6, 7, 8), json_scalar(floating))
+        .when(code.isin(2, 3), number)
+        .otherwise(json_scalar(text))
+    )
+    misfit = F.concat(F.lit("'"), text, F.lit("' is not a valid "), name)
+    return F.struct(
+        F.coalesce(json, F.lit("null")).alias("json"), F.when(text.isNotNull() & json.isNull(), misfit).alias("error")
+    )
+
+
+def output_values(outputs: dict[int, Column]) -> Column:
+    """OUT and INOUT parameters in order of index: ARRAY<STRUCT<index, name, json, error>>, values in their declared types."""
+    texts = F.create_map(*[x for i, c in sorted(outputs.items()) for x in (F.lit(i), c.cast("string"))])
     texts = texts if outputs else F.create_map().cast("map<int,string>")
 
-    def member(p: Column) -> Column:
+    def value(p: Column) -> Column:
         name = F.coalesce(p["name"], F.concat(F.lit("output_"), p["index"].cast("string")))
-        return F.concat(json_scalar(name), F.lit(":"), F.try_element_at(texts, p["index"]))
+        typed = let(F.try_element_at(texts, p["index"]), lambda t: _as_declared(t, p["jdbc_type"], p["type_name"]))
+        return let(typed, lambda t: F.struct(p["index"].alias("index"), name.alias("name"), t["json"].alias("json"), t["error"].alias("error")))
 
-    given = F.filter("parameters", lambda p: is_output(p["direction"]))
-    return F.when(
-        F.size(given) > 0, F.concat(F.lit("{"), F.array_join(F.transform(given, member), ","), F.lit("}"))
-    )
+    return F.transform(F.filter("parameters", lambda p: is_output(p["direction"])), value)
+
+
+def outputs_json(values: Column) -> Column:
+    """Output values as one JSON object; NULL without an output parameter."""
+    members = F.transform(values, lambda v: F.concat(json_scalar(v["name"]), F.lit(":"), v["json"]))
+    return F.when(F.size(values) > 0, F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}")))
+
+
+def outputs_error(values: Column) -> Column:
+    """The first output that its declared type cannot hold."""
+    wrong = F.filter(values, lambda v: v["error"].isNotNull())
+    first = F.try_element_at(wrong, F.lit(1))
+    return F.concat(F.lit("output "), first["index"].cast("string"), F.lit(": "), first["error"])
+
+
+def run_statements(
+    requests: DataFrame, text: str, tables: dict[str, DataFrame], arguments: list[Argument] | None = None,
+    properties: dict[str, str] | None = None, order_by: list[str] | None = None, **options,
+) -> Calls:
+    """Run one ``?`` statement for every request, in one pass over the tables.
+
+    Parameter i is the argument with index i; without ``arguments`` they are the inputs that ``properties`` declare. Rows of a
+    request are in order of ``order_by``, columns of the result. ``options`` are those of ``run_calls``.
+    """
+    given = declared_arguments(properties or {}) if arguments is None else arguments
+    procedure = Procedure(given, [Rows(for_all_calls(text, given), order_by or [])])
+    return run_calls(requests, procedure, tables, properties, **options)
+
+
+def _frames(tables: dict[str, DataFrame | WrittenTable]) -> dict[str, DataFrame]:
+    """The tables as steps read them now."""
+    return {name: t.rows() if isinstance(t, WrittenTable) else t for name, t in tables.items()}
+
+
+def _groups(steps: list[Step]) -> list[list[tuple[int, Step]]]:
+    """Steps that may run side by side: those that only read, between steps that write."""
+    out: list[list[tuple[int, Step]]] = []
+    for i, step in enumerate(steps, 1):
+        alone = isinstance(step, Insert)
+        if not out or alone or isinstance(out[-1][-1][1], Insert):
+            out.append([])
+        out[-1].append((i, step))
+    return out
+
+
+def _failed(like: DataFrame, failures: list[Failure]) -> DataFrame:
+    """``request_id, reason`` of requests that failed: as many rows as runs were spent to find them."""
+    schema = f"request_id {like.schema['request_id'].dataType.simpleString()}, reason string"
+    first = {}
+    for request_id, reason in failures:
+        first.setdefault(request_id, reason)
+    return like.sparkSession.createDataFrame(list(first.items()), schema)
+
+
+def _run_steps(
+    calls: DataFrame, procedure: Procedure, tables: dict[str, DataFrame | WrittenTable], scratch: Scratch, epoch_timestamps: bool,
+    limit_millis: int | None, run: str,
+) -> tuple[dict[int, DataFrame], list[Failure]]:
+    """The stored results of each step, and the requests that failed; a request that failed takes no part in later groups of steps."""
+    results: dict[int, DataFrame] = {}
+    failures: list[Failure] = []
+    for group in _groups(procedure.steps):
+        frames = _frames(tables)
+        live = calls.join(_failed(calls, failures).select("request_id"), "request_id", "left_anti") if failures else calls
+
+        def one(i: int, step: Step, live=live, frames=frames) -> tuple[DataFrame, list[Failure]]:
+            def stored(part: DataFrame) -> DataFrame:
+                if isinstance(step, Rows):
+                    rows = result_rows(step, part, frames, epoch_timestamps)
+                    return scratch.written(rows.withColumn("row_id", F.monotonically_increasing_id()), f"step{i}")
+                if isinstance(step, Insert):
+                    counts = tables[step.into].add(part, lambda some: _evaluate(step.body, some, frames), run, i)
+                else:
+                    counts = step_counts(_evaluate(step.body, part, frames))
+                return scratch.written(counts, f"step{i}")
+
+            done, failed = settle(live, stored, limit_millis)
+            # Where every request failed, the empty result still has the step's columns.
+            done = done or [scratch.written(stored(live.where(F.lit(False))), f"step{i}")]
+            out = done[0]
+            for more in done[1:]:
+                out = out.unionByName(more)
+            return out, failed
+
+        jobs = [partial(one, i, step) for i, step in group]
+        # With a limit one step at a time, so that none is late because of another.
+        for (i, _), (result, failed) in zip(group, [j() for j in jobs] if limit_millis else side_by_side(calls.sparkSession, jobs), strict=True):
+            results[i] = result
+            failures += failed
+    return results, failures
 
 
 def run_calls(
     requests: DataFrame,
     procedure: Procedure,
-    tables: dict[str, DataFrame],
+    tables: dict[str, DataFrame | WrittenTable],
     properties: dict[str, str] | None = None,
     piece_bytes: int = DEFAULT_PIECE_BYTES,
     epoch_timestamps: bool = False,
     limit_millis: int | None = None,
+    run: str | None = None,
 ) -> Calls:
     """Run a procedure for every request; see ``Calls`` for what comes back.
 
-    With ``limit_millis`` steps and documents that take longer are cancelled,
-    and all requests fail with that reason.
+    A request for which a body raises fails alone, with that reason. ``limit_millis`` is the time that a step may take for one
+    request: steps that take longer for many are run again for parts of them, until only requests that are late by themselves fail.
+
+    ``run`` names the job for steps that write: a job that runs again under its name writes nothing twice.
 
     All documents are put together in the same way: results are joined into
     pieces, and pieces of about ``piece_bytes`` of a request are joined to the
@@ -215,34 +347,33 @@ def run_calls(
     tables of the result are written to the shared folder.
     """
     started = time.monotonic()
-    spark = requests.sparkSession
-    scratch = Scratch(spark)
+    for step in procedure.steps:
+        if isinstance(step, Insert) and not isinstance(tables.get(step.into), WrittenTable):
+            raise ValueError(f"{step.into} is not a table that can be written")
+    scratch = Scratch(requests.sparkSession)
     try:
         bound = scratch.written(bind_requests(requests, procedure, properties), "calls")
         accepted = bound.where(F.col("error").isNull())
         calls = accepted.select("request_id", *[a.name for a in procedure.arguments])
-
-        def run_step(i: int, step: Rows | Count) -> DataFrame:
-            if isinstance(step, Rows):
-                rows = result_rows(step, calls, tables, epoch_timestamps)
-                return scratch.written(rows.withColumn("row_id", F.monotonically_increasing_id()), f"step{i}")
-            return scratch.written(step_counts(_evaluate(step.body, calls, tables)), f"step{i}")
-
-        # Steps only read, so none has to wait for another.
-        steps, late = list(enumerate(procedure.steps, 1)), None
-        try:
-            with time_limit(spark, limit_millis):
-                tables_of = side_by_side(spark, [partial(run_step, i, s) for i, s in steps])
-                results = dict(zip([i for i, _ in steps], tables_of, strict=True))
-                contents = written(_contents(accepted, procedure, results, piece_bytes, scratch), "contents")
-        except TimeLimitExceeded as e:
-            late = str(e)
-            contents = written(_no_contents(bound), "contents")
+        results, failures = _run_steps(calls, procedure, tables, scratch, epoch_timestamps, limit_millis, run or uuid.uuid4().hex)
+        error = F.col("error")
+        if failures:
+            failed = _failed(calls, failures)
+            ids = failed.select("request_id")
+            accepted = accepted.join(ids, "request_id", "left_anti")
+            results = {i: r.join(ids, "request_id", "left_anti") for i, r in results.items()}
+            bound, error = bound.join(failed, "request_id", "left"), F.coalesce(error, "reason")
+        frame = scratch.written(_frame(accepted, procedure, results), "frame")
+        if not frame.where("output_error IS NOT NULL").isEmpty():
+            wrong = frame.where("output_error IS NOT NULL").select("request_id", "output_error")
+            results = {i: r.join(wrong.select("request_id"), "request_id", "left_anti") for i, r in results.items()}
+            bound, error = bound.join(wrong, "request_id", "left"), F.coalesce(error, "output_error")
+            frame = frame.where("output_error IS NULL")
+        contents = written(_contents(frame, procedure, results, piece_bytes, scratch), "contents")
         sizes = contents.groupBy("request_id").agg(
             F.count("*").alias("pieces"), F.sum(F.octet_length("content")).alias("bytes")
         )
         elapsed = F.lit(int((time.monotonic() - started) * 1000)).cast("bigint")
-        error = F.coalesce("error", F.lit(late).cast("string"))
         done = bound.withColumn("error", error).join(sizes, "request_id", "left")
         good = F.col("error").isNull()
         done = done.select(
@@ -258,29 +389,45 @@ def run_calls(
 def run_by_statement(
     requests: DataFrame,
     procedures: dict[str, Procedure],
-    tables: dict[str, DataFrame],
+    tables: dict[str, DataFrame | WrittenTable],
     statement_property: str | None = None,
     properties: dict[str, str] | None = None,
     **options,
 ) -> Calls:
-    """Run each request with the procedure its statement names; blank or unknown ones fail."""
-    chosen = requests.withColumn("_statement", F.trim(statement(statement_property)))
-    blank = statement_error(F.col("_statement"))
-    unknown = F.when(
-        ~F.col("_statement").isin(list(procedures)), F.concat(F.lit("no such procedure: "), F.col("_statement"))
-    )
-    refused = chosen.withColumn("error", F.coalesce(blank, unknown)).where(F.col("error").isNotNull())
-    none = F.lit(0).cast("bigint")
-    calls = refused.select(
-        "request_id", "attributes", F.lit(FAILURE).alias("route"), "error", F.lit(None).cast("bigint").alias("duration_ms"),
-        none.alias("pieces"), none.alias("bytes"),
-    )
-    contents = _no_contents(refused)
-    for name, procedure in procedures.items():
-        mine = chosen.where(F.col("_statement") == name).drop("_statement")
-        done = run_calls(mine, procedure, tables, properties, **options)
-        calls, contents = calls.unionByName(done.calls), contents.unionByName(done.contents)
-    return Calls(calls, contents)
+    """Run each request with the procedure its statement names; blank or unknown ones fail.
+
+    Requests are read once and dealt by statement into parts of a stored table, of which each procedure reads its own.
+    """
+    spark = requests.sparkSession
+    name = F.trim(statement(statement_property))
+    known = F.when(name.isin(list(procedures)), name)
+    refused = F.coalesce(statement_error(name), F.when(known.isNull(), F.concat(F.lit("no such procedure: "), name)))
+    scratch = Scratch(spark)
+    try:
+        # The number of the procedure is the part's name, so that names may have any characters.
+        number = F.coalesce(*[F.when(known == n, F.lit(i)) for i, n in enumerate(procedures)], F.lit(-1)).cast("int")
+        chosen = requests.select("request_id", "attributes", refused.alias("error"), number.alias("procedure"))
+        stored = scratch.written(chosen, "requests", ["procedure"])
+        none = F.lit(0).cast("bigint")
+        left = stored.where("procedure = -1").select(
+            "request_id", "attributes", F.lit(FAILURE).alias("route"), "error", F.lit(None).cast("bigint").alias("duration_ms"),
+            none.alias("pieces"), none.alias("bytes"),
+        )
+        calls, contents = written(left, "calls"), None
+
+        def one(i: int, procedure: Procedure) -> Calls:
+            mine = stored.where(F.col("procedure") == i).select("request_id", "attributes")
+            return run_calls(mine, procedure, tables, properties, **options)
+
+        jobs = [partial(one, i, p) for i, p in enumerate(procedures.values())]
+        # Procedures that write, or that have a limit, do not run beside others.
+        alone = options.get("limit_millis") or any(isinstance(s, Insert) for p in procedures.values() for s in p.steps)
+        for done in [j() for j in jobs] if alone else side_by_side(spark, jobs):
+            calls = calls.unionByName(done.calls)
+            contents = done.contents if contents is None else contents.unionByName(done.contents)
+        return Calls(calls, _no_contents(calls) if contents is None else contents)
+    finally:
+        scratch.drop()
 
 
 def _no_contents(requests: DataFrame) -> DataFrame:
@@ -295,7 +442,9 @@ def _frame(accepted: DataFrame, procedure: Procedure, results: dict[int, DataFra
         counts = step_counts(results[i]) if isinstance(step, Rows) else results[i]
         out = out.join(counts.withColumnRenamed("n", f"rows_{i}"), "request_id", "left")
         out = out.withColumn(f"rows_{i}", F.coalesce(f"rows_{i}", F.lit(0)))
-    return out.withColumn("outputs", outputs_json({i: make(out) for i, make in procedure.outputs.items()}))
+    values = out.withColumn("_outputs", output_values({i: make(out) for i, make in procedure.outputs.items()}))
+    json, error = outputs_json(F.col("_outputs")), outputs_error(F.col("_outputs"))
+    return values.withColumns({"outputs": json, "output_error": error}).drop("_outputs")
 
 
 def _marks(procedure: Procedure) -> Column:
@@ -304,7 +453,7 @@ def _marks(procedure: Procedure) -> Column:
     marks = [(0, F.lit('{"RESULTS":[' if steps else "{"))]
     for i, step in enumerate(steps, 1):
         comma = F.when(seen, ",").otherwise("")
-        if isinstance(step, Count):
+        if not isinstance(step, Rows):
             present, text = F.lit(True), F.concat(comma, F.col(f"rows_{i}").cast("string"))
         else:
             present = F.col(f"rows_{i}") > 0
@@ -318,16 +467,16 @@ def _marks(procedure: Procedure) -> Column:
 
 
 def _contents(
-    accepted: DataFrame, procedure: Procedure, results: dict[int, DataFrame], piece_bytes: int, scratch: Scratch
+    frame: DataFrame, procedure: Procedure, results: dict[int, DataFrame], piece_bytes: int, scratch: Scratch
 ) -> DataFrame:
-    """``request_id, piece, content`` of all accepted requests.
+    """``request_id, piece, content`` of all requests of ``frame``.
 
     Marks, texts of results and closing brackets are pieces with a place in the
     document. What lies before a piece is summed over lengths alone; pieces that
     start in the same ``piece_bytes`` of a document are streamed into one content.
     """
     first, last = F.lit(-1).cast("bigint"), F.lit(1 << 62).cast("bigint")
-    marks = _frame(accepted, procedure, results).select("request_id", F.explode(_marks(procedure)).alias("m"))
+    marks = frame.select("request_id", F.explode(_marks(procedure)).alias("m"))
     parts = marks.select("request_id", "m.step", first.alias("part"), first.alias("seq"), "m.text")
     for i, step in enumerate(procedure.steps, 1):
         if isinstance(step, Rows):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.calls import (
     Count,
+    Insert,
     Procedure,
     Rows,
     bind_requests,
@@ -15,6 +16,7 @@ from sluice.operators.calls import (
     run_by_statement,
     run_calls,
     run_statement,
+    run_statements,
 )
 from sluice.operators.parameters import (
     STATEMENT,
@@ -24,8 +26,9 @@ from sluice.operators.parameters import (
     statement_error,
     with_parameters,
 )
+from sluice.operators.writes import WrittenTable
 from sluice.plans.tables import table
-from sluice.session import written
+from sluice.session import work_folder, written
 
 PREFIX = "procedure.args"
 PROPERTIES = {
@@ -174,28 +177,91 @@ def call_rows_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def call_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """Outputs in their declared types: output 3 is text, where the request does not say that it is a number."""
     outputs = {3: lambda df: F.col("p5") * 2, 4: lambda df: F.col("p4") + 1}
-    return _contents(spark, sf, Procedure(ARGUMENTS, [], outputs))
+    properties = PROPERTIES | {f"{PREFIX}.out.3.type": "12"}
+    return run_calls(requests(spark, sf, True), Procedure(ARGUMENTS, [], outputs), _tables(spark, sf), properties).contents
 
 
 def call_document(spark: SparkSession, sf: str) -> DataFrame:
     return _contents(spark, sf, REPORT)
 
 
+# Objects of a document, none of which is split between pieces.
+OBJECTS = r'(?s)\{"o_orderkey":[^}]*\}|\{"n_nationkey":[^}]*\}|\{"doc_id":.*?,"note":null\}|"OUTPUTS":\{[^}]*\}'
+
+
 def call_document_split(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents in pieces of 1 KiB: their bytes, the order rows in them, and whether those are in order."""
+    """Documents in pieces of 1 KiB: their bytes, the objects in them with the sum of their hashes, and whether order rows are in order."""
     pieces = _contents(spark, sf, REPORT, piece_bytes=1024)
     keys = F.transform(F.regexp_extract_all("content", F.lit(r'"o_orderkey":(\d+)'), F.lit(1)), lambda k: k.cast("bigint"))
-    found = pieces.select("request_id", "piece", F.octet_length("content").alias("bytes"), keys.alias("keys"))
+    objects = F.regexp_extract_all("content", F.lit(OBJECTS), F.lit(0))
+    hashes = F.transform(objects, lambda o: F.conv(F.substring(F.md5(o), 1, 12), 16, 10).cast("bigint"))
+    found = pieces.select("request_id", "piece", F.octet_length("content").alias("bytes"), keys.alias("keys"), hashes.alias("hashes"))
     before = F.expr("max(array_max(keys)) OVER (PARTITION BY request_id ORDER BY piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
     checked = found.withColumn(
         "ordered", (F.col("keys") == F.array_sort("keys")) & F.coalesce(F.array_min("keys") > before, F.lit(True))
     )
+    total = F.aggregate("hashes", F.lit(0).cast("bigint"), lambda a, h: a + h)
     return checked.groupBy("request_id").agg(
-        F.sum("bytes").alias("bytes"), F.sum(F.size("keys")).alias("order_rows"), F.bool_and("ordered").alias("in_order")
+        F.sum("bytes").alias("bytes"), F.sum(F.size("keys")).alias("order_rows"), F.bool_and("ordered").alias("in_order"),
+        F.sum(F.size("hashes")).alias("objects"), F.sum(total).alias("object_hashes"),
+    )
+
+
+STATEMENT_TEXT = """SELECT o_orderkey, o_totalprice FROM {orders} -- each request's own, if dear enough?
+    WHERE o_custkey = ? AND o_totalprice >= ?"""
+
+
+def call_statement_all(spark: SparkSession, sf: str) -> DataFrame:
+    """One ``?`` statement for every customer, the customer's balance tenfold as second parameter."""
+    key, least = F.col("c_custkey").cast("string"), (F.round(F.col("c_acctbal"), 0) * 10).cast("bigint").cast("string")
+    given = F.create_map(F.lit(f"{PREFIX}.in.1.type"), F.lit("-5"), F.lit(f"{PREFIX}.in.1.value"), key,
+                         F.lit(f"{PREFIX}.in.2.type"), F.lit("8"), F.lit(f"{PREFIX}.in.2.value"), least)
+    reqs = table(spark, sf, "customer").select(F.col("c_custkey").alias("request_id"), given.alias("attributes"))
+    declared = {f"{PREFIX}.in.1.type": "-5", f"{PREFIX}.in.2.type": "8"}
+    orders = {"orders": table(spark, sf, "orders")}
+    return run_statements(reqs, STATEMENT_TEXT, orders, properties=declared, order_by=["o_orderkey"]).contents
+
+
+FAILING = 1009
+
+
+def call_isolated(spark: SparkSession, sf: str) -> DataFrame:
+    """A body that divides by zero for some customers: those fail, all others have their rows."""
+    step = Rows(
+        f"""SELECT c.request_id, o.o_orderkey, CAST(o.o_orderkey AS BIGINT) DIV (c.p5 % {FAILING} - 7) AS part
+            FROM {{calls}} c JOIN {{orders}} o ON o.o_custkey = c.p5""",
+        ["o_orderkey"],
+    )
+    done = run_calls(requests(spark, sf, True), Procedure(ARGUMENTS, [step], OUTPUTS), _tables(spark, sf), PROPERTIES)
+    rows = done.contents.groupBy("request_id").agg(F.md5(F.max("content")).alias("content_md5"))
+    return done.calls.join(rows, "request_id", "left").select(
+        "request_id", "route", F.regexp_extract("error", r"^(\[[A-Z_]+\]|.*)", 1).alias("error"), "content_md5"
     )
 
 
+def call_writes(spark: SparkSession, sf: str) -> DataFrame:
+    """Steps that write, in a job that runs twice under one name: counts of the document, and the rows in the table."""
+    audit = WrittenTable(spark, work_folder(spark, "audit"), "custkey bigint, orderkey bigint, price double")
+    procedure = Procedure(
+        ARGUMENTS,
+        [
+            Insert(
+                """SELECT c.request_id, c.p5 AS custkey, o.o_orderkey AS orderkey, o.o_totalprice AS price
+                   FROM {calls} c JOIN {orders} o ON o.o_custkey = c.p5 AND o.o_totalprice >= c.p2""",
+                "audit",
+            ),
+            Count("SELECT c.request_id FROM {calls} c JOIN {audit} a ON a.custkey = c.p5"),
+        ],
+        {3: lambda df: F.col("rows_1"), 4: lambda df: F.col("p4")},
+    )
+    for _ in range(2):
+        done = run_calls(requests(spark, sf, True), procedure, {**_tables(spark, sf), "audit": audit}, PROPERTIES, run="report")
+    rows = audit.rows().groupBy("custkey").agg(F.count("*").alias("n_rows"), F.sum("orderkey").alias("orderkeys"), F.max("price").alias("highest"))
+    return done.contents.join(rows, F.col("request_id") == F.col("custkey"), "left").select("request_id", "content", "n_rows", "orderkeys", "highest")
+
+
 def _routes(spark: SparkSession, sf: str, **options) -> DataFrame:
     done = run_by_statement(
         requests(spark, sf, True), {"customer_report": REPORT}, _tables(spark, sf), properties=PROPERTIES, **options
@@ -225,7 +291,7 @@ QUERIES = {
     for f in (
         param_rows, param_merge, param_types, statement_choice, call_single, call_results, call_update_counts,
         call_rows_json, call_outputs, call_document, call_document_split, call_routes, call_routes_split,
-        call_timing,
+        call_timing, call_statement_all, call_isolated, call_writes,
     )
 }
 
@@ -319,12 +385,36 @@ SQL = {
     "call_update_counts": f"""{_PIECE} (WITH {_CALLS} SELECT request_id, '{{"RESULTS":[' || n4 || '],"OUTPUTS":'
         || {_outputs('n4', 'p4')} || '}}' AS content FROM frame)""",
     "call_rows_json": f"""WITH {_CALLS} SELECT request_id, result[2:-2] AS text FROM step5""",
-    "call_outputs": f"""{_PIECE} (WITH {_CALLS} SELECT request_id, '{{"OUTPUTS":' || {_outputs('p5 * 2', 'p4 + 1')} || '}}'
-        AS content FROM calls)""",
+    "call_outputs": f"""{_PIECE} (WITH {_CALLS} SELECT request_id, '{{"OUTPUTS":'
+        || {_outputs("CASE WHEN p5 % 7 = 0 THEN (p5 * 2)::VARCHAR ELSE '\"' || (p5 * 2) || '\"' END", 'p4 + 1')} || '}}' AS content FROM calls)""",
     "call_document": f"{_PIECE} ({_DOCUMENT})",
-    "call_document_split": f"""SELECT request_id, strlen(content)::BIGINT AS bytes, coalesce(n, 0)::BIGINT AS order_rows, TRUE AS in_order
-        FROM ({_DOCUMENT}) LEFT JOIN (SELECT c_custkey AS request_id, count(*) AS n FROM customer JOIN orders
+    "call_document_split": f"""SELECT request_id, strlen(content)::BIGINT AS bytes, coalesce(n, 0)::BIGINT AS order_rows, TRUE AS in_order,
+          len(o)::BIGINT AS objects, list_sum(list_transform(o, lambda x: ('0x' || md5(x)[1:12])::BIGINT))::BIGINT AS object_hashes
+        FROM (SELECT *, regexp_extract_all(content, '{OBJECTS}') AS o FROM ({_DOCUMENT}))
+        LEFT JOIN (SELECT c_custkey AS request_id, count(*) AS n FROM customer JOIN orders
           ON o_custkey = c_custkey AND o_totalprice >= CASE WHEN c_custkey % 3 = 0 THEN c_acctbal ELSE 0 END GROUP BY 1) USING (request_id)""",
+    "call_statement_all": f"""{_PIECE} (SELECT c_custkey AS request_id, '{{"RESULTS":[' || coalesce('[' || string_agg('{{"o_orderkey":' || o_orderkey
+          || ',"o_totalprice":' || CAST(o_totalprice AS VARCHAR) || '}}', ',' ORDER BY o_orderkey) || ']', '') || ']}}' AS content
+        FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_totalprice >= round(c_acctbal) * 10 GROUP BY c_custkey)""",
+    "call_isolated": f"""WITH {_CALLS}, parts AS (
+          SELECT request_id, string_agg('{{"o_orderkey":' || o_orderkey || ',"part":' || (o_orderkey // (p5 % {FAILING} - 7)) || '}}', ','
+            ORDER BY o_orderkey) AS result, count(*) AS n
+          FROM calls JOIN orders ON o_custkey = p5 WHERE p5 % {FAILING} <> 7 GROUP BY request_id
+        ), good AS (
+          SELECT request_id, '{{"RESULTS":[' || coalesce('[' || result || ']', '') || '],"OUTPUTS":' || {_outputs('coalesce(n, 0)', 'p4 + 1')}
+            || '}}' AS content FROM calls LEFT JOIN parts USING (request_id)
+          WHERE p5 % {FAILING} <> 7 OR p5 NOT IN (SELECT o_custkey FROM orders)
+        )
+        SELECT c_custkey AS request_id, CASE WHEN content IS NULL THEN 'failure' ELSE 'success' END AS route,
+          CASE WHEN c_custkey % 11 = 0 THEN 'parameter 2: ''not a number'' is not a valid INTEGER'
+               WHEN content IS NULL THEN '[DIVIDE_BY_ZERO]' END AS error, md5(content) AS content_md5
+        FROM customer LEFT JOIN good ON request_id = c_custkey""",
+    "call_writes": f"""WITH {_CALLS}, written AS (
+          SELECT request_id, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS orderkeys, max(o_totalprice) AS highest
+          FROM calls JOIN orders ON o_custkey = p5 AND o_totalprice >= p2 GROUP BY request_id)
+        SELECT request_id, '{{"RESULTS":[' || coalesce(n_rows, 0) || ',' || coalesce(n_rows, 0) || '],"OUTPUTS":'
+          || {_outputs('coalesce(n_rows, 0)', 'p4')} || '}}' AS content, n_rows, orderkeys, highest
+        FROM calls LEFT JOIN written USING (request_id)""",
     "call_routes": _ROUTES,
     "call_routes_split": _ROUTES,
     "call_timing": """SELECT c_custkey AS request_id, CASE WHEN c_custkey % 11 = 0 THEN 'failure' ELSE 'success' END AS route,

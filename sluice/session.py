@@ -148,10 +148,11 @@ class Scratch:
         self.spark = spark
         self.names: list[str] = []
 
-    def written(self, df: DataFrame, label: str) -> DataFrame:
+    def written(self, df: DataFrame, label: str, parts: list[str] | None = None) -> DataFrame:
+        """Write and read back; ``parts`` are columns whose values have folders of their own."""
         name = f"scratch_{label}_{uuid.uuid4().hex}"
         self.names.append(name)
-        df.write.format("parquet").saveAsTable(name)
+        (df.write.partitionBy(*parts) if parts else df.write).format("parquet").saveAsTable(name)
         return self.spark.table(name)
 
     def drop(self) -> None:

@@ -4,10 +4,12 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sluice.operators.calls import (
     Count,
+    Insert,
     Procedure,
     Rows,
     bind_requests,
@@ -16,9 +18,13 @@ from sluice.operators.calls import (
     run_by_statement,
     run_calls,
     run_statement,
+    run_statements,
     single_request,
 )
 from sluice.operators.parameters import Argument, direction, parameter_rows, with_parameters
+from sluice.operators.statements import for_all_calls, with_columns
+from sluice.operators.writes import WrittenTable
+from sluice.session import delete_folder
 
 P = "procedure.args"
 
@@ -320,3 +326,181 @@ def test_single_statement(spark):
         run_statement(spark, text, given | {f"{P}.in.1.value": "x"}, {"data": data})
     with pytest.raises(ValueError, match="blank"):
         run_statement(spark, "  ", given)
+
+
+def _keyed(spark, n, **extra):
+    return requests(spark, *[{f"{P}.in.1.type": "-5", f"{P}.in.1.value": str(k)} | extra for k in range(n)])
+
+
+KEY = [Argument(1, "k", "bigint")]
+
+
+def test_one_statement_for_all_requests(spark):
+    """A statement with ``?`` gives each request what it gives when it runs for that request alone."""
+    data = spark.range(300).selectExpr("id % 25 AS k", "id AS v", "CAST(id AS STRING) AS s")
+    texts = [
+        "SELECT v, s FROM {data} WHERE k = ? AND v > ? -- why? because\n",
+        "SELECT v, '?' AS mark, \"is it?\" AS `q?` FROM {data} /* ? */ WHERE k = ? ORDER BY v DESC LIMIT ? + 1 - 30",
+        "SELECT count(*) AS v, max(v) AS m FROM {data} WHERE k = ? AND v < ?;",
+    ]
+    given = [{f"{P}.in.1.type": "-5", f"{P}.in.1.value": str(k), f"{P}.in.2.type": "4", f"{P}.in.2.value": "31"} for k in range(30)]
+    properties = {f"{P}.in.1.type": "-5", f"{P}.in.2.type": "4"}
+    for text in (texts[0], texts[2]):
+        done = run_statements(requests(spark, *given), text, {"data": data}, properties=properties, order_by=["v"])
+        found = {r["request_id"]: json.loads(r["content"]) for r in done.contents.collect()}
+        for k in (0, 7, 24, 29):
+            alone = [r.asDict() for r in run_statement(spark, text.rstrip(";"), given[k], {"data": data}).orderBy("v").collect()]
+            assert found[k]["RESULTS"] == ([alone] if alone else [])
+    plan = spark.sql(for_all_calls(texts[0], [Argument(1, "k", "bigint"), Argument(2, "p", "int")]), calls=spark.createDataFrame([(1, 1, 1)], "request_id long, k long, p int"), data=data)
+    assert "NestedLoop" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert with_columns(texts[1], ["a", "b"]).count("?") == 4
+    with pytest.raises(ValueError, match="has 2 parameters, 1 are given"):
+        for_all_calls(texts[0], KEY)
+    with pytest.raises(ValueError, match="without gaps"):
+        for_all_calls(texts[0], [Argument(2, "k", "bigint")])
+    with pytest.raises(ValueError, match="blank"):
+        for_all_calls(" ", [])
+
+
+def test_failures_stay_with_their_requests(spark):
+    """Bodies that raise for some keys fail those requests only, each with its reason; other results are whole."""
+    data = spark.range(120).selectExpr("id % 40 AS k", "id AS v")
+    procedure = Procedure(
+        KEY,
+        [
+            Rows("SELECT request_id, v, 100 DIV (k - 7) AS d FROM {calls} JOIN {data} USING (k)", ["v"]),
+            Rows("SELECT request_id, CAST(concat(if(k IN (7, 11), 'x', ''), v) AS INT) AS n FROM {calls} JOIN {data} USING (k)", ["n"]),
+        ],
+        {2: lambda df: F.col("rows_2")},
+    )
+    done = run_calls(_keyed(spark, 40), procedure, {"data": data}, {f"{P}.out.2.type": "4"})
+    calls = {r["request_id"]: r for r in done.calls.collect()}
+    assert len(calls) == 40 and {k for k, r in calls.items() if r["route"] == "failure"} == {7, 11}
+    assert calls[7]["error"].startswith("[DIVIDE_BY_ZERO]") and calls[11]["error"].startswith("[CAST_INVALID_INPUT]")
+    contents = {r["request_id"]: json.loads(r["content"]) for r in done.contents.collect()}
+    assert contents.keys() == calls.keys() - {7, 11}
+    for k, c in contents.items():
+        rows = [{"v": v, "d": int(100 / (k - 7))} for v in (k, k + 40, k + 80)]
+        assert c == {"RESULTS": [rows, [{"n": r["v"]} for r in rows]], "OUTPUTS": {"output_2": 3}}
+    with pytest.raises(AnalysisException):
+        run_calls(_keyed(spark, 3), Procedure(KEY, [Rows("SELECT request_id, nowhere FROM {calls}")]), {})
+
+
+def test_every_request_fails(spark):
+    done = run_calls(_keyed(spark, 3), Procedure(KEY, [Rows("SELECT request_id, raise_error('no ' || k) AS x FROM {calls}")]), {})
+    assert sorted(r["error"] for r in done.calls.collect()) == [f"[USER_RAISED_EXCEPTION] no {k}" for k in range(3)]
+    assert done.contents.count() == 0
+
+
+def test_one_slow_request_of_many(spark):
+    @F.udf("long")
+    def slow(k):
+        time.sleep(60 if k == 5 else 0)
+        return k
+
+    def body(calls, tables):
+        return calls.select("request_id", slow("k").alias("x"))
+
+    start = time.monotonic()
+    done = run_calls(_keyed(spark, 12), Procedure(KEY, [Rows(body)]), {}, limit_millis=6000)
+    calls = {r["request_id"]: r["error"] for r in done.calls.collect()}
+    assert calls == {k: "time limit of 6000 ms exceeded" if k == 5 else None for k in range(12)}
+    assert done.contents.count() == 11 and time.monotonic() - start < 100
+
+
+def test_steps_that_write(spark, tmp_path):
+    """Rows are written once however often the job runs; later steps see them; counts are of what was written."""
+    audit = WrittenTable(spark, str(tmp_path / "audit"), "k bigint, note string")
+    data = spark.range(30).selectExpr("id % 10 AS k", "CAST(id AS STRING) AS note")
+    procedure = Procedure(
+        KEY,
+        [
+            Insert("SELECT request_id, k, note FROM {calls} JOIN {data} USING (k)", "audit"),
+            Rows("SELECT c.request_id, count(a.k) AS n FROM {calls} c LEFT JOIN {audit} a ON a.k = c.k GROUP BY c.request_id"),
+            Insert("SELECT request_id, k, 'second' AS note FROM {calls} WHERE k < 2", "audit"),
+        ],
+    )
+    tables = {"data": data, "audit": audit}
+
+    def run(n, name, steps=procedure):
+        done = run_calls(_keyed(spark, n), steps, tables, run=name)
+        return {r["request_id"]: json.loads(r["content"])["RESULTS"] for r in done.contents.collect()}
+
+    expected = {k: [3 if k < 10 else 0, [{"n": 3 if k < 10 else 0}], int(k < 2)] for k in range(12)}
+    assert run(12, "monday") == expected
+    rows = sorted(map(tuple, audit.rows().collect()))
+    assert rows == sorted([(i % 10, str(i)) for i in range(30)] + [(0, "second"), (1, "second")])
+    # Again under the same name: the same counts, no row more. (The second step reads what is there by now.)
+    again = run(12, "monday")
+    assert {k: [r[0], r[2]] for k, r in again.items()} == {k: [r[0], r[2]] for k, r in expected.items()}
+    assert sorted(map(tuple, audit.rows().collect())) == rows
+    run(2, "tuesday")
+    assert audit.rows().count() == len(rows) + 8
+    with pytest.raises(ValueError, match="not a table that can be written"):
+        run_calls(_keyed(spark, 1), procedure, {"data": data, "audit": data})
+
+
+def test_a_job_that_ended_half_way(spark, tmp_path):
+    """Requests whose rows are in the table are not written again; rows without a manifest are in no table."""
+    table = WrittenTable(spark, str(tmp_path / "t"), "k bigint")
+    body = Insert("SELECT request_id, k FROM {calls} WHERE 10 DIV (k - 3) < 100", "t")
+    done = run_calls(_keyed(spark, 6), Procedure(KEY, [body]), {"t": table}, run="r")
+    assert {r["request_id"]: r["route"] for r in done.calls.collect()} == {k: "failure" if k == 3 else "success" for k in range(6)}
+    assert sorted(r["k"] for r in table.rows().collect()) == [0, 1, 2, 4, 5]
+    attempt = table.manifest("r", 1).where("n > 0").first()["attempt"]
+    delete_folder(spark, f"{table.path}/manifest/run=r/step=1/attempt={attempt}")
+    lost = {0, 1, 2, 4, 5} - {r["k"] for r in table.rows().collect()}
+    assert lost
+    good = Insert("SELECT request_id, k FROM {calls}", "t")
+    run_calls(_keyed(spark, 6), Procedure(KEY, [good]), {"t": table}, run="r")
+    assert sorted(r["k"] for r in table.rows().collect()) == [0, 1, 2, 3, 4, 5]
+    assert table.manifest("r", 1).agg(F.sum("n")).first()[0] == 6
+
+
+def test_two_jobs_of_one_run_at_once(spark, tmp_path):
+    """Both have written for the same requests: one of each counts."""
+    table = WrittenTable(spark, str(tmp_path / "t"), "k bigint")
+    calls = spark.range(5).selectExpr("id AS request_id", "id AS k")
+
+    def meanwhile(todo):
+        if not table._attempts("r", 1):
+            table.add(calls, lambda some: some, "r", 1)
+        return todo
+
+    assert table.add(calls, meanwhile, "r", 1).agg(F.sum("n")).first()[0] == 5
+    assert len(table._attempts("r", 1)) == 2
+    assert sorted(r["k"] for r in table.rows().collect()) == [0, 1, 2, 3, 4]
+
+
+def test_requests_are_read_once_for_all_procedures(spark):
+    name = "stored.procedure.statement"
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    reqs = requests(spark, *[GOOD | {name: f"p{k % 6}"} for k in range(12)])
+    reqs = reqs.select("request_id", F.map_concat("attributes", F.create_map(F.lit("seen"), counted(F.lit("x")))).alias("attributes"))
+    done = run_by_statement(reqs, {f"p{k}": SIMPLE for k in range(5)}, {})
+    rows = {r["request_id"]: r["error"] for r in done.calls.collect()}
+    assert {k for k, e in rows.items() if e} == {5, 11} and len(rows) == 12
+    assert seen.value == 12
+
+
+def test_declared_output_types(spark):
+    """An output has the type that its parameter declares; one that the type cannot hold fails its request."""
+    procedure = Procedure(KEY, [], {2: lambda df: F.col("k") * 2, 3: lambda df: F.concat(F.lit("4"), F.when(F.col("k") == 1, "x").otherwise(""))})
+    declared = [("4", "12"), ("12", "4"), ("8", "-5"), ("3", "-7"), ("-7", "12"), ("2", "1111")]
+    given = [{f"{P}.in.1.type": "-5", f"{P}.in.1.value": str(k), f"{P}.out.2.type": a, f"{P}.out.3.type": b} for k, (a, b) in enumerate(declared)]
+    done = run_calls(requests(spark, *given), procedure, {})
+    calls = {r["request_id"]: r["error"] for r in done.calls.collect()}
+    found = {r["request_id"]: r["content"][len('{"OUTPUTS":') : -1] for r in done.contents.collect()}
+    assert found[0] == '{"output_2":0,"output_3":"4"}'
+    assert calls[1] == "output 3: '4x' is not a valid INTEGER"
+    assert found[2] == '{"output_2":4.0,"output_3":4}'
+    assert calls[3] == "output 3: '4' is not a valid BIT"
+    assert calls[4] == "output 2: '8' is not a valid BIT"
+    assert found[5] == '{"output_2":10,"output_3":"4"}'
+    assert found.keys() == {0, 2, 5}
