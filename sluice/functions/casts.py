@@ -54,40 +54,78 @@ def cast_floating(text: Column, spark_type: str = "double") -> Column:
     return _checked(text, value, "REAL" if spark_type == "float" else "DOUBLE")
 
 
+# A number in plain or exponent notation: sign, digits before and after the point, exponent.
+_NUMBER = r"^([+-]?)(?=\.?[0-9])([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]{1,9}))?\z"
+MAX_DIGITS = 38
+
+
+def digits_of(text: Column) -> Column:
+    """STRUCT<minus, digits, point>: the number is 0.digits times ten to the power of ``point``; NULL for what is no number.
+
+    ``digits`` has no zeros at its ends, so equal numbers have equal parts; zero has no digits and no sign.
+    """
+
+    def parts(p: Column) -> Column:
+        kept = F.regexp_replace(p["all"], "^0+", "")
+        point = p["before"] - (F.length(p["all"]) - F.length(kept)) + p["power"]
+        digits = F.regexp_replace(kept, "0+$", "")
+        return F.when(digits == "", _digits(F.lit(False), F.lit(""), F.lit(0))).otherwise(_digits(p["minus"], digits, point))
+
+    def raw(g: Column) -> Column:
+        return F.struct(
+            (g[0] == "-").alias("minus"), F.concat(g[1], g[2]).alias("all"), F.length(g[1]).alias("before"),
+            F.coalesce(g[3].try_cast("int"), F.lit(0)).alias("power"),
+        )
+
+    return T.let(T.groups(text, _NUMBER, 4), lambda g: F.when(g.isNotNull(), T.let(raw(g), parts)))
+
+
+def _digits(minus: Column, digits: Column, point: Column) -> Column:
+    return F.struct(minus.alias("minus"), digits.alias("digits"), point.cast("int").alias("point"))
+
+
+def _places(d: Column) -> tuple[Column, Column]:
+    """How many digits plain notation needs before and after the point."""
+    whole, decimals = F.greatest(d["point"], F.lit(0)), F.greatest(F.length(d["digits"]) - d["point"], F.lit(0))
+    return F.when(d.isNotNull(), whole), F.when(d.isNotNull(), decimals)
+
+
+def _plain(d: Column) -> Column:
+    """The number in plain notation; only for numbers of few digits, as zeros are written out."""
+    digits, point, size = d["digits"], d["point"], F.length(d["digits"])
+    text = (
+        F.when(digits == "", "0")
+        .when(point >= size, F.concat(digits, F.repeat(F.lit("0"), point - size)))
+        .when(point > 0, F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, size)))
+        .otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+    )
+    return F.concat(F.when(d["minus"], "-").otherwise(""), text)
+
+
 def cast_decimal(text: Column, scale: int = DECIMAL_SCALE) -> Column:
-    """Exact decimal number; one that DECIMAL(38, scale) would round is an error."""
-    plain = text.rlike(rf"^[+-]?(?:[0-9]+(?:\.[0-9]{{0,{scale}}}0*)?|\.[0-9]{{1,{scale}}}0*)$")
-    value = F.when(plain | _exact_power(text, scale), text.try_cast(f"decimal(38,{scale})"))
-    return _checked(text, value, "DECIMAL")
+    """Exact decimal number in either notation; one that DECIMAL(38, scale) would round or cannot hold is an error."""
+
+    def value(d: Column) -> Column:
+        whole, decimals = _places(d)
+        return F.when((whole <= MAX_DIGITS - scale) & (decimals <= scale), _plain(d).try_cast(f"decimal(38,{scale})"))
+
+    return _checked(text, T.let(digits_of(text), value), "DECIMAL")
 
 
 def decimal_places(text: Column) -> Column:
     """How many decimals a number in plain or exponent notation needs."""
-    mantissa = F.regexp_extract(text, r"^([^eE]*)", 1)
-    decimals = F.length(F.regexp_extract(mantissa, r"\.([0-9]*?)0*$", 1))
-    whole_zeros = F.length(F.regexp_extract(mantissa, r"^[+-]?[0-9]*?(0*)(?:\.0*)?$", 1))
-    power = F.coalesce(F.regexp_extract(text, r"[eE]([+-]?[0-9]{1,9})$", 1).try_cast("int"), F.lit(0))
-    zeros = F.when(decimals == 0, whole_zeros).otherwise(0)
-    return F.when(mantissa.rlike(r"^[+-]?[0.]+$"), 0).otherwise(F.greatest(decimals - power - zeros, F.lit(0)))
+    return T.let(digits_of(text), lambda d: _places(d)[1])
 
 
 def decimal_text(text: Column) -> Column:
-    """A decimal number as text: any that 38 digits hold, in plain notation as it was written."""
-    plain = text.rlike(r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)$")
-    digits = F.length(F.regexp_replace(F.regexp_replace(text, r"^[+-]?0*", ""), r"\.", ""))
-    small = cast_decimal(text)["value"].cast("string")
-    return _checked(text, F.when(plain & (digits <= 38), text).when(~plain, small), "DECIMAL")
-
-
-def _exact_power(text: Column, scale: int) -> Column:
-    """A number with an exponent that needs no more than ``scale`` decimals."""
-    mantissa = F.regexp_extract(text, r"^([^eE]*)", 1)
-    decimals = F.length(F.regexp_extract(mantissa, r"\.([0-9]*)$", 1))
-    zeros = F.length(F.regexp_extract(F.replace(mantissa, F.lit(".")), r"(0*)$", 1))
-    power = F.regexp_extract(text, r"[eE]([+-]?[0-9]{1,9})$", 1).try_cast("int")
-    return text.rlike(r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]{1,9}$") & (
-        (decimals - power - zeros <= scale) | mantissa.rlike(r"^[+-]?[0.]+$")
-    )
+    """A decimal number as text: any that 38 digits hold, in plain notation, as it was written where it was."""
+
+    def value(d: Column) -> Column:
+        whole, decimals = _places(d)
+        as_written = text.rlike(r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)\z") & (F.length(text) <= MAX_DIGITS + 2)
+        return F.when(whole + decimals <= MAX_DIGITS, F.when(as_written, text).otherwise(_plain(d)))
+
+    return _checked(text, T.let(digits_of(text), value), "DECIMAL")
 
 
 def _no_format(fmt: Column | str | None) -> Column:

@@ -64,7 +64,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 _MARK = "\u0001"
 
 
-def _groups(text: Column, regex: str, count: int) -> Column:
+def groups(text: Column, regex: str, count: int) -> Column:
     """ARRAY of the groups 1..count from one match, empty text where a group is absent; NULL if no match."""
     marked = F.regexp_replace(text, regex, _MARK.join(f"${i}" for i in range(1, count + 1)))
     found = F.when(~text.contains(_MARK), F.split(marked, _MARK, -1))
@@ -181,7 +181,7 @@ def iso_parts(text: Column, fmt: Column) -> Column:
 
         return let(kind, read)
 
-    return let(_groups(text, _ISO, 4), body)
+    return let(groups(text, _ISO, 4), body)
 
 
 def rfc_parts(text: Column) -> Column:
@@ -194,7 +194,7 @@ def rfc_parts(text: Column) -> Column:
         right_day = (weekday == "") | (F.lower(F.date_format(date, "EEE")) == F.lower(weekday))
         return F.when(time != "", _parts(F.when(right_day, date), _day_ms(time), _offset_seconds(offset)))
 
-    return let(_groups(text, _RFC, 6), body)
+    return let(groups(text, _RFC, 6), body)
 
 
 def default_parts(text: Column) -> Column:
@@ -214,7 +214,7 @@ def default_parts(text: Column) -> Column:
         date = F.least(F.date_add(first, day.try_cast("int") - 1), F.last_day(first))
         return _parts(date, F.when(time != "", _day_ms(time)))
 
-    return let(_groups(text, shape, 4), body)
+    return let(groups(text, shape, 4), body)
 
 
 def has_letters(fmt: Column, letters: str) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sluice.functions import casts as C
 from sluice.functions.temporal import is_blank, let
 
+# Names of attributes and routes.
 TYPE_NAME = r"^procedure\.args\.(in|out|inout)\.([0-9]+)\.type$"
 STATEMENT = "stored.procedure.statement"
 SUCCESS, FAILURE = "success", "failure"
@@ -208,10 +209,16 @@ def _unchanged(text: Column, value: Column, spark_type: str) -> Column:
         scale = int(spark_type.rstrip(") ").rpartition(",")[2]) if "," in spark_type else 0
         return F.when(C.decimal_places(text) <= scale, value)
     if spark_type in ("float", "double"):
-        there, back = text.try_cast("decimal(38,18)"), value.cast("string").try_cast("decimal(38,18)")
+        # So few digits are always kept; of more the type must print the same number. Hexadecimal texts have no such digits.
+        kept, least = (6, 1e-37) if spark_type == "float" else (15, 1e-307)
+
+        def exact(d: Column) -> Column:
+            few = (F.length(d["digits"]) <= kept) & ((F.abs(value) >= least) | (d["digits"] == ""))
+            return few | (d == C.digits_of(value.cast("string")))
+
         named = text.rlike("Infinity|NaN")
         infinite = F.abs(value) == float("inf")
-        return F.when(named | (~infinite & F.coalesce(there == back, F.lit(True))), value)
+        return F.when(named | (~infinite & F.coalesce(let(C.digits_of(text), exact), F.lit(True))), value)
     return value
 
 

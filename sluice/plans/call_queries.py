@@ -135,6 +135,19 @@ def param_types(spark: SparkSession, sf: str) -> DataFrame:
     return bound.select("request_id", "p1", "p2", "p4", "p5", "error")
 
 
+def param_big_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers of 22 to 26 digits as double, float, decimal and bigint: taken where the type holds just that number."""
+    key = F.col("c_custkey")
+    digits = F.when(key % 2 == 0, F.concat(F.lit("1"), key.cast("string"), F.lit("0" * 21))).otherwise(F.concat(F.lit("123456789012345678901"), key.cast("string")))
+    names = [(i, n, x) for i in range(1, 5) for n, x in (("type", F.lit("3")), ("value", digits))]
+    given = F.create_map(*[c for i, n, x in names for c in (F.lit(f"{PREFIX}.in.{i}.{n}"), x)])
+    reqs = table(spark, sf, "customer").select(key.alias("request_id"), given.alias("attributes"))
+    kinds = {"as_double": "double", "as_float": "float", "as_decimal": "decimal(38,0)", "as_bigint": "bigint"}
+    bound = bind_requests(reqs, Procedure([Argument(i, n, t) for i, (n, t) in enumerate(kinds.items(), 1)]), {})
+    shown = [F.col("as_float").cast("double").alias("as_float"), F.col("as_decimal").cast("string").alias("as_decimal")]
+    return bound.select("request_id", "as_double", *shown, "as_bigint", "error")
+
+
 def statement_choice(spark: SparkSession, sf: str) -> DataFrame:
     out = None
     for label, text in (("set", "from_property"), ("absent", None)):
@@ -289,7 +302,7 @@ def call_timing(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        param_rows, param_merge, param_types, statement_choice, call_single, call_results, call_update_counts,
+        param_rows, param_merge, param_types, param_big_numbers, statement_choice, call_single, call_results, call_update_counts,
         call_rows_json, call_outputs, call_document, call_document_split, call_routes, call_routes_split,
         call_timing, call_statement_all, call_isolated, call_writes,
     )
@@ -373,6 +386,12 @@ SQL = {
         CASE WHEN c_custkey % 13 = 0 THEN c_custkey END AS p4, c_custkey AS p5,
         CASE WHEN c_custkey % 11 = 0 THEN 'parameter 2: ''not a number'' is not a valid INTEGER' END AS error
         FROM customer""",
+    "param_big_numbers": """SELECT request_id, CASE WHEN even THEN CAST(t AS DOUBLE) END AS as_double,
+          CASE WHEN even THEN CAST(CAST(t AS FLOAT) AS DOUBLE) END AS as_float, t AS as_decimal, CAST(NULL AS BIGINT) AS as_bigint,
+          CASE WHEN even THEN concat('parameter 4: ''', t, ''' cannot be used as bigint')
+               ELSE concat('parameter 1: ''', t, ''' cannot be used as double') END AS error
+        FROM (SELECT c_custkey AS request_id, c_custkey % 2 = 0 AS even,
+          CASE WHEN c_custkey % 2 = 0 THEN '1' || c_custkey || repeat('0', 21) ELSE '123456789012345678901' || c_custkey END AS t FROM customer)""",
     "statement_choice": """SELECT 'set' AS property, c_custkey AS request_id, 'from_property' AS statement,
           CAST(NULL AS VARCHAR) AS error FROM customer
         UNION ALL SELECT 'absent', c_custkey,

@@ -46,7 +46,8 @@ def cast_numbers(spark: SparkSession, sf: str) -> DataFrame:
         [price.cast("string"), F.concat(price.cast("string"), F.lit("x")), F.concat(cents, F.lit("e-2")),
          F.concat(F.lit(" "), cents), F.concat(price.cast("string"), F.lit("00001"))],
     )
-    staged = table(spark, sf, "orders").select(key, whole.alias("w"), number.alias("n"))
+    power = F.concat((key % 9 + 1).cast("string"), F.lit("e"), (key % 79 - 39).cast("string"))
+    staged = table(spark, sf, "orders").select(key, whole.alias("w"), number.alias("n"), power.alias("p"))
     return staged.select(
         key,
         *[C.cast_integer(F.col("w"), t)["value"].cast("bigint").alias(f"as_{t}") for t in C.INTEGER_TYPES],
@@ -54,6 +55,7 @@ def cast_numbers(spark: SparkSession, sf: str) -> DataFrame:
         C.cast_floating(F.col("n"))["value"].alias("as_double"),
         C.cast_floating(F.col("n"), "float")["value"].cast("double").alias("as_real"),
         C.cast_decimal(F.col("n"), 2)["value"].cast("string").alias("as_decimal"),
+        C.decimal_text(F.col("p"))["value"].alias("as_digits"),
     )
 
 
@@ -180,7 +182,9 @@ SQL = {
                WHEN 3 THEN CAST(cents AS FLOAT) WHEN 4 THEN CAST(o_totalprice || '00001' AS FLOAT) END AS DOUBLE)
             AS as_real,
           CASE WHEN o_orderkey % 5 IN (0, 2) THEN CAST(CAST(o_totalprice AS DECIMAL(38, 2)) AS VARCHAR) END
-            AS as_decimal
+            AS as_decimal,
+          CASE WHEN o_orderkey % 79 BETWEEN 39 AND 76 THEN (o_orderkey % 9 + 1) || repeat('0', o_orderkey % 79 - 39)
+               WHEN o_orderkey % 79 BETWEEN 1 AND 38 THEN '0.' || repeat('0', 38 - o_orderkey % 79) || (o_orderkey % 9 + 1) END AS as_digits
         FROM (SELECT o_orderkey, o_totalprice, {_WHOLE} AS w,
                      CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS cents FROM orders)""",
     "cast_temporal": f"""SELECT event_id, CASE WHEN event_id % 7 IN (0, 1) THEN {_MS} END AS ts_ms,

@@ -148,6 +148,12 @@ def test_types_of_arguments(spark, spark_type, code, value, fmt, expected):
         ("decimal(38,20)", "2", "0.1234567890123456789", Decimal("0.1234567890123456789")), ("decimal(10,0)", "3", "1.2e1", Decimal(12)),
         ("decimal(10,0)", "3", "1e-1", None), ("decimal(4,0)", "3", "12345", None), ("string", "3", "12.50", "12.50"),
         ("double", "3", "9007199254740993", None), ("double", "3", "9007199254740992", 9007199254740992.0),
+        ("double", "3", "12345678901234567890123", None), ("float", "3", "12345678901234567890123", None),
+        ("double", "3", "7" + "0" * 24, 7e24), ("float", "3", "7" + "0" * 24, 6.999999808708619e24), ("double", "3", "1e-30", 1e-30),
+        ("double", "3", "1" + "0" * 23, 1e23), ("float", "3", "1e-37", 9.99999991097579e-38), ("double", "3", "1.00000000000000000001", None),
+        ("bigint", "3", "7" + "0" * 24, None), ("bigint", "3", "9223372036854775807", 9223372036854775807), ("bigint", "3", "1.2e3", 1200),
+        ("decimal(38,0)", "3", "1e37", Decimal(10**37)), ("decimal(38,30)", "3", "1e-30", Decimal("1e-30")), ("decimal(38,18)", "3", "1e25", None),
+        ("double", "3", "9007199254740993", None), ("double", "3", "1" + "0" * 22 + "1", None),
         ("double", "8", "0.1", 0.1), ("float", "8", "0.5", 0.5), ("float", "8", "1e300", None), ("double", "8", "1e300", 1e300),
     ],
 )

@@ -71,6 +71,17 @@ def test_decimal(spark):
     check(spark, lambda t: C.cast_decimal(t, 2), [(t, None if v is None else Decimal(v)) for t, v in cases])
 
 
+def test_decimal_digits(spark):
+    """Every number that 38 digits hold is taken in either notation, all others are refused."""
+    cases = [("1e20", "100000000000000000000"), ("12.5e-20", "0.000000000000000000125"), ("-1e37", "-1" + "0" * 37), ("1e38", None),
+             ("1e-38", "0." + "0" * 37 + "1"), ("1e-39", None), ("0e999999999", "0"), ("1e999999999", None), ("9" * 38, "9" * 38), ("9" * 39, None),
+             ("0.00e5", "0"), ("1" + "0" * 37, "1" + "0" * 37), ("0" * 50 + "7.50" + "0" * 50, "7.5"), ("1.5", "1.5"), ("+.5", "+.5"),
+             ("12\n", None), ("1e", None), ("e5", None), ("", None), ("1.2.3", None), ("\u0661", None), ("-0.0e1", "0")]
+    check(spark, C.decimal_text, cases)
+    wide = [("1e19", "10000000000000000000"), ("1e20", None), ("1e-18", "0.000000000000000001"), ("1e-19", None), ("0.1e-17", "0.000000000000000001")]
+    check(spark, C.cast_decimal, [(t, None if v is None else Decimal(v)) for t, v in wide])
+
+
 CASES = [
     (C.cast_date, "2024-01-02", NONE, DAY),
     (C.cast_date, "1704153600000", NONE, DAY),
