@@ -2,40 +2,22 @@
 
 from __future__ import annotations
 
-import json
-
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-
-class _NumberText(str):
-    """A number kept as the text it was written with."""
-
-
-def _render(node) -> str:
-    if isinstance(node, _NumberText):
-        return str(node)
-    if isinstance(node, dict):
-        return "{" + ",".join(json.dumps(k, ensure_ascii=False) + ":" + _render(v) for k, v in node.items()) + "}"
-    if isinstance(node, list):
-        return "[" + ",".join(map(_render, node)) + "]"
-    return json.dumps(node, ensure_ascii=False)
-
-
-def _refuse(constant: str):
-    raise ValueError(f"{constant} is not JSON")
+from sluice.functions.json_tokens import compact_json
+from sluice.functions.temporal import let
 
 
 def _last_key_wins(text: str | None) -> str | None:
     """Drop all but the last of equal keys, keeping the first one's place; NULL for what is not JSON."""
     if text is None:
         return None
-    decoder = json.JSONDecoder(parse_float=_NumberText, parse_int=_NumberText, parse_constant=_refuse)
     try:
-        return _render(decoder.raw_decode(text.lstrip(" \t\r\n"))[0])
-    except (ValueError, RecursionError):
+        return compact_json(text)
+    except ValueError:
         return None
 
 
@@ -60,13 +42,14 @@ def strict_json(value: Column) -> Column:
 
 
 def repaired_json(value: Column, strict: Column) -> Column:
-    """``strict``, or for a text it refused: the same with the last of equal keys.
+    """``strict``, or for a text it refused: the same with the last of equal keys, and without limits of length and depth.
 
-    Only refused texts are looked at in Python; ``get_json_object`` then puts
-    numbers in their canonical form. ``strict`` should be a column of its own.
+    Only refused texts are looked at in Python. What is within the limits of the JVM's
+    parser goes through it once more, so that numbers have its form; what is beyond them stays as
+    it was read. ``strict`` should be a column of its own.
     """
     refused = F.when(strict.isNull(), F.make_valid_utf8(value.cast("string")))
-    return F.coalesce(strict, F.get_json_object(_repair_duplicates(refused), "$"))
+    return let(_repair_duplicates(refused), lambda t: F.coalesce(strict, F.get_json_object(t, "$"), t))
 
 
 def canonical_json(value: Column, duplicate_keys: str = "last") -> Column:
