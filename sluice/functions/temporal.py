@@ -71,7 +71,7 @@ def groups(text: Column, regex: str, count: int) -> Column:
     return let(found, lambda g: F.when(F.size(g) == count, g))
 
 
-def _parts(date: Column, day_ms: Column, offset_s: Column | None = None) -> Column:
+def wall_parts(date: Column, day_ms: Column, offset_s: Column | None = None) -> Column:
     """Wall-clock parts of a text; NULL where absent or invalid."""
     offset_s = F.lit(None) if offset_s is None else offset_s
     return F.struct(
@@ -116,7 +116,7 @@ def _day_ms(text: Column) -> Column:
     )
 
 
-def _offset_seconds(text: Column) -> Column:
+def offset_seconds(text: Column) -> Column:
     digits = F.rpad(F.regexp_replace(F.substring(text, 2, 8), ":", ""), 6, "0")
     size = (
         F.substring(digits, 1, 2).try_cast("int") * 3600
@@ -169,13 +169,13 @@ def iso_parts(text: Column, fmt: Column) -> Column:
             dashed = F.concat_ws("-", F.substring(date, 1, 4), F.substring(date, 5, 2), F.substring(date, 7, 2))
             return F.when(
                 F.array_contains(F.try_element_at(shapes, fmt), shape),
-                _parts(
+                wall_parts(
                     F.when(kind == "c", date.try_cast("date"))
                     .when(kind == "b", dashed.try_cast("date"))
                     .when(kind == "o", _ordinal_date(date))
                     .when(kind == "w", _week_date(date)),
                     F.when(time != "", _day_ms(time)),
-                    F.when(offset != "", _offset_seconds(offset)),
+                    F.when(offset != "", offset_seconds(offset)),
                 ),
             )
 
@@ -192,7 +192,7 @@ def rfc_parts(text: Column) -> Column:
         number = F.array_position(F.split(F.lit(" ".join(MONTHS)), " "), F.lower(month)).cast("string")
         date = F.concat_ws("-", year, F.lpad(number, 2, "0"), F.lpad(day, 2, "0")).try_cast("date")
         right_day = (weekday == "") | (F.lower(F.date_format(date, "EEE")) == F.lower(weekday))
-        return F.when(time != "", _parts(F.when(right_day, date), _day_ms(time), _offset_seconds(offset)))
+        return F.when(time != "", wall_parts(F.when(right_day, date), _day_ms(time), offset_seconds(offset)))
 
     return let(groups(text, _RFC, 6), body)
 
@@ -212,7 +212,7 @@ def default_parts(text: Column) -> Column:
         year, month, day, time = (g[i] for i in range(4))
         first = F.when(year != "0000", F.concat(year, F.lit("-"), month, F.lit("-01")).try_cast("date"))
         date = F.least(F.date_add(first, day.try_cast("int") - 1), F.last_day(first))
-        return _parts(date, F.when(time != "", _day_ms(time)))
+        return wall_parts(date, F.when(time != "", _day_ms(time)))
 
     return let(groups(text, shape, 4), body)
 
@@ -237,7 +237,7 @@ def pattern_parts(text: Column, fmt: Column) -> Column:
         # Reached only for texts that are known to parse.
         wall = F.when(instant.isNotNull(), F.to_timestamp_ntz(text, fmt))
         shift = F.timestamp_diff("SECOND", F.expr("timestamp_ntz '1970-01-01'"), wall) - F.unix_seconds(instant)
-        return _parts(
+        return wall_parts(
             F.when(has_letters(fmt, "yuD"), wall.cast("date")),
             F.when(has_letters(fmt, "HhKk"), millis_of_day(wall)),
             shift,
@@ -261,7 +261,11 @@ def read_parts(text: Column, fmt: Column | str | None) -> Column:
         return rfc_parts(text)
     if fmt in NAMED_SHAPES:
         return iso_parts(text, F.lit(fmt))
-    return pattern_parts(text, F.lit(fmt))
+    from sluice.functions.patterns import compiled
+
+    # A pattern that is known beforehand is compiled; one with other letters is left to Spark's formatter.
+    read = compiled(fmt)
+    return pattern_parts(text, F.lit(fmt)) if read is None else read(text)
 
 
 def epoch_part(text: Column, fmt: Column | str | None) -> Column:

@@ -126,6 +126,30 @@ def cast_named_formats(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# A pattern with optional parts and adjacent fields.
+OPTIONAL = "yyyyMMdd'T'HHmm[ss[.SSS]]"
+
+
+def cast_patterns(spark: SparkSession, sf: str) -> DataFrame:
+    """Compiled patterns: names of days and months, optional and adjacent parts, halves of a day, days past the end of their month."""
+    ts, event = F.col("ts"), F.col("event_id")
+    other = F.date_format(F.date_add(ts, 1), "EEE")
+    staged = table(spark, sf, "events").select(
+        event,
+        F.concat(F.when(event % 7 == 0, other).otherwise(F.date_format(ts, "EEE")), F.date_format(ts, " dd.MM.yyyy")).alias("named"),
+        _pick(event, [F.date_format(ts, p) for p in ("yyyyMMdd'T'HHmm", "yyyyMMdd'T'HHmmss", "yyyyMMdd'T'HHmmss.SSS", "yyyyMMdd HHmm")]).alias("optional"),
+        F.concat(F.lit("31."), F.date_format(ts, "MMMM yy")).alias("clamped"),
+        F.date_format(ts, "'at' hh:mm a").alias("half"),
+    )
+    return staged.select(
+        event,
+        _iso_date(C.cast_date(F.col("named"), "EEE dd.MM.yyyy")["value"]).alias("named_day"),
+        F.unix_millis(C.cast_timestamp(F.col("optional"), OPTIONAL)["value"]).alias("optional_ms"),
+        _iso_date(C.cast_date(F.col("clamped"), "d.MMMM yy")["value"]).alias("clamped_day"),
+        C.cast_time(F.col("half"), "'at' hh:mm a")["value"].alias("half_ms"),
+    )
+
+
 def cast_binary(spark: SparkSession, sf: str) -> DataFrame:
     """Whole document texts as bytes in each notation."""
     doc, text = F.col("doc_id"), F.col("text")
@@ -154,7 +178,7 @@ def epoch_zone(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (cast_flags, cast_numbers, cast_temporal, cast_named_formats, cast_binary, cast_text, epoch_zone)
+    for f in (cast_flags, cast_numbers, cast_temporal, cast_named_formats, cast_patterns, cast_binary, cast_text, epoch_zone)
 }
 
 _FLAG_TEXT = "CASE WHEN c_custkey % 97 <> 0 THEN ['1','t','T','true','TRUE','0','yes',''][c_custkey % 8 + 1] END"
@@ -198,6 +222,9 @@ SQL = {
           CASE WHEN event_id % 17 IN (4, 7, 8, 9, 10, 13) THEN {_DAY_MS}
                WHEN event_id % 17 IN (5, 14) THEN {_DAY_MS} // 1000 * 1000
                WHEN event_id % 17 IN (6, 15) THEN {_DAY_MS} // 60000 * 60000 END AS day_ms FROM events""",
+    "cast_patterns": f"""SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN strftime(ts, '%Y-%m-%d') END AS named_day,
+          CASE event_id % 4 WHEN 0 THEN {_MS} // 60000 * 60000 WHEN 1 THEN {_MS} // 1000 * 1000 WHEN 2 THEN {_MS} END AS optional_ms,
+          strftime(last_day(ts), '%Y-%m-%d') AS clamped_day, {_DAY_MS} // 60000 * 60000 AS half_ms FROM events""",
     "cast_binary": """SELECT doc_id, md5(v) AS digest, CAST(strlen(v) AS BIGINT) AS n_bytes,
           CASE doc_id % 6 WHEN 4 THEN 'not a valid hex text' WHEN 5 THEN 'unknown binary format utf8' END AS error
         FROM (SELECT doc_id, CASE WHEN doc_id % 6 IN (0, 1) THEN regexp_replace(text, '[^\\x00-\\x7F]', '?', 'g')
