@@ -62,7 +62,7 @@ def found(spark, docs, **columns):
 ODD = [(None, None, None, None, None), (None, "s", None, 3, "Ab"), (-7, "s", "", 0, ""), (3, "s", "x", 1, "Æ\nZ" * 5000), (3, "s", "x", 1, "B"), (3, "s", "x", 1, "B")]
 
 
-@pytest.mark.parametrize("n", [0, 1, 7, 8, 9, 64, 65, 600])
+@pytest.mark.parametrize("n", [0, 9, 65, 600])
 def test_against_brute_force(spark, n):
     docs = [(i * 3 - 5, "web", "hot" if i % 3 else f"l{i % 29}é", i, f"Text {i} Of Some Length") for i in range(n)]
     assert found(spark, docs) == brute(docs)
