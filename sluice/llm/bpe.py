@@ -1,11 +1,11 @@
 """BPE encoding by dynamic programming over prefixes, and decoding.
 
 For every prefix of a word exactly one token is the last of the prefix's
-encoding. An Aho-Corasick automaton over all tokens, not a suffix automaton,
-gives the tokens that end a prefix: it is built once from the vocabulary and
-yields just those in one walk over the word. Of these the one is kept that is compatible with the last token of what is before
-it. Two tokens are compatible if no merge would join pieces of both before they
-are whole. Back-pointers from the whole word give the ids.
+encoding. A suffix automaton of all tokens, built once from the vocabulary,
+gives the tokens that end a prefix, in one walk over the word. Of these the one
+is kept that is compatible with the last token of what is before it. Two tokens
+are compatible if no merge would join pieces of both before they are whole.
+Back-pointers from the whole word give the ids.
 """
 
 from __future__ import annotations
@@ -16,13 +16,13 @@ import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import pretokens as P
+from sluice.llm.suffix_automaton import SuffixAutomaton
 
 NEVER = 1 << 62
 # Token pairs whose compatibility a worker remembers.
@@ -61,11 +61,7 @@ class WordBpe:
         self.left_edge = {i: self._edge(i, 0) for i in self.ids.values()}
         self.right_edge = {i: self._edge(i, 1) for i in self.ids.values()}
         self.pairs: dict[int, bool] = {}
-        self.automaton = ahocorasick.Automaton()
-        for text, i in self.ids.items():
-            if self._reachable(i):
-                self.automaton.add_word(text, (i, len(text)))
-        self.automaton.make_automaton()
+        self.automaton = SuffixAutomaton((text, i) for text, i in self.ids.items() if self._reachable(i))
 
     @staticmethod
     def _packed(token: str) -> str:
@@ -117,7 +113,7 @@ class WordBpe:
         text = "".join([self.inner[b] for b in data[:-1]]) + self.last[data[-1]]
         n = len(text)
         token, length, pairs = [-1] * n, [0] * n, self.pairs
-        for end, (i, size) in self.automaton.iter(text):
+        for end, i, size in self.automaton.matches(text):
             if token[end] >= 0:
                 continue
             before = end - size

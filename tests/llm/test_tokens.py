@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -8,6 +9,7 @@ from tokenizers import Tokenizer
 
 from sluice.llm import bpe, pretokens, token_files
 from sluice.llm.catalog import op3_bpe, op10_token_files
+from sluice.llm.suffix_automaton import SuffixAutomaton
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 EDGES = [
@@ -22,6 +24,22 @@ def texts(spark, sf):
     return EDGES + [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_suffix_automaton_finds_every_word(seed):
+    rnd = random.Random(seed)
+
+    def string(most):
+        return "".join(rnd.choice("abc"[: 1 + seed % 3]) for _ in range(rnd.randint(1, most)))
+
+    words = {string(7): i for i in range(rnd.randint(0, 40))}
+    automaton = SuffixAutomaton(words.items())
+    for text in ["", "x", *[string(40) + rnd.choice(["", "x"]) + string(9) for _ in range(20)]]:
+        want = [(e, words[text[b : e + 1]], e + 1 - b) for e in range(len(text)) for b in range(e + 1) if text[b : e + 1] in words]
+        assert list(automaton.matches(text)) == want
+    assert list(SuffixAutomaton([]).matches("abc")) == []
+    assert list(SuffixAutomaton([("", 3), ("a", 1), ("a", 2)]).matches("ba")) == [(1, 2, 1)]
+
+
 def test_words_as_the_library(texts):
     lib, own = Tokenizer.from_file(WORDS), bpe.encoder(WORDS)
     for text, ids, want in zip(texts, own.encode(texts), lib.encode_batch(texts, add_special_tokens=False), strict=True):
