@@ -49,6 +49,18 @@ def rows_frame(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def spread_join(many: DataFrame, few: DataFrame, keys: list[str], by: str, how: str = "inner") -> DataFrame:
+    """``many`` with the one row that ``few`` has for its keys, where any share of the rows may have the same keys.
+
+    Rows of equal keys are dealt out by the hash of ``by``, into as many pieces
+    as the session has shuffle partitions; each piece that occurs looks its keys
+    up once, so no task gets more of one key than a row for each piece.
+    """
+    piece = F.pmod(F.xxhash64(by), F.lit(width(many.sparkSession))).alias("_piece")
+    found = many.select(*keys, piece).distinct().join(few, keys)
+    return many.select("*", piece).join(found, [*keys, "_piece"], how).drop("_piece")
+
+
 def fixed(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a column that is computed once, however often later expressions use it.
 

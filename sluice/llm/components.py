@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.common import spread_join
 from sluice.session import written
 
 
@@ -13,16 +14,17 @@ def connected(links: DataFrame) -> DataFrame:
 
     In each round a node takes the smallest label next to it, and then its
     label's label, so that rounds grow with the logarithm of the longest way. Nothing
-    is brought to the driver but the count of changes; each round is stored.
+    is brought to the driver but whether there were changes; each round is stored.
+    A node may have any number of links, and a label any number of nodes.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = written(both, "links")
     labels = written(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("label")).withColumnRenamed("a", "node"), "labels")
     while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
+        near = spread_join(both, labels.withColumnRenamed("node", "b"), ["b"], "a").groupBy("a").agg(F.min("label").alias("near"))
         moved = labels.join(near, labels["node"] == near["a"]).select("node", "label", F.least("label", "near").alias("new"))
-        target = labels.select(F.col("node").alias("at"), F.col("label").alias("beyond"))
-        jumped = moved.join(target, moved["new"] == target["at"], "left")
+        target = labels.select(F.col("node").alias("new"), F.col("label").alias("beyond"))
+        jumped = spread_join(moved, target, ["new"], "node", "left")
         state = written(jumped.select("node", "label", F.least("new", "beyond").alias("new")), "labels")
         changed = not state.where(F.col("new") < F.col("label")).isEmpty()
         labels = state.select("node", F.col("new").alias("label"))

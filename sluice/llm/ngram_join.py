@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import values_of, width
+from sluice.llm.common import hash_pair, spread_join, values_of, width
 from sluice.llm.components import connected
 from sluice.llm.shingles import set_digest, shingle_set
 from sluice.session import written
@@ -35,6 +35,8 @@ CLASSES = (2, 8, 64)
 FREQUENT_BITS, FREQUENT_LEAST = 19, 32
 # Shingles that a task gathers before it writes counts, and that one group of sets may have in a task.
 FLUSH, GROUP = 2_000_000, 4_000_000
+# What names a row whose text has a set: its id and the hash of the text.
+HOLDER = ["doc_id", "t1", "t2"]
 
 
 @dataclass(frozen=True)
@@ -53,7 +55,7 @@ class Alike:
 
 
 def _members(docs: DataFrame, rule: Alike) -> DataFrame:
-    """(doc_id, n, s1, s2): the size and the digest of every row's set."""
+    """(doc_id, t1, t2, n, s1, s2): the size and the digest of every row's set; ``docs`` has doc_id, text, and the text's hash t1, t2."""
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,9 +64,10 @@ def _members(docs: DataFrame, rule: Alike) -> DataFrame:
                 s = shingle_set(text, rule.size)
                 found.append((len(s), *set_digest(s)))
             columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * 3
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n", "s1", "s2"])
+            row = [batch.column(0), batch.column(2), batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*row, *columns], ["doc_id", "t1", "t2", "n", "s1", "s2"])
 
-    return docs.mapInArrow(sized, "doc_id bigint, n bigint, s1 bigint, s2 bigint")
+    return docs.mapInArrow(sized, "doc_id bigint, t1 bigint, t2 bigint, n bigint, s1 bigint, s2 bigint")
 
 
 def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -218,7 +221,7 @@ def _candidate_links(prefixes: DataFrame, sets: DataFrame, rule: Alike) -> DataF
     rows = prefixes.join(sets.select("s1", "s2", "node"), ["s1", "s2"]).select("shingle", "node", kind.alias("kind")).distinct()
     rows = written(rows.select("shingle", "node", F.explode(F.array("kind", F.col("kind") + 1)).alias("kind")), "prefixes")
     roots = rows.groupBy("shingle", "kind").agg(F.min("node").alias("root"), F.count("*").alias("c")).where("c > 1")
-    linked = rows.join(roots, ["shingle", "kind"]).where(F.col("node") != F.col("root"))
+    linked = spread_join(rows, roots, ["shingle", "kind"], "node").where(F.col("node") != F.col("root"))
     return linked.select(F.col("node").alias("a"), F.col("root").alias("b")).distinct()
 
 
@@ -335,10 +338,12 @@ def _links(docs: DataFrame, sets: DataFrame, labels: DataFrame, rule: Alike) ->
     placed = labels.join(sets, "node")
     total = placed.groupBy("label").agg(F.sum("n").alias("total"))
     blocks = F.greatest(F.lit(1), F.ceil(2 * F.col("total") / F.lit(GROUP)) - 1).cast("int")
-    placed = placed.join(total.select("label", blocks.alias("blocks")), "label")
+    placed = spread_join(placed, total.select("label", blocks.alias("blocks")), ["label"], "node")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = placed.select("node", "label", "low", "s1", "s2", "blocks", block.alias("block"))
-    texts = docs.join(placed, docs["doc_id"].eqNullSafe(placed["low"])).select("node", "label", "s1", "s2", "blocks", "block", "text")
+    placed = placed.select("node", "label", "s1", "s2", "blocks", block.alias("block"), *[F.col("holder")[c].alias(f"of_{c}") for c in HOLDER])
+    # Rows without an id, or that repeat one, are told apart by the hash of their text.
+    mine = [docs[c].eqNullSafe(placed[f"of_{c}"]) for c in HOLDER]
+    texts = docs.join(placed, mine[0] & mine[1] & mine[2]).select("node", "label", "s1", "s2", "blocks", "block", "text")
     met = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select(
         "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "s1", "s2", "text"
@@ -389,11 +394,11 @@ def join_ngrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rule = rule or Alike()
     spark = docs.sparkSession
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *hash_pair(F.col(text_col), "t1", "t2"))
     members = written(_members(slim, rule), "members")
     pieces = F.pmod(F.xxhash64("doc_id"), F.lit(width(spark)))
     full = members.where("n > 0")
-    sets = full.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("low"))
+    sets = full.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("low"), F.min(F.struct(*HOLDER)).alias("holder"))
     sets = written(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
     pairs = sets.agg(F.sum("n")).first()[0] or 0
     frequencies = spark.sparkContext.broadcast(_frequencies(slim, rule, pairs))  # 2**CELL_BITS cells and a list of bounded length
@@ -401,7 +406,8 @@ def join_ngrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     labels = connected(_links(slim, sets, connected(links), rule))
     lows = labels.join(sets.select("node", "low"), "node")
     lowest = lows.groupBy("label").agg(F.min("low").alias("lowest"))
-    of_set = sets.join(labels, "node", "left").join(lowest, "label", "left").select("s1", "s2", F.coalesce("lowest", "low").alias("lowest"))
+    of_node = spread_join(labels, lowest, ["label"], "node").select("node", "lowest")
+    of_set = sets.join(of_node, "node", "left").select("s1", "s2", F.coalesce("lowest", "low").alias("lowest"))
     # Equal sets may be many: they are joined in pieces.
     keys = full.select("s1", "s2", pieces.alias("piece")).distinct().join(of_set, ["s1", "s2"])
     joined = full.withColumn("piece", pieces).join(keys, ["s1", "s2", "piece"])

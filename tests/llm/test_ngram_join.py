@@ -6,6 +6,8 @@ import pytest
 
 from sluice.llm import ngram_join
 from sluice.llm.catalog import op6_ngram_join
+from sluice.llm.common import spread_join
+from sluice.llm.components import connected
 from sluice.llm.ngram_join import Alike, _packed, _unpacked, alike_groups, join_ngrams
 from sluice.llm.shingles import shingle_set
 
@@ -84,6 +86,26 @@ def test_edges_and_near_copies(spark, monkeypatch, small):
     assert sorted(repr(tuple(r)) for r in join_ngrams(df).collect()) == brute(rows)
 
 
+def test_rows_without_an_id(spark):
+    rows = [(None if i % 3 else 7, t) for i, t in near_copies(9, 90, 4, 40)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(repr(tuple(r)) for r in join_ngrams(df).collect()) == brute(rows)
+
+
+def test_components_of_a_star_and_a_path(spark):
+    links = [(0, i) for i in range(1, 400)] + [(i, i + 1) for i in range(1000, 1060)] + [(5000, 5000), (1, 0), (400, 399)]
+    got = {r["node"]: r["label"] for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(401)} | {i: 1000 for i in range(1000, 1061)} | {5000: 5000}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_spread_join(spark, how):
+    many = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 50), (None, 51), (None, 52), (3, None)], "k int, v int")
+    few = spark.createDataFrame([(1, "x"), (3, "y"), (None, "z")], "k int, w string")
+    want = many.join(few, "k", how).collect()
+    assert sorted(map(repr, spread_join(many, few, ["k"], "v", how).select("k", "v", "w").collect())) == sorted(map(repr, want))
+
+
 def test_empty_table(spark):
     assert join_ngrams(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
