@@ -466,14 +466,39 @@ def _marks(procedure: Procedure) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("step"), t.alias("text")) for i, t in marks])
 
 
+def document_places(pieces: DataFrame, length: Column, counted: Column) -> DataFrame:
+    """Pieces (``request_id, step, part, seq`` and more) with ``before`` and ``earlier``.
+
+    ``before`` is the length of all pieces before it in its request, ``earlier``
+    how many of those of its step are ``counted``. Both are prefix sums in two
+    levels: a window over the sums of the parts, then one within each part.
+    """
+    part = ["request_id", "step", "part"]
+    sized = pieces.withColumns({"_n": length.cast("bigint"), "_c": counted.cast("bigint")})
+    sums = sized.groupBy(*part).agg(F.sum("_n").alias("_part_n"), F.sum("_c").alias("_part_c"))
+    starts = sums.select(
+        *part,
+        F.expr("sum(_part_n) OVER (PARTITION BY request_id ORDER BY step, part) - _part_n").alias("_start_n"),
+        F.expr("sum(_part_c) OVER (PARTITION BY request_id, step ORDER BY part) - _part_c").alias("_start_c"),
+    )
+    within = "OVER (PARTITION BY request_id, step, part ORDER BY seq) "
+    return sized.join(starts, part).select(
+        *pieces.columns,
+        F.expr(f"_start_n + sum(_n) {within} - _n").alias("before"),
+        F.expr(f"_start_c + sum(_c) {within} - _c").alias("earlier"),
+    )
+
+
 def _contents(
     frame: DataFrame, procedure: Procedure, results: dict[int, DataFrame], piece_bytes: int, scratch: Scratch
 ) -> DataFrame:
     """``request_id, piece, content`` of all requests of ``frame``.
 
     Marks, texts of results and closing brackets are pieces with a place in the
-    document. What lies before a piece is summed over lengths alone; pieces that
-    start in the same ``piece_bytes`` of a document are streamed into one content.
+    document. What lies before a piece is summed in two levels: over the parts of
+    a document, one row each, and over the pieces within a part. Pieces that start
+    in the same ``piece_bytes`` of a document are streamed into one content. So no
+    task has more of a document than one range of its rows.
     """
     first, last = F.lit(-1).cast("bigint"), F.lit(1 << 62).cast("bigint")
     marks = frame.select("request_id", F.explode(_marks(procedure)).alias("m"))
@@ -486,17 +511,11 @@ def _contents(
             parts = parts.unionByName(texts).unionByName(closing)
     # Places depend on how ranges were cut, so they are fixed before they are used twice.
     parts = scratch.written(parts.where(F.col("text") != ""), "parts")
-    order = "OVER (PARTITION BY request_id ORDER BY step, part, seq)"
-    lengths = parts.select("request_id", "step", "part", "seq", F.octet_length("text").alias("n"))
-    before = F.expr(f"sum(n) {order} - n")
     is_text = F.col("seq").between(0, (1 << 62) - 1)
+    placed = document_places(parts, F.octet_length("text"), is_text)
+    keyed = placed.withColumn("piece", F.floor(F.col("before") / F.lit(piece_bytes)).cast("bigint"))
     # Between two pieces of one result there is a comma.
-    follows = is_text & F.coalesce(F.expr(f"lag(seq) {order}") >= 0, F.lit(False)) & (F.expr(f"lag(step) {order}") == F.col("step"))
-    placed = lengths.select(
-        "request_id", "step", "part", "seq", F.floor(before / F.lit(piece_bytes)).cast("bigint").alias("piece"), follows.alias("follows")
-    )
-    keyed = parts.join(placed, ["request_id", "step", "part", "seq"])
-    text = F.when(F.col("follows"), F.concat(F.lit(","), F.col("text"))).otherwise(F.col("text"))
+    text = F.when(is_text & (F.col("earlier") > 0), F.concat(F.lit(","), F.col("text"))).otherwise(F.col("text"))
     ordered = (
         keyed.repartition("request_id", "piece")
         .sortWithinPartitions("request_id", "piece", "step", "part", "seq")

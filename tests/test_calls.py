@@ -1,4 +1,5 @@
 import json
+import random
 import time
 from decimal import Decimal
 
@@ -13,6 +14,7 @@ from sluice.operators.calls import (
     Procedure,
     Rows,
     bind_requests,
+    document_places,
     result_pieces,
     row_json,
     run_by_statement,
@@ -510,3 +512,22 @@ def test_declared_output_types(spark):
     assert calls[4] == "output 2: '8' is not a valid BIT"
     assert found[5] == '{"output_2":10,"output_3":"4"}'
     assert found.keys() == {0, 2, 5}
+
+
+def test_places_of_pieces_in_two_levels(spark):
+    """Against one walk over the pieces of each request; a request has many parts, some with one piece."""
+    rnd, rows = random.Random(4), []
+    for request in (1, 2, None):
+        for step in range(4):
+            rows.append((request, step, -1, -1, "["))
+            rows += [(request, step, part, seq, "x" * rnd.randint(1, 9)) for part in range(rnd.randint(0, 5)) for seq in range(rnd.randint(1, 6))]
+    want = []
+    for request in (1, 2):
+        mine, before = sorted(r for r in rows if r[0] == request), 0
+        for i, r in enumerate(mine):
+            want.append((*r, before, sum(q[1] == r[1] and q[3] >= 0 for q in mine[:i])))
+            before += len(r[4])
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "request_id int, step int, part long, seq long, text string")
+    got = document_places(df, F.octet_length("text"), F.col("seq") >= 0)
+    assert sorted(map(tuple, got.collect())) == want
