@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.common import SPACE, carried, fixed, hash_pair, id_cuts, lower_ascii, restored, width
-from sluice.session import check_warehouse, delete_folder, stored, written
+from sluice.session import delete_folder, save_table, stored, written
 
 KEYS = ["h1", "h2"]
 # A key in more than 1 / HOT_SHARE of all (document, line) pairs is hot; there are at most HOT_SHARE such keys.
@@ -44,16 +44,16 @@ class LineRuns:
     def __init__(self, spark: SparkSession, fanout: int = 3):
         if fanout < 2:
             raise ValueError("fanout must be at least 2")
-        check_warehouse(spark)
         self.spark, self.fanout, self.buckets = spark, fanout, width(spark)
         self.levels: list[list[str]] = []
         # Tables that were begun and are not dropped yet, in levels or not.
         self.written: list[str] = []
+        self.folders: dict[str, str] = {}
 
     def _write(self, df: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
         self.written.append(name)
-        df.write.bucketBy(self.buckets, *KEYS).sortBy(*KEYS).format("parquet").saveAsTable(name)
+        self.folders[name] = save_table(df.write.bucketBy(self.buckets, *KEYS).sortBy(*KEYS), self.spark, name)
         return name
 
     def runs(self) -> list[str]:
@@ -109,6 +109,8 @@ class LineRuns:
     def drop(self, names: list[str]) -> None:
         for name in list(names):
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            if name in self.folders:
+                delete_folder(self.spark, self.folders.pop(name))
             self.written.remove(name)
 
 

@@ -40,3 +40,13 @@ def test_work_folder_needs_a_shared_one(spark):
 
     with pytest.raises(RuntimeError, match="must name a folder"):
         S.work_folder(Cluster, "x")
+
+
+def test_scratch_tables_lie_in_the_shared_folder(spark):
+    root = spark.conf.get(S.CHECKPOINT_SETTING).rstrip("/").split("://")[-1]
+    scratch = S.Scratch(spark)
+    stored = scratch.written(spark.range(5).withColumn("k", F.col("id") % 2), "t", ["k"])
+    found, folder = [f.split("://")[-1] for f in stored.inputFiles()], scratch.folders[0]
+    assert found and all(f"{root}/scratch_t_" in f for f in found) and stored.where("k = 1").count() == 2
+    scratch.drop()
+    assert S.folder_names(spark, folder) == []
