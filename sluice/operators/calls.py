@@ -131,9 +131,15 @@ def run_statement(
 def bind_requests(
     requests: DataFrame, procedure: Procedure, properties: dict[str, str] | None = None
 ) -> DataFrame:
-    """Requests with their parameters, typed arguments and the reason for refusing them, if any."""
+    """Requests with their parameters, typed arguments and the reason for refusing them, if any.
+
+    Binding costs far more than reading a request, so requests are dealt out first: as many tasks take part as
+    there are shuffle partitions, however few files or row groups the requests lie in.
+    """
+    tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = requests.repartition(tasks, "request_id")
     return bind_arguments(
-        with_parameters(requests, properties), procedure.arguments, set(procedure.outputs)
+        with_parameters(dealt, properties), procedure.arguments, set(procedure.outputs)
     )
 
 

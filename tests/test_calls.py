@@ -531,3 +531,13 @@ def test_places_of_pieces_in_two_levels(spark):
     df = spark.createDataFrame(rows, "request_id int, step int, part long, seq long, text string")
     got = document_places(df, F.octet_length("text"), F.col("seq") >= 0)
     assert sorted(map(tuple, got.collect())) == want
+
+
+def test_binding_is_dealt_out_to_tasks(spark):
+    """Requests of one file with one row group are bound by many tasks."""
+    given = F.create_map(F.lit("procedure.args.in.1.type"), F.lit("-5"), F.lit("procedure.args.in.1.value"), F.col("id").cast("string"))
+    reqs = spark.range(0, 400, 1, 1).select(F.col("id").alias("request_id"), given.alias("attributes"))
+    bound = bind_requests(reqs, Procedure([Argument(1, "a", "bigint")]), {})
+    tasks = bound.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(r["count"] for r in tasks) < 200
+    assert bound.where("a = request_id AND error IS NULL").count() == 400
