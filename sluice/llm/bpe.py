@@ -58,8 +58,6 @@ class WordBpe:
             if max(self.made_at.get(left, -1), self.made_at.get(right, -1)) >= rank:
                 raise ValueError("a merge uses a token made later")
             self.pair_rank[left, right], self.made_at[whole], self.parts[whole] = rank, rank, (left, right)
-        self.left_edge = {i: self._edge(i, 0) for i in self.ids.values()}
-        self.right_edge = {i: self._edge(i, 1) for i in self.ids.values()}
         self.pairs: dict[int, bool] = {}
         self.automaton = SuffixAutomaton((text, i) for text, i in self.ids.items() if self._reachable(i))
 
@@ -80,7 +78,8 @@ class WordBpe:
 
     def _joined_at(self, left: int, right: int) -> int:
         """The rank of the first merge of a piece of ``left`` with one of ``right``; NEVER if there is none."""
-        a, b, i, j = self.right_edge[left], self.left_edge[right], 0, 0
+        # Edges are short and pairs are remembered, so edges are not kept.
+        a, b, i, j = self._edge(left, 1), self._edge(right, 0), 0, 0
         while True:
             (x, x_ends), (y, y_ends) = a[i], b[j]
             rank = self.pair_rank.get((x, y), NEVER)
@@ -148,6 +147,11 @@ class Encoder(P.TextEncoder):
         self.words = WordBpe(path)
         super().__init__(self.words.specials, normal, P.word_spans, lambda strings: map(self.words.encode_word, strings))
 
+    def forget(self) -> None:
+        """Let go of what was remembered; an idle worker keeps the vocabulary only."""
+        super().forget()
+        self.words.pairs = {}
+
 
 @cache
 def encoder(path: str) -> Encoder:
@@ -165,19 +169,22 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = encoder(path)
-        for batch in batches:
-            for at, texts in P.column_parts(batch.column(1), 4 * P.CHUNK):
-                found = list(work.encode(texts))
-                sizes = [len(x) for x in found]
-                columns = [batch.column(0).slice(at, len(texts)), pa.array(sizes, pa.int64())]
-                if digests:
-                    columns.append(pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in found]))
-                    decoded = (work.words.decode(x.tolist()) for x in found)
-                    columns.append(pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in decoded]))
-                else:
-                    flat = pa.array(np.concatenate(found).astype(np.int32), pa.int32())
-                    columns.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), flat))
-                yield pa.RecordBatch.from_arrays(columns, names)
+        try:
+            for batch in batches:
+                for at, texts in P.column_parts(batch.column(1), 4 * P.CHUNK):
+                    found = list(work.encode(texts))
+                    sizes = [len(x) for x in found]
+                    columns = [batch.column(0).slice(at, len(texts)), pa.array(sizes, pa.int64())]
+                    if digests:
+                        columns.append(pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in found]))
+                        decoded = (work.words.decode(x.tolist()) for x in found)
+                        columns.append(pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in decoded]))
+                    else:
+                        flat = pa.array(np.concatenate(found).astype(np.int32), pa.int32())
+                        columns.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), flat))
+                    yield pa.RecordBatch.from_arrays(columns, names)
+        finally:
+            work.forget()
 
     names = ["doc_id", "n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids"])]
     schema = "doc_id bigint, n_tokens bigint, " + ("ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>")

@@ -192,6 +192,10 @@ class TextEncoder:
         self.seen = SeenSpans(SEEN)
         self.special = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
 
+    def forget(self) -> None:
+        """Let go of the ids of pre-tokens that were seen."""
+        self.seen = SeenSpans(SEEN)
+
     def _segments(self, text: str) -> list[str | int]:
         """Normal parts of bounded length, and ids of special tokens written out in the text."""
         parts = self.special.split(text) if self.special and self.special.search(text) else [text]

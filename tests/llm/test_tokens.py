@@ -88,3 +88,21 @@ def test_queries_against_the_library(spark, sf):
         ids = [*lib.encode(d["text"], add_special_tokens=False).ids, 2]
         assert got[d["doc_id"]] == (d["doc_id"], start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+
+
+def test_workers_forget_what_they_saw(spark, sf):
+    """A worker that waits for its next task keeps the vocabulary, but no pairs of tokens and no pre-tokens."""
+    import pyarrow as pa
+
+    from sluice.llm import bpe
+    from sluice.llm.catalog import vocabulary
+
+    path = vocabulary("word_bpe_49k.json")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").repartition(8)
+    assert bpe.encode_documents(docs, path).where("n_tokens > 0").count() > 0
+
+    def kept(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(bpe.encoder(path).words.pairs)] * batch.num_rows, pa.int64())], ["pairs"])
+
+    assert {r["pairs"] for r in spark.range(0, 64, 1, 16).mapInArrow(kept, "pairs bigint").collect()} == {0}
