@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import spread_join
 from sluice.session import written
 
 
@@ -15,17 +14,21 @@ def connected(links: DataFrame) -> DataFrame:
     In each round a node takes the smallest label next to it, and then its
     label's label, so that rounds grow with the logarithm of the longest way. Nothing
     is brought to the driver but whether there were changes; each round is stored.
-    A node may have any number of links, and a label any number of nodes.
+    A node may have any number of links, and a label any number of nodes: rows of one
+    key are streamed past the one label that they look up, and Spark splits large ones.
+    A round is planned with four exchanges and no broadcast, each of which costs the driver a thread.
     """
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = written(both, "links")
-    labels = written(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("label")).withColumnRenamed("a", "node"), "labels")
+    ways = [("a", "b"), ("b", "a"), ("a", "a"), ("b", "b")]  # in both directions, and from each node to itself
+    ends = links.select(F.explode(F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ways])).alias("end"))
+    both = written(ends.select("end.*").distinct(), "links")
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "labels")
     while True:
-        near = spread_join(both, labels.withColumnRenamed("node", "b"), ["b"], "a").groupBy("a").agg(F.min("label").alias("near"))
-        moved = labels.join(near, labels["node"] == near["a"]).select("node", "label", F.least("label", "near").alias("new"))
-        target = labels.select(F.col("node").alias("new"), F.col("label").alias("beyond"))
-        jumped = spread_join(moved, target, ["new"], "node", "left")
-        state = written(jumped.select("node", "label", F.least("new", "beyond").alias("new")), "labels")
+        target = labels.select(F.col("node").alias("b"), "label").hint("merge")
+        own = F.when(F.col("a") == F.col("b"), F.col("label"))
+        near = both.join(target, "b").groupBy("a").agg(F.min("label").alias("new"), F.max(own).alias("label"))
+        beyond = labels.select(F.col("node").alias("new"), F.col("label").alias("beyond")).hint("merge")
+        jumped = near.join(beyond, "new").select(F.col("a").alias("node"), "label", F.least("new", "beyond").alias("new"))
+        state = written(jumped, "labels")
         changed = not state.where(F.col("new") < F.col("label")).isEmpty()
         labels = state.select("node", F.col("new").alias("label"))
         if not changed:

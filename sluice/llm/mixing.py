@@ -268,7 +268,10 @@ LENGTHS_TRIED = tuple((0.5 ** np.arange(14)).tolist())
 
 
 def _sums(classes: DataFrame, values, width: int) -> np.ndarray:
-    """The sum over all classes (p, n) of what ``values(p, n)``, rows of ``width``, has; the last column is a minimum."""
+    """The sum over all classes (p, n) of what ``values(p, n)``, rows of ``width``, has; the last column is a minimum.
+
+    Each task sends its sums, so that the many passes of a fit need no shuffle.
+    """
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, least = np.zeros(width), np.inf
@@ -278,9 +281,9 @@ def _sums(classes: DataFrame, values, width: int) -> np.ndarray:
                 total, least = total + found, min(least, low)
         yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array(total), pa.array(np.full(width, least))], ["i", "x", "low"])
 
-    got = classes.select("p", "n").mapInArrow(summed, "i int, x double, low double").groupBy("i").agg(F.sum("x").alias("x"), F.min("low").alias("low")).toArrow()
+    got = classes.select("p", "n").mapInArrow(summed, "i int, x double, low double").toArrow()
     out = np.zeros(width + 1)
-    out[got["i"].to_numpy()] = got["x"].to_numpy()
+    np.add.at(out, got["i"].to_numpy(), got["x"].to_numpy())
     out[width] = min(got["low"].to_pylist(), default=np.inf)
     return out
 

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import hash_pair, spread_join, values_of, width
+from sluice.llm.common import hash_pair, values_of, width
 from sluice.llm.components import connected
 from sluice.llm.shingles import set_digest, shingle_set
 from sluice.session import written
@@ -221,7 +221,8 @@ def _candidate_links(prefixes: DataFrame, sets: DataFrame, rule: Alike) -> DataF
     rows = prefixes.join(sets.select("s1", "s2", "node"), ["s1", "s2"]).select("shingle", "node", kind.alias("kind")).distinct()
     rows = written(rows.select("shingle", "node", F.explode(F.array("kind", F.col("kind") + 1)).alias("kind")), "prefixes")
     roots = rows.groupBy("shingle", "kind").agg(F.min("node").alias("root"), F.count("*").alias("c")).where("c > 1")
-    linked = spread_join(rows, roots, ["shingle", "kind"], "node").where(F.col("node") != F.col("root"))
+    # Any share of the rows may have one shingle: they are streamed past its root, and Spark splits large ones.
+    linked = rows.join(written(roots, "roots").hint("merge"), ["shingle", "kind"]).where(F.col("node") != F.col("root"))
     return linked.select(F.col("node").alias("a"), F.col("root").alias("b")).distinct()
 
 
@@ -330,15 +331,16 @@ def alike_groups(sets: list[np.ndarray], rule: Alike) -> list[int]:
 
 
 def _links(docs: DataFrame, sets: DataFrame, labels: DataFrame, rule: Alike) -> DataFrame:
-    """(a, b): links that connect exactly the sets that are connected by being alike.
+    """(a, b, whole): links that connect exactly the sets that are connected by being alike.
 
-    Each candidate group goes to a task with the texts of its sets. A group too
-    large for one is dealt into blocks, and every two blocks meet in a task.
+    Each candidate group goes to a task with the texts of its sets: its links are ``whole``, from every connected
+    set, itself included, to the first one. A group too large for one is dealt into blocks, and every two blocks meet in a task.
     """
     placed = labels.join(sets, "node")
-    total = placed.groupBy("label").agg(F.sum("n").alias("total"))
-    blocks = F.greatest(F.lit(1), F.ceil(2 * F.col("total") / F.lit(GROUP)) - 1).cast("int")
-    placed = spread_join(placed, total.select("label", blocks.alias("blocks")), ["label"], "node")
+    total = placed.groupBy("label").agg(F.sum("n").alias("total")).where(F.col("total") > GROUP)
+    # Those in blocks are few: each has more shingles than fit in a task.
+    large = total.select("label", (F.ceil(2 * F.col("total") / F.lit(GROUP)) - 1).cast("int").alias("blocks"))
+    placed = placed.join(F.broadcast(large), "label", "left").fillna(1, ["blocks"])
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = placed.select("node", "label", "s1", "s2", "blocks", block.alias("block"), *[F.col("holder")[c].alias(f"of_{c}") for c in HOLDER])
     # Rows without an id, or that repeat one, are told apart by the hash of their text.
@@ -346,19 +348,19 @@ def _links(docs: DataFrame, sets: DataFrame, labels: DataFrame, rule: Alike) ->
     texts = docs.join(placed, mine[0] & mine[1] & mine[2]).select("node", "label", "s1", "s2", "blocks", "block", "text")
     met = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select(
-        "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "s1", "s2", "text"
+        "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "blocks", "node", "s1", "s2", "text"
     )
     dealt = met.repartition(width(docs.sparkSession), "label", "i", "j").sortWithinPartitions("label", "i", "j", "node")
 
     def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, nodes, sets_here = None, [], []
+        now, nodes, sets_here = (None, None, None, 0), [], []
         for batch in batches:
-            label, i, j, node, s1, s2, text = (c.to_pylist() for c in batch.columns)
+            label, i, j, blocks, node, s1, s2, text = (c.to_pylist() for c in batch.columns)
             out = []
             for r in range(batch.num_rows):
-                key = label[r], i[r], j[r]
+                key = label[r], i[r], j[r], blocks[r]
                 if key != now:
-                    out += linked(nodes, sets_here)
+                    out += linked(nodes, sets_here, now[3] == 1)
                     now, nodes, sets_here = key, [], []
                 s = shingle_set(text[r], rule.size)
                 # Rows that repeat an id may have other texts, or the same one again.
@@ -367,20 +369,29 @@ def _links(docs: DataFrame, sets: DataFrame, labels: DataFrame, rule: Alike) ->
                     sets_here.append(s)
             if out:
                 yield batch_of(out)
-        out = linked(nodes, sets_here)
+        out = linked(nodes, sets_here, now[3] == 1)
         if out:
             yield batch_of(out)
 
-    def linked(nodes: list[int], sets_here: list[np.ndarray]) -> list[tuple[int, int]]:
+    def linked(nodes: list[int], sets_here: list[np.ndarray], whole: bool) -> list[tuple[int, int, bool]]:
         if len(nodes) < 2:
             return []
-        return [(nodes[x], nodes[y]) for x, y in enumerate(alike_groups(sets_here, rule)) if x != y]
+        groups = alike_groups(sets_here, rule)
+        more = {y for x, y in enumerate(groups) if x != y}
+        return [(nodes[x], nodes[y], whole) for x, y in enumerate(groups) if y in more]
 
-    def batch_of(out: list[tuple[int, int]]) -> pa.RecordBatch:
-        a, b = zip(*out, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    def batch_of(out: list[tuple[int, int, bool]]) -> pa.RecordBatch:
+        a, b, whole = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(whole, pa.bool_())], ["a", "b", "whole"])
 
-    return dealt.mapInArrow(solved, "a bigint, b bigint")
+    return dealt.mapInArrow(solved, "a bigint, b bigint, whole boolean")
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """(node, label) from ``_links``: whole ones are labels already, and only those of groups in blocks are connected."""
+    links = written(links, "alike")
+    labels, parted = links.where("whole").select(F.col("a").alias("node"), F.col("b").alias("label")), links.where("NOT whole").select("a", "b")
+    return labels if parted.isEmpty() else labels.unionByName(connected(parted))
 
 
 def join_ngrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Alike | None = None) -> DataFrame:
@@ -396,21 +407,20 @@ def join_ngrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *hash_pair(F.col(text_col), "t1", "t2"))
     members = written(_members(slim, rule), "members")
-    pieces = F.pmod(F.xxhash64("doc_id"), F.lit(width(spark)))
     full = members.where("n > 0")
     sets = full.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("low"), F.min(F.struct(*HOLDER)).alias("holder"))
     sets = written(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
     pairs = sets.agg(F.sum("n")).first()[0] or 0
     frequencies = spark.sparkContext.broadcast(_frequencies(slim, rule, pairs))  # 2**CELL_BITS cells and a list of bounded length
     links = _candidate_links(_prefixes(slim, rule, frequencies), sets, rule)
-    labels = connected(_links(slim, sets, connected(links), rule))
-    lows = labels.join(sets.select("node", "low"), "node")
-    lowest = lows.groupBy("label").agg(F.min("low").alias("lowest"))
-    of_node = spread_join(labels, lowest, ["label"], "node").select("node", "lowest")
-    of_set = sets.join(of_node, "node", "left").select("s1", "s2", F.coalesce("lowest", "low").alias("lowest"))
-    # Equal sets may be many: they are joined in pieces.
-    keys = full.select("s1", "s2", pieces.alias("piece")).distinct().join(of_set, ["s1", "s2"])
-    joined = full.withColumn("piece", pieces).join(keys, ["s1", "s2", "piece"])
+    frequencies.destroy()  # prefixes are written
+    labels = _labels(_links(slim, sets, connected(links), rule))
+    lows = labels.join(sets.select("node", "low").hint("merge"), "node")
+    lowest = written(lows.groupBy("label").agg(F.min("low").alias("lowest")), "lowest")
+    # Sets of one label, and rows of one set, may be many: they are streamed past what they look up, and Spark splits large ones.
+    of_node = labels.join(lowest.hint("merge"), "label").select("node", "lowest")
+    of_set = sets.join(of_node.hint("merge"), "node", "left").select("s1", "s2", F.coalesce("lowest", "low").alias("lowest"))
+    joined = full.join(of_set.hint("merge"), ["s1", "s2"])
     alone = members.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("lowest"))
     every = joined.select("doc_id", "n", "lowest").unionByName(alone)
     return every.select("doc_id", F.col("n").alias("n_shingles"), F.col("lowest").alias("component_id"))

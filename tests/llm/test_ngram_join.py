@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from sluice.llm import ngram_join
+from sluice.llm import components, ngram_join
 from sluice.llm.catalog import op6_ngram_join
 from sluice.llm.common import spread_join
 from sluice.llm.components import connected
@@ -124,3 +124,19 @@ def test_packed_counts():
     counts = np.arange(1, len(keys) + 1)
     a, b = _unpacked(_packed(keys, counts))
     assert (a == keys).all() and (b == counts).all()
+
+
+def test_rounds_are_few_and_small(spark, sf, monkeypatch):
+    """Broadcasts and exchanges cost the driver memory: rounds have no broadcasts and five exchanges; groups that fit in a task need no rounds."""
+    plans, calls = [], []
+    write, connect = components.written, ngram_join.connected
+
+    def planned(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(components, "written", planned)
+    monkeypatch.setattr(ngram_join, "connected", lambda links: calls.append(1) or connect(links))
+    join_ngrams(spark.read.parquet(f"{sf}/documents.parquet"))
+    assert len(calls) == 1
+    assert not any("Broadcast" in p for p in plans) and max(len(re.findall(r"\bExchange", p)) for p in plans) <= 5
