@@ -312,7 +312,12 @@ def _run_steps(
                     counts = step_counts(_evaluate(step.body, part, frames))
                 return scratch.written(counts, f"step{i}")
 
-            done, failed = settle(live, stored, limit_millis)
+            def rows(part: DataFrame) -> DataFrame:
+                made = _evaluate(step.body, part, frames)
+                return made.select("request_id", *tables[step.into].columns.names) if isinstance(step, Insert) else made
+
+            # A step that counts works out no columns.
+            done, failed = settle(live, stored, limit_millis, None if isinstance(step, Count) else rows)
             # Where every request failed, the empty result still has the step's columns.
             done = done or [scratch.written(stored(live.where(F.lit(False))), f"step{i}")]
             out = done[0]

@@ -394,6 +394,37 @@ def test_failures_stay_with_their_requests(spark):
         run_calls(_keyed(spark, 3), Procedure(KEY, [Rows("SELECT request_id, nowhere FROM {calls}")]), {})
 
 
+def test_failing_requests_cost_a_run_each(spark):
+    """What a column raises is found in one run, so that the failing requests run alone and the others together."""
+    ran = []
+
+    def body(calls, tables):
+        ran.append(1)
+        return calls.select("request_id", F.expr("CASE WHEN k % 100 = 7 THEN k DIV (k - k) WHEN k = 50 THEN CAST(CONCAT('x', k) AS INT) ELSE k END AS v"))
+
+    done = run_calls(_keyed(spark, 300), Procedure(KEY, [Rows(body)]), {})
+    errors = {r["request_id"]: r["error"] for r in done.calls.where("route = 'failure'").collect()}
+    assert sorted(errors) == [7, 50, 107, 207]
+    assert errors.pop(50).startswith("[CAST_INVALID_INPUT]") and all(e.startswith("[DIVIDE_BY_ZERO]") for e in errors.values())
+    assert done.contents.count() == 296
+    # All together, the look at the columns, four alone, the others.
+    assert len(ran) == 7
+
+
+def test_repeated_failing_request_is_refused(spark):
+    twice = _keyed(spark, 20).unionByName(_keyed(spark, 20).where("request_id = 3"))
+    with pytest.raises(RuntimeError, match="not unique"):
+        run_calls(twice, Procedure(KEY, [Rows("SELECT request_id, k DIV (k - 3) AS v FROM {calls}")]), {})
+
+
+def test_failures_outside_columns_are_found_by_parts(spark):
+    """A condition raises before any column is worked out, in the look at the columns too; another request fails in a column."""
+    body = "SELECT request_id, 1 DIV (k - 5) AS v FROM {calls} WHERE 1 DIV (k - 11) < 2"
+    done = run_calls(_keyed(spark, 30), Procedure(KEY, [Rows(body)]), {})
+    assert sorted(r["request_id"] for r in done.calls.where("route = 'failure'").collect()) == [5, 11]
+    assert done.contents.count() == 28
+
+
 def test_every_request_fails(spark):
     done = run_calls(_keyed(spark, 3), Procedure(KEY, [Rows("SELECT request_id, raise_error('no ' || k) AS x FROM {calls}")]), {})
     assert sorted(r["error"] for r in done.calls.collect()) == [f"[USER_RAISED_EXCEPTION] no {k}" for k in range(3)]
